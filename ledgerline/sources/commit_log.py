@@ -1,0 +1,203 @@
+"""A keyed table with upserts, deletes and time travel, kept as plain parquet commits.
+
+Every write is a folder ``commits/_commit_id=<n>/_batch=<token>`` that counts once Spark has put its
+``_SUCCESS`` marker there. Writing the same token again replaces that folder, so a replayed
+micro-batch changes nothing. A snapshot is the newest row per key over the commits, in one of two
+orders:
+
+* ``event``: the newest ordering field wins whenever it arrives; batch boundaries and arrival order
+  cannot change the result, the commit id only settles rows equal in every value;
+* ``arrival``: the newest commit wins, the ordering field decides within a commit.
+
+Compaction writes the newest row of every key to ``base/_base_id=<n>``, range-partitioned so that
+filters on the clustering columns skip files. Later snapshots read the base as it is, leave out the
+keys touched since by an anti join, and re-decide only those.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Sequence
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerline.operators.latest import latest_per_key
+from ledgerline.sources.tables import TableUnavailable
+
+DELETED = "_deleted"
+COMMIT = "_commit_id"
+BATCH = "_batch"
+BASE = "_base_id"
+
+
+class Commit(NamedTuple):
+    commit_id: int
+    batch: str
+    path: str
+
+
+class CommitLog:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        ordering: str,
+        ordering_type: str | None = None,
+        order: str = "event",
+        volatile: Sequence[str] = (),
+        cluster_by: Sequence[str] = (),
+    ):
+        """``ordering_type`` parses the ordering field (ISO text as ``timestamp``) before comparing.
+
+        ``volatile`` columns, such as an ingest time, take no part in choosing the newest row.
+        ``cluster_by`` lays out compacted files.
+        """
+        if order not in ("event", "arrival"):
+            raise ValueError(f"unknown order {order!r}")
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema
+        self.keys = list(keys)
+        self.ordering = ordering
+        self.ordering_type = ordering_type
+        self.order = order
+        self.volatile = set(volatile)
+        self.cluster_by = list(cluster_by)
+        stored = [*schema.fields, T.StructField(DELETED, T.BooleanType())]
+        commit = T.StructField(COMMIT, T.LongType())
+        self._commit_schema = T.StructType(
+            [*stored, commit, T.StructField(BATCH, T.StringType())]
+        )
+        self._base_schema = T.StructType([*stored, commit, T.StructField(BASE, T.LongType())])
+        self._columns = [field.name for field in stored] + [COMMIT]
+
+    # -- what is there ---------------------------------------------------------------------------
+
+    def _complete(self, pattern: str) -> list[str]:
+        """Folders matching ``pattern`` whose write has finished."""
+        jvm = self.spark.sparkContext._jvm
+        marker = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}/_SUCCESS")
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        found = marker.getFileSystem(conf).globStatus(marker) or []
+        return [status.getPath().getParent().toString() for status in found]
+
+    def commits(self, as_of: int | None = None) -> list[Commit]:
+        """Finished commits up to ``as_of``, oldest first."""
+        commits = []
+        for folder in self._complete(f"commits/{COMMIT}=*/{BATCH}=*"):
+            parent, batch = folder.rsplit(f"/{BATCH}=", 1)
+            commits.append(Commit(int(parent.rsplit("=", 1)[1]), batch, folder))
+        return sorted(c for c in commits if as_of is None or c.commit_id <= as_of)
+
+    def latest_commit(self) -> int | None:
+        commits = self.commits()
+        return commits[-1].commit_id if commits else None
+
+    def _bases(self) -> list[int]:
+        return sorted(int(f.rsplit("=", 1)[1]) for f in self._complete(f"base/{BASE}=*"))
+
+    # -- writing ---------------------------------------------------------------------------------
+
+    def upsert(self, rows: DataFrame, batch: str | None = None) -> int:
+        """Add rows as one commit and return its id. A known ``batch`` token is written again."""
+        return self._append(rows.withColumn(DELETED, F.lit(False)), batch)
+
+    def delete(self, rows: DataFrame, batch: str | None = None) -> int:
+        """Delete the keys in ``rows``, which also carries the ordering field as time of deletion."""
+        given = set(rows.columns)
+        blank = [
+            F.col(f.name) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in self.schema.fields
+        ]
+        return self._append(rows.select(*blank).withColumn(DELETED, F.lit(True)), batch)
+
+    def _append(self, rows: DataFrame, batch: str | None) -> int:
+        batch = batch or uuid.uuid4().hex
+        commits = self.commits()
+        known = [c.commit_id for c in commits if c.batch == batch]
+        commit_id = known[0] if known else (commits[-1].commit_id + 1 if commits else 0)
+        rows.select(*(f.name for f in self._commit_schema.fields[:-2])).write.mode(
+            "overwrite"
+        ).parquet(f"{self.path}/commits/{COMMIT}={commit_id}/{BATCH}={batch}")
+        return commit_id
+
+    def compact(self) -> int:
+        """Write the newest row of every key, deletions included, as a new base; returns its id."""
+        newest = self.latest_commit()
+        if newest is None:
+            raise TableUnavailable(f"no commits in {self.path}")
+        if newest not in self._bases():
+            rows = self._winners(newest)
+            if self.cluster_by:
+                rows = rows.repartitionByRange(*self.cluster_by, *self.keys)
+                rows = rows.sortWithinPartitions(*self.cluster_by, *self.keys)
+            rows.write.mode("overwrite").parquet(f"{self.path}/base/{BASE}={newest}")
+        return newest
+
+    # -- reading ---------------------------------------------------------------------------------
+
+    def _read_commits(self, commits: list[Commit]) -> DataFrame:
+        reader = self.spark.read.schema(self._commit_schema)
+        reader = reader.option("basePath", f"{self.path}/commits")
+        return reader.parquet(*(c.path for c in commits)).select(*self._columns)
+
+    def _read_base(self, base: int) -> DataFrame:
+        reader = self.spark.read.schema(self._base_schema).option("basePath", f"{self.path}/base")
+        return reader.parquet(f"{self.path}/base/{BASE}={base}").select(*self._columns)
+
+    def _newest_first(self) -> list[Column]:
+        ordering = F.col(self.ordering)
+        if self.ordering_type:
+            ordering = ordering.try_cast(self.ordering_type)
+        values = [
+            F.col(f.name).desc_nulls_last()
+            for f in self.schema.fields
+            if f.name not in self.volatile and f.name not in self.keys
+        ]
+        by_event = [ordering.desc_nulls_last(), F.col(DELETED).desc(), *values]
+        by_commit = F.col(COMMIT).desc()
+        return [*by_event, by_commit] if self.order == "event" else [by_commit, *by_event]
+
+    def _winners(self, as_of: int | None) -> DataFrame:
+        """Newest row per key, deletions included."""
+        commits = self.commits(as_of)
+        if not commits:
+            raise TableUnavailable(f"no commits in {self.path}")
+        bases = [b for b in self._bases() if as_of is None or b <= as_of]
+        if not bases:
+            return latest_per_key(self._read_commits(commits), self.keys, self._newest_first())
+        base = self._read_base(bases[-1])
+        newer = [c for c in commits if c.commit_id > bases[-1]]
+        if not newer:
+            return base
+        delta = self._read_commits(newer)
+        # no broadcast hint: Spark decides by the size of the newer commits
+        touched = delta.select(*self.keys).distinct()
+        contested = base.join(touched, self.keys, "left_semi").select(*self._columns)
+        decided = latest_per_key(
+            contested.unionByName(delta), self.keys, self._newest_first()
+        )
+        untouched = base.join(touched, self.keys, "left_anti").select(*self._columns)
+        return untouched.unionByName(decided)
+
+    def snapshot(self, as_of: int | None = None) -> DataFrame:
+        """The table now, or as of a commit."""
+        if as_of is not None and as_of not in {c.commit_id for c in self.commits(as_of)}:
+            raise TableUnavailable(f"no commit {as_of} in {self.path}")
+        return (
+            self._winners(as_of)
+            .filter(~F.col(DELETED))
+            .select(*(field.name for field in self.schema.fields))
+        )
+
+    def history(self, as_of: int | None = None) -> DataFrame:
+        """Every stored row version with its commit id and deletion mark."""
+        commits = self.commits(as_of)
+        if not commits:
+            raise TableUnavailable(f"no commits in {self.path}")
+        return self._read_commits(commits)
