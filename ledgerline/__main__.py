@@ -10,6 +10,8 @@ import argparse
 import os
 import sys
 
+from pyspark.sql import SparkSession
+
 from ledgerline.operators.quality import DataQualityError
 from ledgerline.plans.chain import run_chain
 from ledgerline.plans.daily import run_daily
@@ -117,16 +119,17 @@ def _run(args: argparse.Namespace, lake: Lake) -> int:
     return 0
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _arguments(argv)
-    spark = create_session(f"ledgerline {args.job}")
+    session = spark or create_session(f"ledgerline {args.job}")
     try:
-        return _run(args, Lake(spark, args.lake, args.late_rows))
+        return _run(args, Lake(session, args.lake, args.late_rows))
     except (TableUnavailable, DataQualityError) as error:
         print(error, file=sys.stderr)
         return 1
     finally:
-        spark.stop()
+        if spark is None:
+            session.stop()
 
 
 if __name__ == "__main__":

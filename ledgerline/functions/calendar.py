@@ -47,6 +47,5 @@ def iso_date(value: Column | str) -> Column:
 
 def iso_text(value: Column | str) -> Column:
     """Timestamp as ISO text with microseconds, the fraction left out where it is zero."""
-    value = _column(value)
-    text = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.regexp_replace(text, r"\.000000$", "")
+    text = F.date_format(_column(value), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.when(F.endswith(text, F.lit(".000000")), F.left(text, F.lit(19))).otherwise(text)

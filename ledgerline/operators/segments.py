@@ -20,7 +20,8 @@ MEASURES = {
 def _scale(value: Column) -> Column:
     """A bucket number that grows with the value: 64 buckets per doubling, a few thousand in all."""
     size = F.floor(F.log2(F.abs(value) + 1.0) * float(STEPS_PER_OCTAVE))
-    return F.when(value < 0, -size).otherwise(size)
+    # never null, so that the join on the bucket adds no filter and both its sides share one shuffle
+    return F.coalesce(F.when(value < 0, -size).otherwise(size), F.lit(0))
 
 
 def discrete_quantiles(
@@ -96,6 +97,9 @@ def customer_segments(activity: DataFrame, as_of: Column, bands: int = 4) -> Dat
     scored = measured.crossJoin(F.broadcast(cuts))
     for column, band in MEASURES.items():
         value = F.col(column).cast("double")
-        below = F.size(F.filter(f"_{column}", lambda cut, value=value: cut < value))
-        scored = scored.withColumn(band, F.when(F.col(column).isNotNull(), below + F.lit(1)))
+        band_number = F.lit(1)
+        for step in range(bands - 1):
+            above = F.col(f"_{column}")[step] < value
+            band_number = band_number + F.when(above, F.lit(1)).otherwise(F.lit(0))
+        scored = scored.withColumn(band, F.when(value.isNotNull(), band_number))
     return scored.drop(*(f"_{column}" for column in MEASURES))

@@ -16,9 +16,10 @@ def decode(raw: DataFrame) -> DataFrame:
     gives a row of nulls.
     """
     text = raw.select(F.col("value").cast("string").alias("_message"))
-    parsed = text.select("_message", F.from_json("_message", ORDER_MESSAGE).alias("order"))
+    # inline() parses each message once; a plain select would parse again for a later filter
+    parsed = text.select(F.inline(F.array(F.from_json("_message", ORDER_MESSAGE))), "_message")
     return (
-        parsed.select("order.*", "_message")
+        parsed
         .withColumn("total_amount", F.col("quantity") * F.col("price"))
         .withColumn("processing_time", F.current_timestamp())
         .withColumn("order_date", order_date("order_timestamp"))

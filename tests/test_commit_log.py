@@ -1,0 +1,170 @@
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerline.operators.latest import latest_per_key
+from ledgerline.sources.commit_log import CommitLog
+from ledgerline.sources.tables import TableUnavailable
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("k", T.StringType()),
+        T.StructField("ts", T.StringType()),
+        T.StructField("v", T.IntegerType()),
+    ]
+)
+
+
+@pytest.fixture
+def new_log(spark, tmp_path):
+    counter = iter(range(100))
+
+    def build(**options):
+        return CommitLog(
+            spark,
+            str(tmp_path / f"log{next(counter)}"),
+            SCHEMA,
+            ["k"],
+            "ts",
+            ordering_type="timestamp",
+            **options,
+        )
+
+    return build
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def content(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def versions(seed=3, n=60):
+    rng = random.Random(seed)
+    return [
+        (f"k{rng.randrange(8)}", f"2024-01-01T00:00:{rng.randrange(20):02d}", rng.randrange(5))
+        for _ in range(n)
+    ]
+
+
+def expected(rows):
+    best = {}
+    for k, ts, v in rows:
+        best[k] = max(best.get(k, ("", -1)), (ts, v))
+    return sorted((k, ts, v) for k, (ts, v) in best.items())
+
+
+def test_arrival_order_and_batch_limits_do_not_matter(spark, new_log):
+    rows = versions()
+    rng = random.Random(1)
+    for batches in (1, 3, 7):
+        rng.shuffle(rows)
+        log = new_log()
+        for i in range(batches):
+            log.upsert(frame(spark, rows[i::batches]))
+        assert content(log.snapshot()) == expected(rows)
+
+
+def test_times_are_compared_as_times_not_as_text(spark, new_log):
+    log = new_log()
+    # as text, "…00.5" sorts before "…00" with a "+" or a longer fraction
+    log.upsert(frame(spark, [("a", "2024-01-01T00:00:09", 1), ("a", "2024-01-01T00:00:09.000001", 2)]))
+    log.upsert(frame(spark, [("b", "2024-01-01 00:00:10", 1), ("b", "2024-01-01T00:00:09", 2)]))
+    assert [r[2] for r in content(log.snapshot())] == [2, 1]
+
+
+def test_replayed_batch_changes_nothing(spark, new_log):
+    log = new_log()
+    assert log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0") == 0
+    assert log.upsert(frame(spark, [("a", "2024-01-02", 2)]), "s.1") == 1
+    before = content(log.snapshot())
+    assert log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0") == 0
+    assert content(log.snapshot()) == before
+    assert len(log.commits()) == 2
+
+
+def test_unfinished_commit_is_invisible_and_taken_over(spark, new_log):
+    log = new_log()
+    log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0")
+    log.upsert(frame(spark, [("a", "2024-01-02", 2)]), "s.1")
+    os.remove(f"{log.commits()[1].path.removeprefix('file:')}/_SUCCESS")
+    assert content(log.snapshot()) == [("a", "2024-01-01", 1)]
+    assert log.upsert(frame(spark, [("a", "2024-01-02", 2)]), "s.1") == 1
+    assert content(log.snapshot()) == [("a", "2024-01-02", 2)]
+
+
+def test_delete_and_late_rows(spark, new_log):
+    log = new_log()
+    log.upsert(frame(spark, [("a", "2024-01-01", 1), ("b", "2024-01-01", 1)]))
+    log.delete(spark.createDataFrame([("a", "2024-01-05")], "k string, ts string"))
+    assert content(log.snapshot()) == [("b", "2024-01-01", 1)]
+    log.compact()
+    log.upsert(frame(spark, [("a", "2024-01-03", 7)]))  # older than the deletion
+    assert content(log.snapshot()) == [("b", "2024-01-01", 1)]
+    log.upsert(frame(spark, [("a", "2024-01-06", 8)]))
+    assert content(log.snapshot()) == [("a", "2024-01-06", 8), ("b", "2024-01-01", 1)]
+
+
+def test_time_travel(spark, new_log):
+    log = new_log()
+    for i in range(4):
+        log.upsert(frame(spark, [("a", f"2024-01-0{i + 1}", i)]))
+        if i == 2:
+            log.compact()
+    assert [content(log.snapshot(i))[0][2] for i in range(4)] == [0, 1, 2, 3]
+    assert content(log.snapshot(3)) == content(log.snapshot())
+    with pytest.raises(TableUnavailable):
+        log.snapshot(9)
+
+
+@pytest.mark.parametrize("order", ["event", "arrival"])
+@pytest.mark.parametrize("cluster_by", [[], ["v"]])
+def test_compaction_never_changes_a_snapshot(spark, new_log, order, cluster_by):
+    rows = versions(5, 80)
+    plain, compacted = new_log(order=order), new_log(order=order, cluster_by=cluster_by)
+    for i in range(5):
+        for log in (plain, compacted):
+            log.upsert(frame(spark, rows[i::5]))
+        if i in (1, 3):
+            compacted.compact()
+        assert content(plain.snapshot()) == content(compacted.snapshot())
+
+
+def test_arrival_order_lets_the_later_commit_win(spark, new_log):
+    log = new_log(order="arrival")
+    log.upsert(frame(spark, [("a", "2024-01-05", 1)]))
+    log.upsert(frame(spark, [("a", "2024-01-01", 2), ("a", "2024-01-02", 3)]))
+    assert content(log.snapshot()) == [("a", "2024-01-02", 3)]
+
+
+def test_missing_log(new_log):
+    with pytest.raises(TableUnavailable):
+        new_log().snapshot()
+    with pytest.raises(TableUnavailable):
+        new_log().compact()
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    hot = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("ts"),
+    )
+    newest = latest_per_key(hot, ["k"], [F.col("ts").desc()])
+    assert newest.filter("k = 'hot'").first()["ts"] == 29_997
+    assert newest.count() == 20_001
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    below_shuffle = plan[plan.index("Exchange") :]
+    assert "WindowGroupLimit" in below_shuffle
+
+
+def test_day_filter_reaches_the_compacted_files(spark, new_log):
+    log = new_log(cluster_by=["v"])
+    log.upsert(frame(spark, versions()))
+    log.compact()
+    plan = log.snapshot().filter("v = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "EqualTo(v,3)" in plan
