@@ -17,7 +17,7 @@ from ledgerline.plans.chain import run_chain
 from ledgerline.plans.daily import run_daily
 from ledgerline.plans.export import run_export
 from ledgerline.plans.forecast import run_forecast
-from ledgerline.plans.ingest import ingest
+from ledgerline.plans.ingest import compact, ingest
 from ledgerline.plans.verify import run_verify
 from ledgerline.session import create_session
 from ledgerline.sinks.tables import jdbc_sink, parquet_sink
@@ -54,7 +54,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     sub.add_argument("--checkpoint", required=True)
     sub.add_argument("--interval", default="10 seconds")
     sub.add_argument("--once", action="store_true", help="read what is there, then stop")
-    sub.add_argument("--compact-every", type=int, default=360)
+    sub.add_argument("--compact-every", type=int, help="micro-batches, never by default")
+    job("compact", "rewrite the order table as one clustered base")
 
     for name, text in (("daily", "metrics of one day"), ("chain", "daily, export and counts")):
         sub = job(name, text)
@@ -92,6 +93,8 @@ def _run(args: argparse.Namespace, lake: Lake) -> int:
         )
         interval = None if args.once else args.interval
         run_to_end(ingest(lake, raw, args.checkpoint, interval, args.compact_every))
+    elif args.job == "compact":
+        compact(lake)
     elif args.job == "daily":
         for table in run_daily(lake, args.date, args.fallback).values():
             table.show(24, truncate=False)

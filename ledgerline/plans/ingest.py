@@ -14,9 +14,20 @@ def ingest(
     raw: DataFrame,
     checkpoint: str,
     interval: str | None = "10 seconds",
-    compact_every: int | None = 360,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Keep the order table up to date from a raw stream; compacts hourly at the default interval."""
+    """Keep the order table up to date from a raw stream.
+
+    ``compact_every`` micro-batches also compact the table, which rewrites it; a large table is
+    better compacted by a scheduled :func:`compact`.
+    """
     return start_ingest(
         raw, lake.orders, lake.quarantine_path, checkpoint, interval, compact_every
     )
+
+
+def compact(lake: Lake) -> None:
+    """Compact the order table and the metric history."""
+    for log in (lake.orders, lake.daily_metrics):
+        if log.latest_commit() is not None:
+            log.compact()

@@ -1,17 +1,19 @@
 """A keyed table with upserts, deletes and time travel, kept as plain parquet commits.
 
-Every write is a folder ``commits/_commit_id=<n>/_batch=<token>`` that counts once Spark has put its
-``_SUCCESS`` marker there. Writing the same token again replaces that folder, so a replayed
-micro-batch changes nothing. A snapshot is the newest row per key over the commits, in one of two
-orders:
+Every write is a folder ``commits/_epoch=<n // 1000>/_commit_id=<n>/_batch=<token>`` that counts once
+Spark has put its ``_SUCCESS`` marker there. Writing the same token again replaces that folder, so a
+replayed micro-batch changes nothing. A snapshot is the newest row per key over the commits, in one
+of two orders:
 
 * ``event``: the newest ordering field wins whenever it arrives; batch boundaries and arrival order
   cannot change the result, the commit id only settles rows equal in every value;
 * ``arrival``: the newest commit wins, the ordering field decides within a commit.
 
-Compaction writes the newest row of every key to ``base/_base_id=<n>``, range-partitioned so that
-filters on the clustering columns skip files. Later snapshots read the base as it is, leave out the
-keys touched since by an anti join, and re-decide only those.
+Compaction writes the newest row of every key to ``base/_base_id=<n>``, range-partitioned by columns
+such as the order date so that a filter on them skips files. It costs a rewrite of the table, so it is
+a job of its own to be scheduled, not part of every micro-batch. A snapshot reads the base as it is,
+leaves out the keys touched since by an anti join, and re-decides only those; without newer commits it
+is a plain scan. Keys must not be null.
 """
 
 from __future__ import annotations
@@ -28,10 +30,13 @@ from ledgerline.operators.latest import latest_per_key
 from ledgerline.sources.tables import TableUnavailable
 
 DELETED = "_deleted"
+EPOCH = "_epoch"
 COMMIT = "_commit_id"
 BATCH = "_batch"
 BASE = "_base_id"
 
+COMMITS_PER_EPOCH = 1000  # bounds the folders listed for one write
+
 
 class Commit(NamedTuple):
     commit_id: int
@@ -55,7 +60,7 @@ class CommitLog:
         """``ordering_type`` parses the ordering field (ISO text as ``timestamp``) before comparing.
 
         ``volatile`` columns, such as an ingest time, take no part in choosing the newest row.
-        ``cluster_by`` lays out compacted files.
+        ``cluster_by`` names the columns that lay out the compacted base.
         """
         if order not in ("event", "arrival"):
             raise ValueError(f"unknown order {order!r}")
@@ -70,41 +75,72 @@ class CommitLog:
         self.cluster_by = list(cluster_by)
         stored = [*schema.fields, T.StructField(DELETED, T.BooleanType())]
         commit = T.StructField(COMMIT, T.LongType())
+        self._stored = [field.name for field in stored]
+        self._columns = [*self._stored, COMMIT]
         self._commit_schema = T.StructType(
-            [*stored, commit, T.StructField(BATCH, T.StringType())]
+            [
+                *stored,
+                T.StructField(EPOCH, T.LongType()),
+                commit,
+                T.StructField(BATCH, T.StringType()),
+            ]
         )
         self._base_schema = T.StructType([*stored, commit, T.StructField(BASE, T.LongType())])
-        self._columns = [field.name for field in stored] + [COMMIT]
 
     # -- what is there ---------------------------------------------------------------------------
 
-    def _complete(self, pattern: str) -> list[str]:
-        """Folders matching ``pattern`` whose write has finished."""
+    def _folders(self, pattern: str) -> list[str]:
         jvm = self.spark.sparkContext._jvm
-        marker = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}/_SUCCESS")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        found = marker.getFileSystem(conf).globStatus(marker) or []
-        return [status.getPath().getParent().toString() for status in found]
+        return [s.getPath().toString() for s in path.getFileSystem(conf).globStatus(path) or []]
+
+    def _finished(self, pattern: str) -> list[str]:
+        """Folders matching ``pattern`` whose write has finished."""
+        return [marker.rsplit("/", 1)[0] for marker in self._folders(f"{pattern}/_SUCCESS")]
 
-    def commits(self, as_of: int | None = None) -> list[Commit]:
-        """Finished commits up to ``as_of``, oldest first."""
+    def _epochs(self) -> list[int]:
+        return sorted(int(f.rsplit("=", 1)[1]) for f in self._folders(f"commits/{EPOCH}=*"))
+
+    def _commits_of(self, epoch: int) -> list[Commit]:
         commits = []
-        for folder in self._complete(f"commits/{COMMIT}=*/{BATCH}=*"):
+        for folder in self._finished(f"commits/{EPOCH}={epoch}/{COMMIT}=*/{BATCH}=*"):
             parent, batch = folder.rsplit(f"/{BATCH}=", 1)
             commits.append(Commit(int(parent.rsplit("=", 1)[1]), batch, folder))
-        return sorted(c for c in commits if as_of is None or c.commit_id <= as_of)
+        return commits
+
+    def commits(self, as_of: int | None = None, after: int = -1) -> list[Commit]:
+        """Finished commits later than ``after`` and up to ``as_of``, oldest first."""
+        first = (after + 1) // COMMITS_PER_EPOCH
+        last = float("inf") if as_of is None else as_of // COMMITS_PER_EPOCH
+        found = [c for e in self._epochs() if first <= e <= last for c in self._commits_of(e)]
+        return sorted(
+            c for c in found if c.commit_id > after and (as_of is None or c.commit_id <= as_of)
+        )
+
+    def _recent(self) -> list[Commit]:
+        """Commits of the newest two epochs that have any."""
+        found, epochs = [], 0
+        for epoch in reversed(self._epochs()):
+            commits = self._commits_of(epoch)
+            found += commits
+            epochs += bool(commits)
+            if epochs == 2:
+                break
+        return sorted(found)
 
     def latest_commit(self) -> int | None:
-        commits = self.commits()
+        commits = self._recent()
         return commits[-1].commit_id if commits else None
 
-    def _bases(self) -> list[int]:
-        return sorted(int(f.rsplit("=", 1)[1]) for f in self._complete(f"base/{BASE}=*"))
+    def _bases(self, as_of: int | None = None) -> list[int]:
+        ids = (int(f.rsplit("=", 1)[1]) for f in self._finished(f"base/{BASE}=*"))
+        return sorted(i for i in ids if as_of is None or i <= as_of)
 
     # -- writing ---------------------------------------------------------------------------------
 
     def upsert(self, rows: DataFrame, batch: str | None = None) -> int:
-        """Add rows as one commit and return its id. A known ``batch`` token is written again."""
+        """Add rows as one commit and return its id. A recent ``batch`` token is written again."""
         return self._append(rows.withColumn(DELETED, F.lit(False)), batch)
 
     def delete(self, rows: DataFrame, batch: str | None = None) -> int:
@@ -118,24 +154,25 @@ class CommitLog:
 
     def _append(self, rows: DataFrame, batch: str | None) -> int:
         batch = batch or uuid.uuid4().hex
-        commits = self.commits()
-        known = [c.commit_id for c in commits if c.batch == batch]
-        commit_id = known[0] if known else (commits[-1].commit_id + 1 if commits else 0)
-        rows.select(*(f.name for f in self._commit_schema.fields[:-2])).write.mode(
-            "overwrite"
-        ).parquet(f"{self.path}/commits/{COMMIT}={commit_id}/{BATCH}={batch}")
+        recent = self._recent()
+        known = [c.commit_id for c in recent if c.batch == batch]
+        commit_id = known[0] if known else (recent[-1].commit_id + 1 if recent else 0)
+        rows.select(*self._stored).write.mode("overwrite").parquet(
+            f"{self.path}/commits/{EPOCH}={commit_id // COMMITS_PER_EPOCH}"
+            f"/{COMMIT}={commit_id}/{BATCH}={batch}"
+        )
         return commit_id
 
     def compact(self) -> int:
-        """Write the newest row of every key, deletions included, as a new base; returns its id."""
+        """Store the newest row of every key, deletions included, as a base; returns its id."""
         newest = self.latest_commit()
         if newest is None:
             raise TableUnavailable(f"no commits in {self.path}")
         if newest not in self._bases():
             rows = self._winners(newest)
             if self.cluster_by:
+                # keys complete the range, so that a day with a third of the rows is still split
                 rows = rows.repartitionByRange(*self.cluster_by, *self.keys)
-                rows = rows.sortWithinPartitions(*self.cluster_by, *self.keys)
             rows.write.mode("overwrite").parquet(f"{self.path}/base/{BASE}={newest}")
         return newest
 
@@ -150,7 +187,7 @@ class CommitLog:
         reader = self.spark.read.schema(self._base_schema).option("basePath", f"{self.path}/base")
         return reader.parquet(f"{self.path}/base/{BASE}={base}").select(*self._columns)
 
-    def _newest_first(self) -> list[Column]:
+    def _newest(self, rows: DataFrame) -> DataFrame:
         ordering = F.col(self.ordering)
         if self.ordering_type:
             ordering = ordering.try_cast(self.ordering_type)
@@ -161,33 +198,30 @@ class CommitLog:
         ]
         by_event = [ordering.desc_nulls_last(), F.col(DELETED).desc(), *values]
         by_commit = F.col(COMMIT).desc()
-        return [*by_event, by_commit] if self.order == "event" else [by_commit, *by_event]
+        order = [*by_event, by_commit] if self.order == "event" else [by_commit, *by_event]
+        return latest_per_key(rows, self.keys, order)
 
     def _winners(self, as_of: int | None) -> DataFrame:
         """Newest row per key, deletions included."""
-        commits = self.commits(as_of)
-        if not commits:
-            raise TableUnavailable(f"no commits in {self.path}")
-        bases = [b for b in self._bases() if as_of is None or b <= as_of]
+        bases = self._bases(as_of)
+        commits = self.commits(as_of, bases[-1] if bases else -1)
         if not bases:
-            return latest_per_key(self._read_commits(commits), self.keys, self._newest_first())
+            if not commits:
+                raise TableUnavailable(f"no commits in {self.path}")
+            return self._newest(self._read_commits(commits))
         base = self._read_base(bases[-1])
-        newer = [c for c in commits if c.commit_id > bases[-1]]
-        if not newer:
+        if not commits:
             return base
-        delta = self._read_commits(newer)
+        delta = self._read_commits(commits)
         # no broadcast hint: Spark decides by the size of the newer commits
         touched = delta.select(*self.keys).distinct()
         contested = base.join(touched, self.keys, "left_semi").select(*self._columns)
-        decided = latest_per_key(
-            contested.unionByName(delta), self.keys, self._newest_first()
-        )
         untouched = base.join(touched, self.keys, "left_anti").select(*self._columns)
-        return untouched.unionByName(decided)
+        return untouched.unionByName(self._newest(contested.unionByName(delta)))
 
     def snapshot(self, as_of: int | None = None) -> DataFrame:
         """The table now, or as of a commit."""
-        if as_of is not None and as_of not in {c.commit_id for c in self.commits(as_of)}:
+        if as_of is not None and not self.commits(as_of, as_of - 1):
             raise TableUnavailable(f"no commit {as_of} in {self.path}")
         return (
             self._winners(as_of)

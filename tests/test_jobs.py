@@ -172,6 +172,7 @@ def test_command_line(spark, lake, tmp_path, capsys):
     chain = ["chain", "--lake", lake.root, "--date", "2024-01-15", "--serving-dir", serving]
     assert main(chain, spark) == 0
     assert main(["forecast", "--lake", lake.root, "--serving-dir", serving], spark) == 0
+    assert main(["compact", "--lake", lake.root], spark) == 0
     assert main(["daily", "--lake", lake.root, "--date", "2024-01-16"], spark) == 0
     assert main(["export", "--lake", lake.root, "--serving-dir", serving], spark) == 0
     assert read_parquet(spark, f"{serving}/daily_overall_metrics").count() == 2
