@@ -18,6 +18,7 @@ from ledgerline.plans.daily import run_daily
 from ledgerline.plans.export import run_export
 from ledgerline.plans.forecast import run_forecast
 from ledgerline.plans.ingest import compact, ingest
+from ledgerline.plans.smoke import run_smoke
 from ledgerline.plans.verify import run_verify
 from ledgerline.session import create_session
 from ledgerline.sinks.tables import jdbc_sink, parquet_sink
@@ -51,6 +52,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     source.add_argument("--json-lines")
     sub.add_argument("--topic", default="orders")
     sub.add_argument("--starting-offsets", default="latest")
+    sub.add_argument("--max-offsets", type=int, help="Kafka records per micro-batch")
     sub.add_argument("--checkpoint", required=True)
     sub.add_argument("--interval", default="10 seconds")
     sub.add_argument("--once", action="store_true", help="read what is there, then stop")
@@ -65,6 +67,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
             serving(sub, required=True)
     serving(job("export", "metric tables to the serving side"), required=True)
     serving(job("forecast", "history, seasonality and forecast"), required=False)
+    job("smoke", "read, compute, write and read back")
     sub = job("verify", "checks on the order table")
     sub.add_argument("--minimum-rows", type=int, default=50)
     return parser.parse_args(argv)
@@ -87,7 +90,9 @@ def _properties(args: argparse.Namespace) -> dict[str, str]:
 def _run(args: argparse.Namespace, lake: Lake) -> int:
     if args.job == "ingest":
         raw = (
-            kafka_stream(lake.spark, args.kafka_servers, args.topic, args.starting_offsets)
+            kafka_stream(
+                lake.spark, args.kafka_servers, args.topic, args.starting_offsets, args.max_offsets
+            )
             if args.kafka_servers
             else json_lines_stream(lake.spark, args.json_lines)
         )
@@ -106,6 +111,9 @@ def _run(args: argparse.Namespace, lake: Lake) -> int:
         lake.read("revenue_forecast_summary").show(truncate=False)
         if status is not None:
             status.show(truncate=False)
+    elif args.job == "smoke":
+        for table in run_smoke(lake):
+            table.show(truncate=False)
     elif args.job == "verify":
         for table in run_verify(lake, args.minimum_rows):
             table.show(truncate=False)

@@ -4,8 +4,7 @@ A plain ``sum`` of doubles depends on the order in which partial sums are merged
 can change the last digits and, with them, a top-k. Amounts are therefore summed as whole
 ten-thousandths. One BIGINT sum could overflow at 10^12 rows and a DECIMAL sum is several times
 slower, so each amount is split in two BIGINT parts which are summed separately and joined after the
-aggregation. If any amount does not fit (NaN, infinite, beyond 9*10^14), the plain double sum is
-returned for that group instead.
+aggregation. Amounts that do not fit (NaN, infinite, beyond 9*10^14) are summed as doubles and added.
 """
 
 from __future__ import annotations
@@ -35,8 +34,8 @@ def money_sum(amount: Column | str, over: WindowSpec | None = None) -> Column:
     low = agg(F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))).cast("decimal(20,0)")
     total = high * F.lit(Decimal(1 << LOW_BITS)) + low
     exact = (total * F.lit(Decimal(1) / UNITS_PER_ONE)).cast("double")
-    all_fit = agg(F.count(units)) == agg(F.count(amount))
-    return F.when(all_fit, exact).otherwise(agg(F.sum(amount)))
+    misfit = agg(F.sum(F.when(units.isNull(), amount)))
+    return F.when(misfit.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + misfit)
 
 
 def money_mean(amount: Column | str, over: WindowSpec | None = None) -> Column:

@@ -25,18 +25,14 @@ CONFIDENCE = 0.85
 
 def horizon_days(levels: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """One row per series and day after its last date, with that weekday's factor (1.0 if unseen)."""
-    steps = F.explode(F.sequence(F.lit(1), F.lit(horizon)))
-    days = levels.withColumn("_step", steps).withColumn(
+    steps = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_step")
+    days = levels.select("*", steps).withColumn(
         "forecast_date", midnight(F.date_add("last_date", F.col("_step")))
     )
-    return (
-        days.drop("_step")
-        .withColumn("day_of_week", day_of_week("forecast_date"))
-        .withColumn("day_name", day_name("forecast_date"))
-        .withColumn(
-            "factor",
-            F.coalesce(F.element_at("weekday_factors", F.col("day_of_week")), F.lit(1.0)),
-        )
+    weekday = day_of_week("forecast_date")
+    factor = F.coalesce(F.element_at("weekday_factors", weekday), F.lit(1.0))
+    return days.drop("_step").withColumns(
+        {"day_of_week": weekday, "day_name": day_name("forecast_date"), "factor": factor}
     )
 
 
@@ -52,12 +48,13 @@ def forecast_details(
     days = horizon_days(series_levels(daily, series_keys), horizon)
     factor, ma_7 = F.col("factor"), F.col("ma_7")
     blend = F.lit(alpha) * F.col("recent_avg") + F.lit(1 - alpha) * F.col("ma_14")
-    methods = (
-        days.withColumn("_ma", ma_7 * factor)
-        .withColumn("_wma", ma_7 * (F.lit(1.0) + F.col("growth_rate")) * factor)
-        .withColumn("_es", blend * factor)
-        .withColumn("_ensemble", (F.col("_ma") + F.col("_wma") + F.col("_es")) / F.lit(3.0))
-    )
+    methods = days.withColumns(
+        {
+            "_ma": ma_7 * factor,
+            "_wma": ma_7 * (F.lit(1.0) + F.col("growth_rate")) * factor,
+            "_es": blend * factor,
+        }
+    ).withColumn("_ensemble", (F.col("_ma") + F.col("_wma") + F.col("_es")) / F.lit(3.0))
     return methods.select(
         *series_keys,
         "forecast_date",

@@ -36,8 +36,8 @@ def daily_revenue(
 
 
 def _with_weekday(daily: DataFrame) -> DataFrame:
-    return daily.withColumn("day_of_week", day_of_week("order_date")).withColumn(
-        "day_name", day_name("order_date")
+    return daily.withColumns(
+        {"day_of_week": day_of_week("order_date"), "day_name": day_name("order_date")}
     )
 
 
@@ -124,8 +124,11 @@ def overall_daily_mean(daily: DataFrame, series_keys: Sequence[str] = ()) -> Dat
 
 
 def _positioned(daily: DataFrame, series_keys: Sequence[str]) -> DataFrame:
-    return daily.withColumn("_row", F.row_number().over(_by_date(series_keys))).withColumn(
-        "_rows", F.count(F.lit(1)).over(Window.partitionBy(*series_keys))
+    return daily.withColumns(
+        {
+            "_row": F.row_number().over(_by_date(series_keys)),
+            "_rows": F.count(F.lit(1)).over(Window.partitionBy(*series_keys)),
+        }
     )
 
 
@@ -146,35 +149,34 @@ def series_levels(daily: DataFrame, series_keys: Sequence[str] = ()) -> DataFram
     """One row per series with all a forecast needs, from one pass over the daily frame.
 
     overall_avg, recent_avg (last 7 rows), first_avg (first 7 rows), ma_7 and ma_14 of the newest
-    row, growth_rate (last 7 rows against the first 7 of the whole history, 0 where those are not
+    row (so ma_7 is recent_avg, and no moving frame has to be evaluated), growth_rate (last 7 rows against the first 7 of the whole history, 0 where those are not
     positive), last_date, and ``weekday_factors``, an array indexed by weekday number with null for
     weekdays never seen. A series without a dated row gives no row.
     """
-    placed = _positioned(
-        moving_averages(daily, series_keys, {"ma_7": WEEK, "ma_14": 2 * WEEK}), series_keys
-    )
-    is_recent = F.col("_row") > F.col("_rows") - WEEK
-    is_first = F.col("_row") <= WEEK
-    levels = placed.groupBy(*series_keys).agg(
+    from_end = F.col("_rows") - F.col("_row")
+
+    def mean_where(condition: Column) -> Column:
+        return money_mean(F.when(condition, F.col("revenue")))
+
+    levels = _positioned(daily, series_keys).groupBy(*series_keys).agg(
         money_mean("revenue").alias("overall_avg"),
-        money_mean(F.when(is_recent, F.col("revenue"))).alias("recent_avg"),
-        money_mean(F.when(is_first, F.col("revenue"))).alias("first_avg"),
-        F.max_by("ma_7", "order_date").alias("ma_7"),
-        F.max_by("ma_14", "order_date").alias("ma_14"),
+        mean_where(from_end < WEEK).alias("recent_avg"),
+        mean_where(F.col("_row") <= WEEK).alias("first_avg"),
+        mean_where(from_end < 2 * WEEK).alias("ma_14"),
         F.max("order_date").alias("last_date"),
         F.array(
-            *(
-                money_mean(F.when(F.col("day_of_week") == number, F.col("revenue")))
-                for number in range(1, WEEK + 1)
-            )
+            *(mean_where(F.col("day_of_week") == number) for number in range(1, WEEK + 1))
         ).alias("_weekday_avg"),
     )
+    factors = F.transform("_weekday_avg", lambda mean: F.try_divide(mean, F.col("overall_avg")))
     return (
         levels.filter(F.col("last_date").isNotNull())
-        .withColumn("growth_rate", growth(F.col("recent_avg"), F.col("first_avg")))
-        .withColumn(
-            "weekday_factors",
-            F.transform("_weekday_avg", lambda mean: F.try_divide(mean, F.col("overall_avg"))),
+        .withColumns(
+            {
+                "ma_7": F.col("recent_avg"),
+                "growth_rate": growth(F.col("recent_avg"), F.col("first_avg")),
+                "weekday_factors": factors,
+            }
         )
         .drop("_weekday_avg")
     )

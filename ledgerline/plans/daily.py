@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import rollup as R
 from ledgerline.operators.filters import on_date, with_run_date
-from ledgerline.session import scratch_path
+from ledgerline.session import drop_scratch, scratch_path
 from ledgerline.sources.lake import Lake
 
 
@@ -24,11 +24,11 @@ def daily_tables(rollup: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     }
 
 
-def _staged_rollup(lake: Lake, orders: DataFrame) -> DataFrame:
-    staged = scratch_path(lake.spark, "daily-rollup")
+def _stage(lake: Lake, orders: DataFrame, path: str) -> DataFrame:
+    """Write the rollup of some orders and return the written copy."""
     rollup = R.order_rollup(orders)
-    rollup.write.partitionBy("slice").parquet(staged)
-    return lake.spark.read.schema(rollup.schema).parquet(staged)
+    rollup.write.mode("overwrite").partitionBy("slice").parquet(path)
+    return lake.spark.read.schema(rollup.schema).parquet(path)
 
 
 def run_daily(
@@ -47,17 +47,21 @@ def run_daily(
     if date is None:
         date = spark.range(1).select(F.date_sub(F.current_date(), 1)).first()[0]
     orders = lake.orders.snapshot()
-    rollup = _staged_rollup(lake, on_date(orders, date))
-    used_fallback = fallback and rollup.isEmpty()
-    if used_fallback:
-        rollup = _staged_rollup(lake, orders)
-    tables = daily_tables(rollup, k)
-    for name, table in tables.items():
-        table = with_run_date(table, date)
-        if name == "daily_analytics":
-            lake.daily_metrics.upsert(table)
-            continue
-        if fallback:
-            table = table.withColumn("used_fallback", F.lit(used_fallback))
-        lake.overwrite(name, table)
+    scratch = scratch_path(spark, "daily-rollup")
+    try:
+        rollup = _stage(lake, on_date(orders, date), scratch)
+        used_fallback = fallback and rollup.isEmpty()
+        if used_fallback:
+            rollup = _stage(lake, orders, scratch)
+        tables = daily_tables(rollup, k)
+        for name, table in tables.items():
+            table = with_run_date(table, date)
+            if name == "daily_analytics":
+                lake.daily_metrics.upsert(table)
+                continue
+            if fallback:
+                table = table.withColumn("used_fallback", F.lit(used_fallback))
+            lake.overwrite(name, table)
+    finally:
+        drop_scratch(spark, scratch)
     return {name: lake.read(name) for name in tables}

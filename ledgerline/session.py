@@ -20,9 +20,8 @@ DEFAULTS = {
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, floor: int = 8) -> int:
     """Initial shuffle partitions so one partition holds about ``target_bytes``.
 
-    AQE merges partitions that turn out small but never adds any, so the initial number has to be
-    sized for the largest shuffle: 100 TB at 128 MiB gives about 750,000 tasks' worth of input and
-    is passed straight through.
+    AQE merges partitions that turn out small but adds none except for skewed joins, so the initial
+    number has to fit the largest shuffle of the job.
     """
     return max(floor, -(-int(input_bytes) // target_bytes))
 
@@ -60,3 +59,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="ledgerline-")
         context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a path made by :func:`scratch_path`."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

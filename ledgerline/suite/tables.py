@@ -12,6 +12,7 @@ from ledgerline.plans.chain import run_chain
 from ledgerline.plans.daily import run_daily
 from ledgerline.plans.forecast import run_forecast
 from ledgerline.plans.ingest import ingest
+from ledgerline.plans.smoke import run_smoke
 from ledgerline.plans.verify import verification
 from ledgerline.schemas import DAILY_SERVING, FORECAST_SERVING
 from ledgerline.session import scratch_path
@@ -30,7 +31,7 @@ from ledgerline.suite.adapters import (
     order_snapshot,
 )
 from ledgerline.suite.metrics import CHECKS, DAY, PRODUCT_TOTALS, TOTALS
-from ledgerline.suite.registry import EVENTS, ORDER_LOG, SNAPSHOT, mean, query, total
+from ledgerline.suite.registry import EVENTS, ORDER_LOG, SNAPSHOT, query, total
 from ledgerline.suite.series import EVENT_DAILY, FORECAST, SUMMARY, forecast_ctes
 
 ISO = "strftime(order_timestamp, '%Y-%m-%dT%H:%M:%S')"
@@ -356,6 +357,16 @@ def m4_export(spark, sf):
     return export_tables(spark, loads, sink, isolate=False).drop("error")
 
 
+@query(
+    "m5_smoke_job_top_products",
+    f"with {EVENTS} select product_id, count(order_id) as order_count, "
+    f"{total('total_amount')} as revenue from order_events group by product_id "
+    "order by revenue desc, product_id limit 5",
+)
+def smoke(spark, sf):
+    return run_smoke(_event_lake(spark, sf)).top_products
+
+
 @query(
     "m5_verify_checks",
     f"with {SNAPSHOT}, c as (select count(*) as n from snapshot) {CHECKS}",

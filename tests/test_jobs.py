@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 
@@ -8,6 +9,7 @@ from ledgerline.plans.chain import run_chain
 from ledgerline.plans.daily import run_daily
 from ledgerline.plans.export import run_export
 from ledgerline.plans.forecast import run_forecast
+from ledgerline.plans.smoke import run_smoke
 from ledgerline.plans.verify import run_verify
 from ledgerline.schemas import DAILY_METRICS, DAILY_SERVING, FORECAST_SERVING
 from ledgerline.sinks.export import export_tables
@@ -112,6 +114,21 @@ def test_verify(lake):
     assert counts == sorted(counts, reverse=True)
 
 
+def test_smoke(lake):
+    found = run_smoke(lake)
+    assert tuple(found.round_trip.first()) == (1, 1, True)
+    assert found.top_products.count() == 5
+    stored = lake.read("test_analytics")
+    assert stored.drop("test_date").collect() == found.summary.collect()
+
+
+def test_daily_job_leaves_no_scratch_behind(spark, lake):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    run_daily(lake, "2024-01-15")
+    assert {f for f in set(os.listdir(root)) - before if f.startswith("daily-rollup")} == set()
+
+
 def test_checks(spark):
     few = volume_checks(spark.range(3))
     assert [r["passed"] for r in enforce(few)] == [True, False]
