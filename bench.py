@@ -48,7 +48,7 @@ HEADLINE = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = os.environ.get("BENCH_QUERIES", "").split() or list(HEADLINE)
     spark = create_session(
         "bench",

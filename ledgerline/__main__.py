@@ -65,6 +65,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         sub.add_argument("--fallback", action="store_true", help="use all orders on an empty day")
         if name == "chain":
             serving(sub, required=True)
+        else:
+            sub.add_argument("--keep-history", action="store_true", help="keep tables per date")
     serving(job("export", "metric tables to the serving side"), required=True)
     serving(job("forecast", "history, seasonality and forecast"), required=False)
     job("smoke", "read, compute, write and read back")
@@ -101,7 +103,9 @@ def _run(args: argparse.Namespace, lake: Lake) -> int:
     elif args.job == "compact":
         compact(lake)
     elif args.job == "daily":
-        for table in run_daily(lake, args.date, args.fallback).values():
+        for table in run_daily(
+            lake, args.date, args.fallback, keep_history=args.keep_history
+        ).values():
             table.show(24, truncate=False)
     elif args.job == "export":
         run_export(lake, _sink(args)).show(truncate=False)

@@ -36,11 +36,13 @@ def run_daily(
     date: str | dt.date | None = None,
     fallback: bool = False,
     k: int = 10,
+    keep_history: bool = False,
 ) -> dict[str, DataFrame]:
     """Compute and store the metrics of ``date`` (yesterday by default); returns the stored tables.
 
     The orders are read once, into a rollup written to the shared scratch folder; the five tables
-    are built from that copy. Overall metrics are upserted by date, the other tables are replaced.
+    are built from that copy. Overall metrics are upserted by date, the other tables are replaced;
+    ``keep_history`` also keeps a copy of those per date.
     With ``fallback`` a day without orders uses all orders instead and says so in ``used_fallback``.
     """
     spark = lake.spark
@@ -62,6 +64,8 @@ def run_daily(
             if fallback:
                 table = table.withColumn("used_fallback", F.lit(used_fallback))
             lake.overwrite(name, table)
+            if keep_history:
+                lake.keep(name, str(date), lake.read(name))
     finally:
         drop_scratch(spark, scratch)
     return {name: lake.read(name) for name in tables}

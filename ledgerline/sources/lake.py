@@ -53,3 +53,12 @@ class Lake:
     def overwrite(self, table: str, df: DataFrame) -> None:
         """Replace a result table."""
         df.write.mode("overwrite").parquet(self.path(table))
+
+    def keep(self, table: str, date: str, df: DataFrame) -> None:
+        """Store one date's copy of a result table; a later run of that date replaces it."""
+        folder = f"{self.path(table)}_history/processing_date={date}"
+        df.drop("processing_date").write.mode("overwrite").parquet(folder)
+
+    def history(self, table: str) -> DataFrame:
+        """All kept dates of a result table."""
+        return read_parquet(self.spark, f"{self.path(table)}_history")

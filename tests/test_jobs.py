@@ -114,6 +114,13 @@ def test_verify(lake):
     assert counts == sorted(counts, reverse=True)
 
 
+def test_history_of_the_replaced_tables(lake):
+    for date in ("2024-01-15", "2024-01-16", "2024-01-16"):
+        run_daily(lake, date, keep_history=True)
+    kept = lake.history("top_products_daily").groupBy("processing_date").count().collect()
+    assert {str(r[0]): r[1] for r in kept} == {"2024-01-15": 10, "2024-01-16": 10}
+
+
 def test_smoke(lake):
     found = run_smoke(lake)
     assert tuple(found.round_trip.first()) == (1, 1, True)

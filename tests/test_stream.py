@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 
 from ledgerline.plans.ingest import ingest
 from ledgerline.sources.lake import Lake
@@ -72,6 +72,26 @@ def test_restart_resumes_and_a_fresh_checkpoint_loses_nothing(stage):
     assert len(stage.lake.orders.commits()) == 4
 
 
+def test_a_batch_that_failed_after_its_commit_is_replayed_in_place(stage, monkeypatch):
+    import ledgerline.streaming.ingest as module
+
+    stage.publish([message(1, 1, "a"), message(2, 1, "a")])
+    stage.run()
+
+    def fail(_):
+        raise RuntimeError("lost between the two writes")
+
+    stage.publish([message(1, 2, "b")])
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "rejected", fail)
+        with pytest.raises(StreamingQueryException, match="lost between"):
+            stage.run()
+    assert len(stage.lake.orders.commits()) == 2  # written, not yet acknowledged by the stream
+    stage.run()
+    assert len(stage.lake.orders.commits()) == 2
+    assert stage.statuses() == {"ORD-1": "b", "ORD-2": "a"}
+
+
 def test_malformed_messages_are_set_aside(spark, stage):
     stage.publish([message(1, 1), "not json", '{"price": 3}'])
     stage.run()
