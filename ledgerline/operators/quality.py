@@ -14,19 +14,20 @@ class DataQualityError(RuntimeError):
 
 def volume_checks(df: DataFrame, minimum_rows: int = MINIMUM_ROWS) -> DataFrame:
     """Two rows from one count: ``not_empty`` (error) and ``minimum_volume`` (warn)."""
+    return checks_on_count(df.agg(F.count("*").alias("observed")), minimum_rows)
+
+
+def checks_on_count(counted: DataFrame, minimum_rows: int = MINIMUM_ROWS) -> DataFrame:
+    """The volume checks on a one-row count named ``observed``."""
     checks = F.array(
         _check("not_empty", "error", 1), _check("minimum_volume", "warn", minimum_rows)
     )
-    return (
-        df.agg(F.count("*").alias("observed"))
-        .select("observed", F.explode(checks).alias("c"))
-        .select(
-            "c.check",
-            "c.severity",
-            "observed",
-            "c.threshold",
-            (F.col("observed") >= F.col("c.threshold")).alias("passed"),
-        )
+    return counted.select("observed", F.explode(checks).alias("c")).select(
+        "c.check",
+        "c.severity",
+        "observed",
+        "c.threshold",
+        (F.col("observed") >= F.col("c.threshold")).alias("passed"),
     )
 
 

@@ -88,11 +88,12 @@ def customer_segments(activity: DataFrame, as_of: Column, bands: int = 4) -> Dat
 
     Equal values always share a band. A band is one plus the number of cut points below the value,
     so the cut points travel as one broadcast row and no customer row is shuffled to be ranked.
-    ``activity`` is read twice, for the cuts and for the scoring.
     """
-    measured = activity.withColumn(
-        "recency_days", F.date_diff(as_of, F.col("last_order_date").cast("date"))
-    )
+    recency = F.date_diff(as_of, F.col("last_order_date").cast("date")).alias("recency_days")
+    # next to the column it comes from, so that cuts and scoring ask for the same aggregates in the
+    # same order and Spark shuffles the activity once for both
+    at = activity.columns.index("last_order_date") + 1
+    measured = activity.select(*activity.columns[:at], recency, *activity.columns[at:])
     cuts = discrete_quantiles(measured, list(MEASURES), [i / bands for i in range(1, bands)])
     cuts = cuts.toDF(*(f"_{column}" for column in MEASURES))
     scored = measured.crossJoin(F.broadcast(cuts))

@@ -7,9 +7,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import money_sum
 from ledgerline.operators.filters import preview
-from ledgerline.operators.metrics import order_summary, status_counts
-from ledgerline.operators.quality import MINIMUM_ROWS, enforce, volume_checks
+from ledgerline.operators.quality import MINIMUM_ROWS, checks_on_count, enforce
 from ledgerline.schemas import PREVIEW_COLUMNS
 from ledgerline.sources.lake import Lake
 
@@ -21,18 +21,37 @@ class Verification(NamedTuple):
     sample: DataFrame
 
 
-def verification(orders: DataFrame, minimum_rows: int = MINIMUM_ROWS) -> Verification:
-    """The checks, the statistics, rows per status (most first) and ten sample rows."""
+def verification(
+    orders: DataFrame, minimum_rows: int = MINIMUM_ROWS, persist: bool = False
+) -> Verification:
+    """The checks, the statistics, rows per status (most first) and ten sample rows.
+
+    All but the sample come from totals per status; with ``persist`` those few rows are kept after
+    their first use, so the orders are aggregated once.
+    """
+    totals = orders.groupBy("status").agg(
+        F.count("*").alias("count"),
+        money_sum("total_amount").alias("revenue"),
+        F.count("total_amount").alias("priced"),
+    )
+    if persist:
+        totals = totals.persist()
+    rows = F.coalesce(F.sum("count"), F.lit(0).cast("bigint"))
+    revenue = money_sum("revenue")
     return Verification(
-        volume_checks(orders, minimum_rows),
-        order_summary(orders, count_all_rows=True),
-        status_counts(orders).orderBy(F.col("count").desc(), "status"),
+        checks_on_count(totals.agg(rows.alias("observed")), minimum_rows),
+        totals.agg(
+            rows.alias("total_orders"),
+            revenue.alias("total_revenue"),
+            F.try_divide(revenue, F.sum("priced")).alias("avg_order_value"),
+        ),
+        totals.select("status", "count").orderBy(F.col("count").desc(), "status"),
         preview(orders, 10, PREVIEW_COLUMNS),
     )
 
 
 def run_verify(lake: Lake, minimum_rows: int = MINIMUM_ROWS) -> Verification:
     """Check the order table; raises when it is missing or empty."""
-    found = verification(lake.orders.snapshot(), minimum_rows)
+    found = verification(lake.orders.snapshot(), minimum_rows, persist=True)
     enforce(found.checks)
     return found

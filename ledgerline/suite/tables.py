@@ -31,6 +31,7 @@ from ledgerline.suite.adapters import (
     order_snapshot,
 )
 from ledgerline.suite.metrics import CHECKS, DAY, PRODUCT_TOTALS, TOTALS
+from ledgerline.suite.metrics import SUMMARY as SUMMARY_OF_ORDERS
 from ledgerline.suite.registry import EVENTS, ORDER_LOG, SNAPSHOT, query, total
 from ledgerline.suite.series import EVENT_DAILY, FORECAST, SUMMARY, forecast_ctes
 
@@ -375,6 +376,14 @@ def m5_checks(spark, sf):
     return verification(order_snapshot(spark, sf)).checks
 
 
+@query(
+    "m5_verify_statistics",
+    f"with {SNAPSHOT} select {SUMMARY_OF_ORDERS} from snapshot",
+)
+def m5_statistics(spark, sf):
+    return verification(order_snapshot(spark, sf)).statistics
+
+
 @query(
     "m5_verify_by_status",
     f"with {SNAPSHOT} select status, count(*) as count from snapshot group by status "

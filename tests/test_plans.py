@@ -2,7 +2,9 @@
 
 import pytest
 
-from ledgerline.operators import filters, forecast, metrics, rollup, timeseries
+from pyspark.sql import functions as F
+
+from ledgerline.operators import filters, forecast, metrics, rollup, segments, timeseries
 from ledgerline.suite.adapters import order_events, order_headers, order_snapshot
 from ledgerline.suite.registry import QUERIES
 
@@ -57,6 +59,12 @@ def test_rollup_reads_and_shuffles_once(spark, sf_dir):
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
+def test_segments_read_their_source_once(spark, sf_dir):
+    activity = segments.customer_activity(order_headers(spark, sf_dir))
+    text = final_plan(segments.customer_segments(activity, F.lit("2002-01-01").cast("date")))
+    assert text.count("FileScan") == 1
+
+
 def test_top_k_is_not_a_global_sort(spark, sf_dir):
     totals = metrics.product_totals(order_snapshot(spark, sf_dir))
     text = plan(metrics.top(totals, "total_revenue", "product_id"))
