@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # plans are built once per job and micro-batch; recording the Python line of every column
+    # expression takes a quarter of that time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
