@@ -4,19 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import odd_sketch, quality_rules
+from ledgerline.llm import decontaminate, histogram_sort, mixing, odd_sketch, quality_rules
 from ledgerline.llm.common import stored, table
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
     return odd_sketch.keep_first(docs, percent=80)
 
 
-STAGES = [("quality_rules", rules), ("near_duplicates", near_duplicates)]
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document, a row for each pass over it."""
+    return mixing.Mix(docs).documents()
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows with their shard and slot."""
+    return histogram_sort.histogram_sort(docs)
+
+
+STAGES = [
+    ("quality_rules", rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_free", benchmark_free),
+    ("mixed", mixed),
+    ("sharded", sharded),
+]
 
 # the mix and the splitters depend on hashes and refined probes that SQL cannot restate
 ORACLE_SQL = None

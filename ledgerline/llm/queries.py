@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import odd_sketch, pii, quality_rules
+from ledgerline.llm import decontaminate, histogram_sort, mixing, odd_sketch, pii, quality_rules
 from ledgerline.llm.common import table
 
 W = r"[\x20\x09-\x0D]+"
 
 
+def op1_histogram_sort(spark, sf_dir):
+    return histogram_sort.report(table(spark, sf_dir, "documents"))
+
+
+def op3_simhash_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_odd_sketch_dedup(spark, sf_dir):
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -16,6 +24,10 @@ def op5_pii_spans(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op6_source_mixing(spark, sf_dir):
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -25,7 +37,7 @@ def op7_quality_rules(spark, sf_dir):
 OP4_SQL = rf"""
 with recursive d as (
   select doc_id, list_filter(string_split_regex(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{W}'), x -> x <> '') as w
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{W}'), lambda x: x <> '') as w
   from documents),
 g as (
   select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s
@@ -49,8 +61,8 @@ def _quality_counts(source: str) -> str:
     stops = ", ".join("'" + w + "'" for w in sorted(set(quality_rules.STOP_WORDS)))
     return rf"""
 d as (select *, coalesce(text, '') as body,
-  list_filter(string_split_regex(coalesce(text, ''), '{W}'), x -> x <> '') as w,
-  list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  list_filter(string_split_regex(coalesce(text, ''), '{W}'), lambda x: x <> '') as w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
   from {source}),
 grams as (select doc_id, i, [w[i], w[i + 1], w[i + 2]] as s
   from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)),
@@ -63,7 +75,7 @@ counts as (select d.*, len(w)::bigint as n_words,
   (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
   coalesce(covered.n, 0)::bigint as n_repeat_words, len(lines) as n_lines,
   length(body) - length(replace(body, '!', '')) as n_shouts,
-  len(list_filter(w, x -> lower(x) in ({stops}))) as n_stop_words
+  len(list_filter(w, lambda x: lower(x) in ({stops}))) as n_stop_words
   from d left join covered using (doc_id))"""
 
 
@@ -77,7 +89,10 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   {FAILED} as base_failed, not {FAILED} and {PASSES} as kept from counts"""
 
 QUERIES = {
+    "op1_histogram_sort": (op1_histogram_sort, None),
+    "op3_simhash_decontamination": (op3_simhash_decontamination, None),
     "op4_odd_sketch_dedup": (op4_odd_sketch_dedup, OP4_SQL),
     "op5_pii_spans": (op5_pii_spans, None),
+    "op6_source_mixing": (op6_source_mixing, None),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
 }
