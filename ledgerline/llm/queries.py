@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, histogram_sort, mixing, odd_sketch, pii, quality_rules
+from ledgerline.llm import decontaminate, histogram_sort, mixing, odd_sketch, pii, quality_rules, reply_trees
 from ledgerline.llm.common import table
 
 W = r"[\x20\x09-\x0D]+"
@@ -12,6 +12,10 @@ def op1_histogram_sort(spark, sf_dir):
     return histogram_sort.report(table(spark, sf_dir, "documents"))
 
 
+def op2_reply_trees(spark, sf_dir):
+    return reply_trees.report(table(spark, sf_dir, "conversations"))
+
+
 def op3_simhash_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +38,29 @@ def op7_quality_rules(spark, sf_dir):
     )
 
 
+def _escaped_length(x: str, controls: tuple[str, ...]) -> str:
+    out = rf"replace({x}, '\', '\\')"
+    for c in controls:
+        out = rf"replace({out}, '{c}', '\{c}')"
+    return f"length({out})"
+
+
+OP2_SQL = rf"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -7, i, ['user', 'assistant'][i + 1], '{reply_trees.CONTROL}' from range(2) r(i)),
+c as (
+  select conv_id, count(*)::bigint as n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as body,
+    coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '') as loss,
+    sum(15 + {_escaped_length("role", ("###", "</turn>", ":"))}
+      + {_escaped_length("text", ("###", "</turn>"))})::bigint as formatted_chars
+  from t group by 1)
+select conv_id, n_turns, sha256(body) as turns_sha256, length(loss)::bigint as loss_chars,
+  sha256(loss) as loss_sha256, formatted_chars
+from c"""
+
 OP4_SQL = rf"""
 with recursive d as (
   select doc_id, list_filter(string_split_regex(
@@ -90,6 +117,7 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 
 QUERIES = {
     "op1_histogram_sort": (op1_histogram_sort, None),
+    "op2_reply_trees": (op2_reply_trees, OP2_SQL),
     "op3_simhash_decontamination": (op3_simhash_decontamination, None),
     "op4_odd_sketch_dedup": (op4_odd_sketch_dedup, OP4_SQL),
     "op5_pii_spans": (op5_pii_spans, None),
