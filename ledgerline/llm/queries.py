@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, histogram_sort, mixing, odd_sketch, pii, quality_rules, reply_trees
+from ledgerline.llm import decontaminate, histogram_sort, mixing, noisy_channel, odd_sketch, pii, quality_rules, reply_trees
 from ledgerline.llm.common import table
 
 W = r"[\x20\x09-\x0D]+"
@@ -38,6 +38,10 @@ def op7_quality_rules(spark, sf_dir):
     )
 
 
+def op9_noisy_channel_toxicity(spark, sf_dir):
+    return noisy_channel.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _escaped_length(x: str, controls: tuple[str, ...]) -> str:
     out = rf"replace({x}, '\', '\\')"
     for c in controls:
@@ -123,4 +127,5 @@ QUERIES = {
     "op5_pii_spans": (op5_pii_spans, None),
     "op6_source_mixing": (op6_source_mixing, None),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
+    "op9_noisy_channel_toxicity": (op9_noisy_channel_toxicity, None),
 }
