@@ -6,8 +6,8 @@ letters spelled out with separators, letters repeated three times or more) becom
 stand for itself or for letters, separators and repetitions may be dropped, at a cost each. Viterbi decoding
 finds the likeliest reading under the trigrams. Restored words join the plain ones.
 
-The score is a log-odds sum over a document's distinct features (words and their beginnings) that differ
-clearly between toxic and other training documents. Only labels of training rows are read; ids, languages
+The score is a log-odds sum over a document's distinct words, each by its strongest feature: features are
+words and beginnings of words that differ clearly between toxic and other training documents. Only labels of training rows are read; ids, languages
 and sources never enter a score.
 
 Defined cases: null and empty texts have no features and score the prior; null labels are unlabelled; a
@@ -33,6 +33,7 @@ from ledgerline.llm.common import mix64, range_hashes, slices
 # alphabet of the character model: 0 word border, 1-26 letters, 27 other letters
 CLASSES = 28
 STARTS = (4, 5)  # beginnings of words that are features, in bytes
+_PRIME = 0x9E3779B97F4A7C15
 EVIDENCE = 25.0  # least log-likelihood ratio statistic of a feature
 LEXICON = 200_000  # most features kept, by evidence: bound of the model that tasks receive
 DOUBT = 3.0  # subtracted from the log-odds: absence of all features speaks against toxicity
@@ -99,13 +100,13 @@ class Tokens:
 
 
 def features(start: np.ndarray, end: np.ndarray, data: np.ndarray, owner: np.ndarray):
-    """(owner, feature hash) of words and of their beginnings."""
-    owners, hashes = [owner], [range_hashes(data, start, end)]
-    for n in STARTS:
+    """Owners of words, and a row of feature hashes for each: the word, then its beginnings (0: too short)."""
+    hashes = np.zeros((len(start), 1 + len(STARTS)), np.uint64)
+    hashes[:, 0] = range_hashes(data, start, end)
+    for k, n in enumerate(STARTS, 1):
         long = end - start > n
-        owners.append(owner[long])
-        hashes.append(mix64(range_hashes(data, start[long], start[long] + n) ^ np.uint64(n)))
-    return np.concatenate(owners), np.concatenate(hashes)
+        hashes[long, k] = mix64(range_hashes(data, start[long], start[long] + n) ^ np.uint64(n))
+    return owner, hashes
 
 
 def of_words(words: list[str], owner: list[int]):
@@ -208,6 +209,8 @@ def _training_counts(logp: np.ndarray):
         for batch in slices(batches, "text"):
             owner, hashed = _all_features(batch, decoder)
             label = batch.column("toxic").to_numpy()
+            owner, hashed = np.repeat(owner, hashed.shape[1]), hashed.ravel()
+            owner, hashed = owner[hashed != 0], hashed[hashed != 0]
             order = np.lexsort((hashed, owner))
             owner, hashed = owner[order], hashed[order]
             new = np.ones(len(owner), bool)
@@ -285,9 +288,11 @@ class Model:
                     if len(keys):
                         owner, hashed = _all_features(batch, decoder)
                         at = np.minimum(np.searchsorted(keys, hashed), len(keys) - 1)
-                        hit = keys[at] == hashed
-                        pairs = np.unique(np.stack([owner[hit], at[hit]]), axis=1)
-                        total += np.bincount(pairs[0], weights[pairs[1]], len(batch))
+                        # a word counts once, by its strongest feature
+                        best = np.where(keys[at] == hashed, weights[at], 0.0).max(1, initial=0.0)
+                        hit = np.flatnonzero(best)
+                        _, once = np.unique(owner[hit].astype(np.uint64) * np.uint64(_PRIME) ^ hashed[hit, 0], return_index=True)
+                        total += np.bincount(owner[hit][once], best[hit][once], len(batch))
                     out.append(1 / (1 + np.exp(-total)))
                 yield pd.Series(np.concatenate(out) if out else [], dtype=float)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, histogram_sort, mixing, noisy_channel, odd_sketch, pii, quality_rules, reply_trees
+from ledgerline.llm import decontaminate, histogram_sort, mixing, noisy_channel, odd_sketch, pii, quality_rules, recompression, reply_trees
 from ledgerline.llm.common import table
 
 W = r"[\x20\x09-\x0D]+"
@@ -38,6 +38,10 @@ def op7_quality_rules(spark, sf_dir):
     )
 
 
+def op8_recompression_dedup(spark, sf_dir):
+    return recompression.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op9_noisy_channel_toxicity(spark, sf_dir):
     return noisy_channel.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -127,5 +131,6 @@ QUERIES = {
     "op5_pii_spans": (op5_pii_spans, None),
     "op6_source_mixing": (op6_source_mixing, None),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
+    "op8_recompression_dedup": (op8_recompression_dedup, None),
     "op9_noisy_channel_toxicity": (op9_noisy_channel_toxicity, None),
 }
