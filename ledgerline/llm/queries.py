@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, histogram_sort, mixing, noisy_channel, odd_sketch, pii, quality_rules, recompression, reply_trees
+from ledgerline.llm import (
+    bwt_merge,
+    decontaminate,
+    histogram_sort,
+    mixing,
+    noisy_channel,
+    odd_sketch,
+    pii,
+    quality_rules,
+    recompression,
+    reply_trees,
+)
 from ledgerline.llm.common import table
 
 W = r"[\x20\x09-\x0D]+"
@@ -46,6 +57,10 @@ def op9_noisy_channel_toxicity(spark, sf_dir):
     return noisy_channel.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_bwt_merge_dedup(spark, sf_dir):
+    return bwt_merge.dedup_bytes(table(spark, sf_dir, "documents"))
+
+
 def _escaped_length(x: str, controls: tuple[str, ...]) -> str:
     out = rf"replace({x}, '\', '\\')"
     for c in controls:
@@ -133,4 +148,5 @@ QUERIES = {
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
     "op8_recompression_dedup": (op8_recompression_dedup, None),
     "op9_noisy_channel_toxicity": (op9_noisy_channel_toxicity, None),
+    "op10_bwt_merge_dedup": (op10_bwt_merge_dedup, None),
 }
