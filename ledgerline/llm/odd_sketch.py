@@ -10,14 +10,15 @@ One pass hashes every shingle and keeps one-permutation MinHash samples: the sma
 estimates how many samples differ, precisely for high similarities.
 
 Equal sets (by a 128-bit digest) are one class and only its smallest id goes on, so exact copies never
-meet. Inside a bucket not all pairs are listed: the first round compares its members with the smallest one.
-Further rounds take hubs from the bucket's smaller components, compare members of other components with
-them, and retire them. A bucket is done when its remaining members are in one component. A group of near
-copies costs one pair per member, and the components are exactly those of all candidate pairs.
+meet. Every bucket first compares its members with its hub, the one that meets most others in all its
+buckets, such as the original of many copies: one pair a member. Only buckets whose other members are
+not in one component by then compare these, by their sketches alone, in cells of bounded size that can go to
+any task; what comes out is the pairs whose sketches allow a link, not all pairs. Components are exactly
+those of all candidate pairs.
 
 Defined cases: a null text is empty; rows with a null doc_id come back with a null component and are kept;
 rows sharing a doc_id count as one document; other columns are not read; an empty table stays empty.
-Chance of a missed link at the threshold: (1 - 0.85 ** 4) ** 32 for bands, 6 standard errors for sketches.
+Chance of a missed link at the threshold: (1 - 0.85 ** 4) ** 32 for bands, 5 standard errors for sketches.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import Words, connected, gram_hashes, mix64, slices, stored
 
 SHINGLE = 5
-BINS = 512  # MinHash samples
+BINS = 2048  # MinHash samples
 BANDS, ROWS = 32, 4
-SKETCH_BITS = 512
-MARGIN = 0.12  # estimated similarity may be lower than the threshold by this
+SKETCH_BITS = 2048
+ERRORS = 5  # standard errors by which an estimate may miss the threshold
 SMALL = 128  # shingles up to which a set is banded by permutations
-HUBS = 16  # hubs of a bucket in the second round; eight times as many in each further one
+CELL = 1024  # members of a bucket that one comparison of sketches holds
 
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -101,12 +102,12 @@ def _sketch(values: np.ndarray, bounds: np.ndarray):
     n, used = len(bounds) - 1, BANDS * ROWS
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(n), sizes)
-    cell = owner * BINS + (mix64(values + np.uint64(0x51ED2701)) >> np.uint64(64 - 9)).astype(np.int64)
+    cell = owner * BINS + (mix64(values + np.uint64(0x51ED2701)) >> np.uint64(64 - 11)).astype(np.int64)
     low = np.full(n * BINS, _NONE, np.uint64)
     low[cell[::-1]] = values[::-1]  # values ascend within a set: the smallest of a bin is written last
     low = low.reshape(n, BINS)
     row, bin_ = np.nonzero(low != _NONE)
-    bit = (mix64(low[row, bin_] + np.uint64(77)) >> np.uint64(64 - 9)).astype(np.int64)
+    bit = (mix64(low[row, bin_] + np.uint64(77)) >> np.uint64(64 - 11)).astype(np.int64)
     flips = np.bincount(row * SKETCH_BITS + bit, minlength=n * SKETCH_BITS) & 1
     sketch = np.packbits(flips.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1)
     keys = [[] for _ in range(n)]
@@ -156,12 +157,28 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
-def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Upper estimate of the similarity of sketched sets: (rows of sketch bytes, filled bins)."""
-    z = _POPCOUNT[a ^ b].sum(1).astype(float)
-    differ = -SKETCH_BITS / 2 * np.log(np.maximum(1 - 2 * z / SKETCH_BITS, 1e-3))
-    common = (na + nb - differ) / 2
-    return common / np.maximum(na, nb)
+def allowed(a: np.ndarray, b: np.ndarray, sizes: tuple, samples: tuple, percent: int) -> np.ndarray:
+    """Whether sketches (rows of bytes) of sets of given sizes and numbers of samples allow a link.
+
+    The population count of the XOR gives the number of differing samples, so the number of equal ones;
+    their share of the bins that either set fills estimates the similarity. Both errors are known: that
+    of the samples (none when every shingle has a bin of its own) and that of colliding bits.
+    """
+    flipped = _POPCOUNT[a ^ b].sum(1).astype(float)
+    differ = -SKETCH_BITS / 2 * np.log(np.maximum(1 - 2 * flipped / SKETCH_BITS, 1e-3))
+    equal = (samples[0] + samples[1] - differ) / 2
+    similarity = equal / np.maximum(*samples)
+    fill = [BINS * (1 - np.exp(n * np.log1p(-1 / BINS))) for n in sizes]
+    for _ in range(6):  # the bins that either set fills depend on the similarity
+        union = (sizes[0] + sizes[1]) / (1 + np.clip(similarity, 0, 1))
+        expected = BINS * (1 - np.exp(union * np.log1p(-1 / BINS)))
+        clashes = np.maximum(0, fill[0] + fill[1] - expected * (1 + np.clip(similarity, 0, 1)))
+        bins = np.maximum(samples[0] + samples[1] - equal - clashes, 1)
+        similarity = equal / bins
+    goal = percent / 100
+    error = goal * (1 - goal) / bins * np.maximum(0, 1 - bins / union)
+    error = error + (differ**2 / (2 * SKETCH_BITS) + clashes) / bins**2
+    return similarity >= goal - ERRORS * np.sqrt(error) - 2 / bins
 
 
 def _likely(percent: int):
@@ -173,9 +190,58 @@ def _likely(percent: int):
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(batch), -1)
                 for c in ("sa", "sb")
             ]
-            na, nb = (batch.column(c).to_numpy() for c in ("ka", "kb"))
-            near = estimate(*rows, na, nb) >= percent / 100 - MARGIN
-            yield batch.select(["a", "b"]).filter(pa.array(near))
+            sizes, samples = (tuple(batch.column(c).to_numpy() for c in names) for names in (("na", "nb"), ("ka", "kb")))
+            yield batch.select(["a", "b"]).filter(pa.array(allowed(*rows, sizes, samples, percent)))
+
+    return run
+
+
+def _cell(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Likely pairs of one cell: members of different components, of two blocks or within one."""
+    rep, comp, size, filled, block = (
+        rows.column(c).to_numpy() for c in ("rep", "comp", "n_shingles", "samples", "block")
+    )
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rep), -1)
+    a, b = [], []
+    left = np.flatnonzero(block == block.min()) if block.min() != block.max() else np.arange(len(rep))
+    right = np.flatnonzero(block != block.min()) if block.min() != block.max() else left
+    if rows.column("i")[0].as_py() != rows.column("j")[0].as_py() and right is left:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)  # one block of the two is empty
+    for k in left.tolist():
+        other = right[(comp[right] != comp[k]) & ((right > k) if right is left else True)]
+        other = other[100 * np.minimum(size[other], size[k]) >= percent * np.maximum(size[other], size[k])]
+        if len(other):
+            near = allowed(
+                sketch[other], sketch[k], (size[other], size[k]), (filled[other], filled[k]), percent
+            )
+            a.append(np.full(int(near.sum()), rep[k]))
+            b.append(rep[other[near]])
+    if not a:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = np.concatenate(a), np.concatenate(b)
+    return np.maximum(a, b), np.minimum(a, b)
+
+
+def _cell_pairs(percent: int):
+    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        a, b = _cell(pa.Table.from_batches(rows), percent)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            if not len(batch):
+                continue
+            key = np.stack([batch.column(c).to_numpy() for c in ("band", "i", "j")])
+            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist(), len(batch)]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                if last is not None and tuple(key[:, x]) != last:
+                    yield pairs(held)
+                    held = []
+                held.append(batch.slice(x, y - x))
+                last = tuple(key[:, x])
+        if held:
+            yield pairs(held)
 
     return run
 
@@ -218,53 +284,55 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     reps = stored(members.select("rep", "n_shingles", "bands", "sketch", "samples"), "reps")
     bands = stored(reps.select("rep", "n_shingles", F.explode("bands").alias("band")), "bands")
-    crowded = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    active = stored(bands.join(crowded, "band"), "buckets")
-    links, labels, most = None, None, HUBS
-    while True:
-        if labels is None:
-            placed = active.withColumn("comp", F.col("rep"))
-            hubs = placed.groupBy("band").agg(
-                F.min_by(F.struct("rep", "comp", "n_shingles"), "rep").alias("h")
-            ).select("band", "h.*")
-        else:
-            known = labels.withColumnRenamed("id", "rep")
-            placed = active.join(known, "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-            placed = stored(placed.drop("component"), "placed")
-            seen = placed.groupBy("band", "comp").agg(F.count("*").alias("n"))
-            largest = seen.groupBy("band").agg(
-                F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count("*").alias("comps")
-            )
-            rank = Window.partitionBy("band").orderBy("n", "comp", "rep")
-            hubs = (
-                placed.join(seen, ["band", "comp"])
-                .join(largest.where("comps > 1"), "band")
-                .where("comp <> largest")
-                .withColumn("rank", F.row_number().over(rank))
-                .where(f"rank <= {most}")
-                .select("band", "rep", "comp", "n_shingles")
-            )
-            most *= 8
-        hubs = stored(hubs, "hubs")
-        if hubs.isEmpty():
-            break
-        found = stored(confirm(stored(_likely_pairs(placed, hubs, reps, percent), "likely"), texts, percent), "links")
-        if links is None or not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = stored(connected(links, "near"), "labels")
-        # a hub has met all members of other components; a bucket without hubs is done
-        active = stored(
-            placed.drop("comp")
-            .join(hubs.select("band").distinct(), "band", "left_semi")
-            .join(hubs.select("band", "rep"), ["band", "rep"], "left_anti"),
-            "buckets",
-        )
-    if labels is None:
-        component = classes.withColumnRenamed("rep", "component")
-    else:
-        component = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "digest", F.coalesce("component", "rep").alias("component")
+    crowded = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    # a text that many others are copies of meets more of them than they meet each other
+    degree = F.sum("n").over(Window.partitionBy("rep"))
+    active = stored(
+        bands.join(crowded, "band").withColumn("degree", degree).drop("n"), "buckets"
+    )
+    bodies = stored(_bodies(texts, active.select(F.col("rep").alias("doc_id")).distinct()), "bodies")
+    hubs = stored(
+        active.groupBy("band").agg(F.max_by(F.struct("rep", "n_shingles"), F.struct("degree", "rep")).alias("h"))
+        .select("band", F.col("h.rep").alias("hub"), F.col("h.n_shingles").alias("hub_size")),
+        "hubs",
+    )
+    star = active.join(hubs, "band").where(
+        f"rep <> hub and 100 * least(n_shingles, hub_size) >= {percent} * greatest(n_shingles, hub_size)"
+    )
+    pairs = star.select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
+    links = stored(confirm(_likely_pairs(pairs, reps, percent), bodies, percent), "links")
+    labels = stored(connected(links, "near"), "labels").withColumnRenamed("id", "rep")
+    # members that are still apart, hubs left out as they have met all others
+    apart = (
+        active.join(hubs.select("band", "hub"), "band")
+        .where("rep <> hub")
+        .join(labels, "rep", "left")
+        .select("band", "rep", F.coalesce("component", "rep").alias("comp"))
+    )
+    apart = stored(apart, "apart")
+    mixed = apart.groupBy("band").agg(
+        F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    ).where("low <> high").select("band", F.ceil(F.col("members") / CELL).alias("blocks"))
+    celled = (
+        apart.join(mixed, "band")
+        .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(
+            "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp"
         )
+        .join(reps.select("rep", "n_shingles", "sketch", "samples"), "rep")
+    )
+    more = (
+        celled.repartition("band", "i", "j")
+        .sortWithinPartitions("band", "i", "j")
+        .mapInArrow(_cell_pairs(percent), "a long, b long")
+        .distinct()
+    )
+    found = stored(confirm(stored(more, "likely"), bodies, percent), "links")
+    labels = stored(connected(links.union(found), "near"), "labels")
+    component = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "digest", F.coalesce("component", "rep").alias("component")
+    )
     return (
         sketches.select("doc_id", "n_shingles", "digest")
         .join(component, "digest", "left")
@@ -277,29 +345,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
 
 
-def _likely_pairs(placed: DataFrame, hubs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a member and a hub of its bucket whose sizes and sketches allow a link."""
-    hub = hubs.select("band", F.col("rep").alias("b"), F.col("comp").alias("hub_comp"), F.col("n_shingles").alias("nb"))
-    pairs = (
-        placed.join(hub, "band")
-        .where(f"comp <> hub_comp and 100 * least(n_shingles, nb) >= {percent} * greatest(n_shingles, nb)")
-        .select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b"))
-        .distinct()
-    )
+def _likely_pairs(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sketches allow a link."""
 
     def side(x: str) -> DataFrame:
         return reps.select(
-            F.col("rep").alias(x), F.col("sketch").alias(f"s{x}"), F.col("samples").alias(f"k{x}")
+            F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"),
+            F.col("samples").alias(f"k{x}"),
         )
 
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_likely(percent), "a long, b long")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _bodies(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    return texts.join(wanted, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+
+
+def confirm(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of documents whose full shingle sets reach the threshold."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    bodies = texts.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
-    bodies = stored(bodies, "bodies")
     both = pairs.join(bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
         bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"
     )
