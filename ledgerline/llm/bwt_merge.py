@@ -3,8 +3,9 @@
 A byte goes when it lies in a ``window``-byte string that also starts earlier (smaller id, or the same document
 at an earlier place).
 
-1. Every window is assigned the smallest hash among its grams of ``GRAM`` bytes; consecutive windows with
-   one smallest gram (the first of equal ones) are a stretch. Equal windows have equal keys, so only stretches whose key occurs
+1. Every window is assigned the smallest hash among its grams of ``GRAM`` bytes. Consecutive windows with
+   one smallest gram (the first of equal ones) that hold the same bytes next to it, before or behind, are a
+   stretch; gram and bytes make its key. Equal windows have equal keys, so only stretches whose key occurs
    again can hold repeats. Stretches with one context (all bytes of their windows) repeat as a whole: all
    but the first occurrence go, and the first one stands for them.
 2. First occurrences whose key has several contexts are dealt by key, cut into shards, and each shard gets
@@ -16,9 +17,9 @@ at an earlier place).
 3. A key with contexts of more than ``GROUP_BYTES`` would be an unbounded group: its windows are matched by
    128-bit hashes in a plain aggregate instead, which gives the same result in any number of tasks.
 
-Documents with equal bytes are one class; the smallest id stands for it, the other copies go whole when they
-hold a window. Defined cases: null and empty texts have no bytes; texts shorter than a window are left
-whole; rows with one id and text count as one document; null ids come after all others; other columns are not
+Defined cases: null and empty texts have no bytes; texts shorter than a window are left
+whole; rows with one id and text count as one document, other rows with one id follow each other by a hash of
+their texts; null ids come after all others; other columns are not
 read; an empty table stays empty.
 """
 
@@ -40,6 +41,7 @@ GRAM = 24
 GROUP_BYTES = 1 << 18  # contexts of one key that one task merges
 BATCH_BYTES = 1 << 20  # contexts merged at a time
 SHARDS = 4
+BITMAP = 26  # the bitmap of repeated keys has 2 ** 26 bits
 LAST = (1 << 63) - 1
 
 _CODES = np.random.Generator(np.random.PCG64(71)).integers(1, 1 << 63, 256, np.uint64)
@@ -78,49 +80,91 @@ def stretches(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
     new[1:] = (p[1:] != p[:-1] + 1) | (key[1:] != key[:-1]) | (grams[p[:-1]] == key[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(p)))
-    start = p[first]
-    return start, count, key[first], mix64(contents.of(start, start + count - 1 + window) + count.astype(np.uint64))
+    start, key = p[first], key[first]
+    # the gram of a stretch is the first one like it that its last window holds
+    place = start + count - 1
+    step = max(1, (1 << 22) // want)
+    for i in range(0, len(place), step):
+        part = place[i : i + step]
+        place[i : i + step] = part + (grams[part[:, None] + np.arange(want)] == key[i : i + step, None]).argmax(1)
+    # every window holds ``side`` bytes more before or behind the gram: they make the key
+    side = (window - gram) // 2
+    split = np.clip(place - side + 1, start, start + count)
+    start, end = np.concatenate([start, split]), np.concatenate([split, start + count])
+    low = np.concatenate([place - side, place])
+    mark = np.repeat(np.array([0x5BD1E995, 0x1B873593], np.uint64), len(place))
+    some = np.flatnonzero(end > start)
+    some = some[np.argsort(start[some], kind="stable")]
+    start, end, low = start[some], end[some], low[some]
+    key = mix64(contents.of(low, low + gram + side) + mark[some])
+    count = end - start
+    return start, count, key, mix64(contents.of(start, end - 1 + window) + count.astype(np.uint64))
+
+
+def _hash(raw: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        raws = [(t or "").encode() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc"),
+                pa.array([_hash(r) for r in raws], pa.int64()),
+                pa.array([len(r) for r in raws], pa.int64()),
+                pa.array([hashlib.sha256(r).hexdigest() for r in raws], pa.string()),
+            ],
+            ["doc", "body", "n_bytes", "sha"],
+        )
+
 
+def _keys(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            keys, n = np.unique(stretches(*_bytes(batch.column("text")), window)[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
 
-def _digest(raw: bytes) -> bytes:
-    return hashlib.blake2b(raw, digest_size=16).digest()
+    return run
 
 
-PARSED = (
-    "doc_id long, digest binary, n_bytes long, sha string, key array<long>, context array<long>, "
-    "first array<int>, windows array<int>"
-)
+FLAT = "key long, context long, doc long, body long, first int, windows int"
 
 
-def _parse(window: int):
+def _flat(window: int, bits: np.ndarray):
+    """Stretches whose key may occur again, by a bitmap of fixed size."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             data, offsets = _bytes(batch.column("text"))
             start, count, key, context = stretches(data, offsets, window)
-            cut = np.searchsorted(start, offsets)
+            at = key >> np.uint64(64 - BITMAP)
+            found = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+            start, count, key, context = start[found], count[found], key[found], context[found]
             owner = np.searchsorted(offsets, start, "right") - 1
-            raws = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            lists = [
-                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(v))
-                for v in (
-                    key.view(np.int64), context.view(np.int64),
-                    (start - offsets[owner]).astype(np.int32), count.astype(np.int32),
-                )
-            ]
+            bodies = np.array([_hash(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    pa.array([_digest(r) for r in raws], pa.binary()),
-                    pa.array(np.diff(offsets)),
-                    pa.array([hashlib.sha256(r).hexdigest() for r in raws], pa.string()),
-                    *lists,
+                    pa.array(key.view(np.int64)), pa.array(context.view(np.int64)),
+                    batch.column("doc").take(pa.array(owner)), pa.array(bodies[owner]),
+                    pa.array((start - offsets[owner]).astype(np.int32)), pa.array(count.astype(np.int32)),
                 ],
-                ["doc_id", "digest", "n_bytes", "sha", "key", "context", "first", "windows"],
-            )
+                ["key", "context", "doc", "body", "first", "windows"],
+            )
 
     return run
 
 
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bitmap of the leading bits of keys: ``2 ** BITMAP`` bits, however many keys there are."""
+    lead = F.shiftrightunsigned("key", 64 - BITMAP)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), lead.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    rows = keys.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    bits = np.zeros(1 << (BITMAP - 6), np.uint64)
+    bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return bits
+
+
 def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted rotations of a shard and, for each, the two bytes before it as one number."""
     n = len(text)
@@ -206,25 +250,25 @@ def later_windows(contexts: list[bytes], order: np.ndarray, window: int) -> np.n
 
 def _merge(window: int):
     def batch_spans(rows: list[dict]) -> pa.RecordBatch:
-        ranked = sorted({(r["doc"], r["digest"]) for r in rows})
+        ranked = sorted({(r["doc"], r["body"]) for r in rows})
         rank = {d: i for i, d in enumerate(ranked)}
-        order = np.array([(rank[r["doc"], r["digest"]] << 32) + r["first"] for r in rows], np.int64)
+        order = np.array([(rank[r["doc"], r["body"]] << 32) + r["first"] for r in rows], np.int64)
         flags = later_windows([r["bytes"] for r in rows], order, window)
         counts = np.array([len(r["bytes"]) - window + 1 for r in rows])
         edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
         low, high = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         base = np.cumsum(counts) - counts
-        out: list[tuple[bytes, int, int]] = []
+        out: list[tuple[int, int, int, int]] = []
         for a, b in zip(low.tolist(), high.tolist(), strict=True):
             i = int(np.searchsorted(base, a, "right")) - 1
             while a < b:  # a run may go on into the next context
                 stop = min(b, int(base[i] + counts[i]))
                 first = rows[i]["first"]
-                out.append((rows[i]["digest"], first + a - int(base[i]), first + stop - 1 - int(base[i])))
+                out.append((rows[i]["doc"], rows[i]["body"], first + a - int(base[i]), first + stop - 1 - int(base[i])))
                 a, i = stop, i + 1
         return pa.RecordBatch.from_arrays(
-            [pa.array([x[k] for x in out], t) for k, t in ((0, pa.binary()), (1, pa.int32()), (2, pa.int32()))],
-            ["digest", "first", "last"],
+            [pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
+            ["doc", "body", "first", "last"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,9 +297,9 @@ def _contexts(window: int):
                 raw = row["text"].encode()
                 for a in row["asked"]:
                     end = a["first"] + a["windows"] - 1 + window
-                    rows.append((a["key"], row["doc"], row["digest"], a["first"], raw[a["first"] : end], a["large"]))
-            names = ["key", "doc", "digest", "first", "bytes", "large"]
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.bool_()]
+                    rows.append((a["key"], row["doc"], row["body"], a["first"], raw[a["first"] : end], a["large"]))
+            names = ["key", "doc", "body", "first", "bytes", "large"]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -274,10 +318,10 @@ def _hashed(window: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                        pa.array(np.full(len(p), row["doc"])), pa.array([row["digest"]] * len(p), pa.binary()),
+                        pa.array(np.full(len(p), row["doc"])), pa.array(np.full(len(p), row["body"])),
                         pa.array((p + row["first"]).astype(np.int32)),
                     ],
-                    ["h1", "h2", "doc", "digest", "at"],
+                    ["h1", "h2", "doc", "body", "at"],
                 )
 
     return run
@@ -297,97 +341,88 @@ def _remove(window: int):
                 out.append((int(gone.sum()), runs, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
             columns = list(zip(*out, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), *[pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.string()), strict=True)]],
-                ["digest", "n_removed", "n_spans", "kept"],
+                [
+                    batch.column("doc"), batch.column("body"),
+                    *[pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.string()), strict=True)],
+                ],
+                ["doc", "body", "n_removed", "n_spans", "kept"],
             )
 
     return run
 
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Only rows whose text has the wanted digest."""
+def _with_body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Only rows whose text is the wanted one of its id."""
     for batch in slices(batches, "text"):
         same = [
-            _digest(text.encode()) == want
-            for text, want in zip(batch.column("text").to_pylist(), batch.column("digest").to_pylist(), strict=True)
+            _hash(text.encode()) == want
+            for text, want in zip(batch.column("text").to_pylist(), batch.column("body").to_pylist(), strict=True)
         ]
         yield batch.filter(pa.array(same, pa.bool_()))
 
 
 def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each row of ``docs``."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
-    parsed = stored(texts.mapInArrow(_parse(window), PARSED), "parsed")
-    classes = stored(parsed.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.count("*").alias("rows")), "classes")
-    crowded = classes.where("rows > 1").select("digest", "doc", F.lit(True).alias("copied"))
-    reps = parsed.join(crowded, "digest", "left").where("copied is null or doc_id = doc")
-    flat = stored(
-        reps.select(
-            F.col("doc_id").alias("doc"), "digest", F.explode(F.arrays_zip("key", "context", "first", "windows")).alias("s")
-        ).select("s.key", "s.context", "doc", "digest", "s.first", "s.windows"),
-        "stretches",
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
+    texts = docs.select(doc, F.coalesce("text", F.lit("")).alias("text"))
+    parsed = stored(texts.mapInArrow(_documents, "doc long, body long, n_bytes long, sha string"), "documents")
+    again = stored(
+        texts.mapInArrow(_keys(window), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"),
+        "again",
     )
-    again = flat.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    flat = texts.mapInArrow(_flat(window, _bitmap(again)), FLAT)
     shared = stored(flat.join(again, "key", "left_semi"), "shared")
     contexts = stored(
         shared.groupBy("key", "context").agg(
-            F.min(F.struct("doc", "digest", "first")).alias("at"), F.max("windows").alias("windows"), F.count("*").alias("n")
+            F.min(F.struct("doc", "body", "first")).alias("at"), F.max("windows").alias("windows"), F.count("*").alias("n")
         ),
         "contexts",
     )
-    at = contexts.where("n > 1").select("key", "context", "at")
-    whole = shared.join(at, ["key", "context"]).where("struct(doc, digest, first) <> at").select(
-        "digest", "first", (F.col("first") + F.col("windows") - 1).alias("last")
-    )
+    whole = shared.join(contexts.where("n > 1").select("key", "context", "at"), ["key", "context"]).where(
+        "struct(doc, body, first) <> at"
+    ).select("doc", "body", "first", (F.col("first") + F.col("windows") - 1).alias("last"))
     kinds = contexts.groupBy("key").agg(
         F.count("*").alias("kinds"), F.sum(F.col("windows") + window).alias("size")
     ).where("kinds > 1")
-    doubtful = contexts.join(kinds, "key").select(
-        "key", "at.*", "windows", (F.col("size") > group_bytes).alias("large")
-    )
-    doubtful = stored(doubtful, "doubtful")
-    touched = doubtful.select("doc", "digest").union(shared.select("doc", "digest")).distinct()
-    bodies = stored(
-        texts.join(touched, texts["doc_id"] == touched["doc"])
-        .select("doc", "digest", F.coalesce("text", F.lit("")).alias("text"))
-        .mapInArrow(_bodies, "doc long, digest binary, text string")
-        .dropDuplicates(["digest"]),
-        "bodies",
-    )
-    asked = doubtful.groupBy("digest").agg(
-        F.collect_list(F.struct("key", "first", "windows", "large")).alias("asked")
-    )
+    asked = contexts.join(kinds, "key").select(
+        "at.doc", "at.body", F.struct("key", "at.first", "windows", (F.col("size") > group_bytes).alias("large")).alias("a")
+    ).groupBy("doc", "body").agg(F.collect_list("a").alias("asked"))
     pieces = stored(
-        bodies.join(asked, "digest").mapInArrow(
-            _contexts(window), "key long, doc long, digest binary, first int, bytes binary, large boolean"
+        texts.join(stored(asked, "asked"), "doc").mapInArrow(
+            _chained(_with_body, _contexts(window)),
+            "key long, doc long, body long, first int, bytes binary, large boolean",
         ),
         "pieces",
     )
-    small = pieces.where("not large").select("key", "doc", "digest", "first", "bytes")
+    small = pieces.where("not large").select("key", "doc", "body", "first", "bytes")
     part = small.repartition("key").sortWithinPartitions("key").mapInArrow(
-        _merge(window), "digest binary, first int, last int"
+        _merge(window), "doc long, body long, first int, last int"
     )
-    hashed = pieces.where("large").mapInArrow(_hashed(window), "h1 long, h2 long, doc long, digest binary, at int")
-    first = hashed.groupBy("h1", "h2").agg(F.min(F.struct("doc", "digest", "at")).alias("first"), F.count("*").alias("n"))
-    rest = hashed.join(first.where("n > 1"), ["h1", "h2"]).where("struct(doc, digest, at) <> first").select(
-        "digest", F.col("at").alias("first"), F.col("at").alias("last")
+    hashed = pieces.where("large").mapInArrow(_hashed(window), "h1 long, h2 long, doc long, body long, at int")
+    first = hashed.groupBy("h1", "h2").agg(F.min(F.struct("doc", "body", "at")).alias("first"), F.count("*").alias("n"))
+    rest = hashed.join(first.where("n > 1"), ["h1", "h2"]).where("struct(doc, body, at) <> first").select(
+        "doc", "body", F.col("at").alias("first"), F.col("at").alias("last")
     )
-    spans = whole.union(part).union(rest).groupBy("digest").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    changed = bodies.join(spans, "digest").mapInArrow(
-        _remove(window), "digest binary, n_removed long, n_spans long, kept string"
+    spans = stored(
+        whole.union(part).union(rest).distinct().groupBy("doc", "body").agg(F.collect_list(F.struct("first", "last")).alias("spans")),
+        "spans",
     )
-    nothing = F.sha2(F.lit("").cast("binary"), 256)
-    copy = F.coalesce(F.col("copied") & (F.col("doc_id") != F.col("doc")) & (F.col("n_bytes") >= window), F.lit(False))
-    zero = F.lit(0).cast("long")
-    return (
-        parsed.select("doc_id", "digest", "n_bytes", "sha")
-        .join(changed, "digest", "left")
-        .join(crowded, "digest", "left")
-        .select(
-            F.when(F.col("doc_id") != LAST, F.col("doc_id")).alias("doc_id"),
-            "n_bytes",
-            F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
-            F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
-            F.when(copy, nothing).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"),
+    changed = (
+        texts.join(spans, "doc")
+        .mapInArrow(
+            _chained(_with_body, _remove(window)), "doc long, body long, n_removed long, n_spans long, kept string"
         )
+        .dropDuplicates(["doc", "body"])
+    )
+    zero = F.lit(0).cast("long")
+    return parsed.join(changed, ["doc", "body"], "left").select(
+        F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"),
+        "n_bytes",
+        F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"),
+        F.coalesce("kept", "sha").alias("kept_sha256"),
     )
+
+
+def _chained(one, two):
+    return lambda batches: two(one(batches))
