@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import mix64, slices, stored
+from ledgerline.llm.common import bitmap, body_hash, chained, in_bitmap, mix64, slices, stored, with_body
 from ledgerline.llm.recompression import Ranges
 
 WINDOW = 100
@@ -41,7 +41,6 @@ GRAM = 24
 GROUP_BYTES = 1 << 18  # contexts of one key that one task merges
 BATCH_BYTES = 1 << 20  # contexts merged at a time
 SHARDS = 4
-BITMAP = 26  # the bitmap of repeated keys has 2 ** 26 bits
 LAST = (1 << 63) - 1
 
 _CODES = np.random.Generator(np.random.PCG64(71)).integers(1, 1 << 63, 256, np.uint64)
@@ -101,17 +100,13 @@ def stretches(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
     return start, count, key, mix64(contents.of(start, end - 1 + window) + count.astype(np.uint64))
 
 
-def _hash(raw: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
-
-
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         raws = [(t or "").encode() for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc"),
-                pa.array([_hash(r) for r in raws], pa.int64()),
+                pa.array([body_hash(r) for r in raws], pa.int64()),
                 pa.array([len(r) for r in raws], pa.int64()),
                 pa.array([hashlib.sha256(r).hexdigest() for r in raws], pa.string()),
             ],
@@ -138,11 +133,10 @@ def _flat(window: int, bits: np.ndarray):
         for batch in slices(batches, "text", 1 << 20):
             data, offsets = _bytes(batch.column("text"))
             start, count, key, context = stretches(data, offsets, window)
-            at = key >> np.uint64(64 - BITMAP)
-            found = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+            found = in_bitmap(bits, key)
             start, count, key, context = start[found], count[found], key[found], context[found]
             owner = np.searchsorted(offsets, start, "right") - 1
-            bodies = np.array([_hash(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
+            bodies = np.array([body_hash(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(key.view(np.int64)), pa.array(context.view(np.int64)),
@@ -155,16 +149,6 @@ def _flat(window: int, bits: np.ndarray):
     return run
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Bitmap of the leading bits of keys: ``2 ** BITMAP`` bits, however many keys there are."""
-    lead = F.shiftrightunsigned("key", 64 - BITMAP)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), lead.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    rows = keys.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    bits = np.zeros(1 << (BITMAP - 6), np.uint64)
-    bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return bits
-
-
 def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted rotations of a shard and, for each, the two bytes before it as one number."""
     n = len(text)
@@ -351,16 +335,6 @@ def _remove(window: int):
     return run
 
 
-def _with_body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Only rows whose text is the wanted one of its id."""
-    for batch in slices(batches, "text"):
-        same = [
-            _hash(text.encode()) == want
-            for text, want in zip(batch.column("text").to_pylist(), batch.column("body").to_pylist(), strict=True)
-        ]
-        yield batch.filter(pa.array(same, pa.bool_()))
-
-
 def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each row of ``docs``."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
@@ -370,7 +344,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
         texts.mapInArrow(_keys(window), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"),
         "again",
     )
-    flat = texts.mapInArrow(_flat(window, _bitmap(again)), FLAT)
+    flat = texts.mapInArrow(_flat(window, bitmap(again)), FLAT)
     shared = stored(flat.join(again, "key", "left_semi"), "shared")
     contexts = stored(
         shared.groupBy("key", "context").agg(
@@ -389,7 +363,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
     ).groupBy("doc", "body").agg(F.collect_list("a").alias("asked"))
     pieces = stored(
         texts.join(stored(asked, "asked"), "doc").mapInArrow(
-            _chained(_with_body, _contexts(window)),
+            chained(with_body, _contexts(window)),
             "key long, doc long, body long, first int, bytes binary, large boolean",
         ),
         "pieces",
@@ -410,7 +384,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
     changed = (
         texts.join(spans, "doc")
         .mapInArrow(
-            _chained(_with_body, _remove(window)), "doc long, body long, n_removed long, n_spans long, kept string"
+            chained(with_body, _remove(window)), "doc long, body long, n_removed long, n_spans long, kept string"
         )
         .dropDuplicates(["doc", "body"])
     )
@@ -422,7 +396,3 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
         F.coalesce("n_spans", zero).alias("n_spans"),
         F.coalesce("kept", "sha").alias("kept_sha256"),
     )
-
-
-def _chained(one, two):
-    return lambda batches: two(one(batches))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that persist)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +117,47 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 <
             at = to
 
 
+def body_hash(raw: bytes) -> int:
+    """Tells texts of one id apart."""
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+
+
+def with_body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Only rows whose text is the wanted one of its id."""
+    for batch in slices(batches, "text"):
+        same = [
+            body_hash((text or "").encode()) == want
+            for text, want in zip(batch.column("text").to_pylist(), batch.column("body").to_pylist(), strict=True)
+        ]
+        yield batch.filter(pa.array(same, pa.bool_()))
+
+
+def chained(one, two):
+    """Two functions for ``mapInArrow``, one after the other."""
+    return lambda batches: two(one(batches))
+
+
+BITMAP = 26
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """Bitmap of the leading bits of 64-bit keys: ``2 ** BITMAP`` bits, however many keys there are.
+
+    It only saves shuffling what cannot match; the more keys there are, the less it saves.
+    """
+    lead = F.shiftrightunsigned("key", 64 - BITMAP)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), lead.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    rows = keys.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    bits = np.zeros(1 << (BITMAP - 6), np.uint64)
+    bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return bits
+
+
+def in_bitmap(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = key >> np.uint64(64 - BITMAP)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
 def connected(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of links (a, b): rows (id, component), component = smallest id reachable.
 

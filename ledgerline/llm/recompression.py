@@ -15,10 +15,9 @@ depended on) and its context (all words of its windows).
 3. Other stretches with a repeated key are verified window by window, by 128-bit hashes, one stretch for each
    context. So a passage in very many documents costs one row a document and a few rows more.
 
-Documents with equal word sequences are one class; only one of them goes through this, and all windows of a
-class of several documents repeat. Defined cases: null and empty texts have no words, and nothing is removed;
-a document under ``window`` words is left whole; null ids come back as null; rows with one id
-are documents of their own; other columns are not read; an empty table stays empty.
+Defined cases: null and empty texts have no words, and nothing is removed; a document under ``window`` words is
+left whole; null ids come back as null; rows with one id are documents of their own, and equal rows repeat each
+other; other columns are not read; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -31,9 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Words, mix64, slices, stored
+from ledgerline.llm.common import Words, bitmap, body_hash, chained, in_bitmap, mix64, slices, stored, with_body
 
 WINDOW = 35
+LAST = (1 << 63) - 1
 ROUNDS = 3
 
 _STEP = 0xA24BAED4963EE407
@@ -161,10 +161,6 @@ def stretches(words: Words, window: int = WINDOW):
     return start, count, key[first], context
 
 
-def _digest(h: np.ndarray) -> bytes:
-    return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
-
-
 def kept_text(words: Words, i: int, removed: np.ndarray | None = None) -> bytes:
     """The words of text i that are not removed, joined by one space."""
     a, b = words.bounds[i], words.bounds[i + 1]
@@ -178,50 +174,53 @@ def kept_text(words: Words, i: int, removed: np.ndarray | None = None) -> bytes:
     return b" ".join([raw[s:e] for s, e in zip((words.start[pick] - shift).tolist(), (words.end[pick] - shift).tolist(), strict=True)])
 
 
-PARSED = (
-    "doc_id long, digest binary, n_words long, sha string, key array<long>, context array<long>, "
-    "first array<int>, windows array<int>"
-)
-
-
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 1 << 20):
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
         words = Words(batch.column("text"))
-        h = words.hashes()
-        n = len(batch)
-        start, count, key, context = stretches(words)
-        cut = np.searchsorted(start, words.bounds)
-        lists = [
-            pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(v))
-            for v in (
-                key.view(np.int64),
-                context.view(np.int64),
-                (start - words.bounds[words.text[start]]).astype(np.int32),
-                count.astype(np.int32),
-            )
-        ]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id").cast(pa.int64()),
-                pa.array([_digest(h[a:b]) for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)], pa.binary()),
+                batch.column("doc"),
+                pa.array([body_hash(t.encode()) for t in batch.column("text").to_pylist()], pa.int64()),
                 pa.array(np.diff(words.bounds)),
-                pa.array([hashlib.sha256(kept_text(words, i)).hexdigest() for i in range(n)]),
-                *lists,
+                pa.array([hashlib.sha256(kept_text(words, i)).hexdigest() for i in range(len(batch))], pa.string()),
             ],
-            ["doc_id", "digest", "n_words", "sha", "key", "context", "first", "windows"],
+            ["doc", "body", "n_words", "sha"],
         )
 
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Only rows whose text has the wanted digest."""
-    for batch in slices(batches, "text"):
-        words = Words(batch.column("text"))
-        h = words.hashes()
-        same = [
-            _digest(h[a:b]) == want
-            for a, b, want in zip(words.bounds[:-1], words.bounds[1:], batch.column("digest").to_pylist(), strict=True)
-        ]
-        yield batch.filter(pa.array(same, pa.bool_()))
+def _keys(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            keys, n = np.unique(stretches(Words(batch.column("text")), window)[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
+
+    return run
+
+
+FLAT = "key long, context long, doc long, body long, first int, windows int"
+
+
+def _flat(window: int, bits: np.ndarray):
+    """Stretches whose key may occur again, by a bitmap of fixed size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            words = Words(batch.column("text"))
+            start, count, key, context = stretches(words, window)
+            found = in_bitmap(bits, key)
+            start, count, key, context = start[found], count[found], key[found], context[found]
+            owner = words.text[start]
+            bodies = np.array([body_hash(t.encode()) for t in batch.column("text").to_pylist()], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(key.view(np.int64)), pa.array(context.view(np.int64)),
+                    batch.column("doc").take(pa.array(owner)), pa.array(bodies[owner]),
+                    pa.array((start - words.bounds[owner]).astype(np.int32)), pa.array(count.astype(np.int32)),
+                ],
+                ["key", "context", "doc", "body", "first", "windows"],
+            )
+
+    return run
 
 
 def _window_hashes(window: int):
@@ -233,15 +232,15 @@ def _window_hashes(window: int):
             asked = batch.column("asked")
             flat = asked.flatten()
             first, count, total = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("first", "windows", "n"))
-            ids = flat.field("context").to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(len(batch)), np.diff(asked.offsets.to_numpy()))
             row = np.repeat(np.arange(len(first)), count)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            p = words.bounds[owner[row]] + first[row] + step
+            at = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            p, owner = words.bounds[owner[row]] + at, pa.array(owner[row])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(one.of(p, p + window).view(np.int64)), pa.array(two.of(p, p + window).view(np.int64)),
-                 pa.array(ids[row]), pa.array(step.astype(np.int32)), pa.array(total[row])],
-                ["h1", "h2", "context", "step", "n"],
+                 batch.column("doc").take(owner), batch.column("body").take(owner),
+                 pa.array(at.astype(np.int32)), pa.array(total[row])],
+                ["h1", "h2", "doc", "body", "at", "n"],
             )
 
     return run
@@ -262,88 +261,57 @@ def _remove(window: int):
                 removed.append(int(gone.sum()))
                 shas.append(hashlib.sha256(kept_text(words, i, gone)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), pa.array(removed, pa.int64()), pa.array(shas, pa.string())], ["digest", "n_removed", "kept"]
+                [batch.column("doc"), batch.column("body"), pa.array(removed, pa.int64()), pa.array(shas, pa.string())],
+                ["doc", "body", "n_removed", "kept"],
             )
 
     return run
 
 
-def repeated(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(parsed documents, texts of classes that may change, spans (digest, first, last) of repeated windows)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parsed = stored(texts.mapInArrow(_parse, PARSED), "parsed")
-    # one document stands for its class; rows with the same id and words are alike
-    flat = (
-        parsed.join(
-            parsed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1"),
-            "digest",
-            "left",
-        )
-        .where("rep is null or doc_id <=> rep")
-        .select("digest", "copies", F.explode(F.arrays_zip("key", "context", "first", "windows")).alias("s"))
-        .select("digest", "copies", "s.*")
+def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows (doc_id, n_words, n_removed, kept_sha256), one for each row of ``docs``."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
+    texts = docs.select(doc, F.coalesce("text", F.lit("")).alias("text"))
+    parsed = stored(texts.mapInArrow(_documents, "doc long, body long, n_words long, sha string"), "documents")
+    again = stored(
+        texts.mapInArrow(_keys(window), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"),
+        "again",
     )
-    # copies of the representative's own row (same id, same words) would count twice
-    flat = stored(flat.distinct() if _has_repeated_rows(parsed) else flat, "stretches")
+    flat = texts.mapInArrow(_flat(window, bitmap(again)), FLAT)
+    shared = stored(flat.join(again, "key", "left_semi"), "shared")
     contexts = stored(
-        flat.groupBy("key", "context").agg(
-            F.count("*").alias("n"), F.min(F.struct("digest", "first", "windows")).alias("at")
+        shared.groupBy("key", "context").agg(
+            F.min(F.struct("doc", "body", "first")).alias("at"), F.max("windows").alias("windows"), F.count("*").alias("n")
         ),
         "contexts",
     )
-    keys = contexts.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1")
-    shared = stored(contexts.join(keys, "key").select("context", "n", "kinds", "at.*"), "shared")
-    whole = flat.join(shared.where("n > 1").select("context").distinct(), "context", "left_semi").select(
-        "digest", "first", (F.col("first") + F.col("windows") - 1).alias("last")
-    )
-    doubtful = shared.where("kinds > 1")
-    # texts of all classes with a shared stretch, found by the id of their representative
-    touched = (
-        shared.select("digest").union(whole.select("digest")).distinct()
-        .join(parsed.groupBy("digest").agg(F.min("doc_id").alias("rep")), "digest")
-        .select("digest", F.col("rep").alias("doc_id"))
+    whole = shared.join(contexts.where("n > 1").select("key", "context"), ["key", "context"], "left_semi").select(
+        "doc", "body", "first", (F.col("first") + F.col("windows") - 1).alias("last")
     )
-    bodies = stored(
-        texts.join(touched, texts["doc_id"].eqNullSafe(touched["doc_id"]))
-        .select("digest", "text")
-        .mapInArrow(_bodies, "digest binary, text string")
-        .dropDuplicates(["digest"]),
-        "bodies",
-    )
-    asked = doubtful.groupBy("digest").agg(F.collect_list(F.struct("context", "first", "windows", "n")).alias("asked"))
+    kinds = contexts.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1").select("key")
+    doubtful = contexts.join(kinds, "key", "left_semi").select("at.*", "windows", "n")
+    asked = doubtful.groupBy("doc", "body").agg(F.collect_list(F.struct("first", "windows", "n")).alias("asked"))
     hashes = stored(
-        bodies.join(asked, "digest").select("text", "asked")
-        .mapInArrow(_window_hashes(window), "h1 long, h2 long, context long, step int, n long"),
+        texts.join(stored(asked, "asked"), "doc").mapInArrow(
+            chained(with_body, _window_hashes(window)), "h1 long, h2 long, doc long, body long, at int, n long"
+        ),
         "window-hashes",
     )
     twice = hashes.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
-    single = hashes.where("n = 1").join(twice, ["h1", "h2"], "left_semi").select("context", "step")
-    part = single.join(doubtful.where("n = 1").select("context", "digest", "first"), "context").select(
-        "digest", (F.col("first") + F.col("step")).alias("first"), (F.col("first") + F.col("step")).alias("last")
+    part = hashes.where("n = 1").join(twice, ["h1", "h2"], "left_semi").select(
+        "doc", "body", F.col("at").alias("first"), F.col("at").alias("last")
     )
-    return parsed, bodies, whole.union(part)
-
-
-def _has_repeated_rows(parsed: DataFrame) -> bool:
-    return not parsed.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
-
-
-def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows (doc_id, n_words, n_removed, kept_sha256), one for each row of ``docs``."""
-    parsed, bodies, spans = repeated(docs, window)
-    per_class = spans.groupBy("digest").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    changed = bodies.join(per_class, "digest").mapInArrow(_remove(window), "digest binary, n_removed long, kept string")
-    copies = parsed.groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1")
-    nothing = F.sha2(F.lit("").cast("binary"), 256)
-    gone = (F.col("copies") > 1) & (F.col("n_words") >= window)
-    return (
-        parsed.select("doc_id", "digest", "n_words", "sha")
-        .join(changed, "digest", "left")
-        .join(copies, "digest", "left")
-        .select(
-            "doc_id",
-            "n_words",
-            F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-            F.when(gone, nothing).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"),
-        )
+    spans = stored(
+        whole.union(part).groupBy("doc", "body").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans"
+    )
+    changed = (
+        texts.join(spans, "doc")
+        .mapInArrow(chained(with_body, _remove(window)), "doc long, body long, n_removed long, kept string")
+        .dropDuplicates(["doc", "body"])
+    )
+    return parsed.join(changed, ["doc", "body"], "left").select(
+        F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"),
+        "n_words",
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("kept", "sha").alias("kept_sha256"),
     )
