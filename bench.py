@@ -40,7 +40,9 @@ HEADLINE = {
     "p1_p5_decode_messages": "lineitem",
     "m1_x1_x4_k1_stream_upsert": "lineitem",
     "s3_order_snapshot_compacted": "lineitem",
+    "s3_order_snapshot_many_commits": "lineitem",
     "m2_daily_job": "events",
+    "m2_daily_job_falls_back": "events",
     "m4_forecast_job": "events",
 }
 

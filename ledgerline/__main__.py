@@ -20,7 +20,7 @@ from ledgerline.plans.forecast import run_forecast
 from ledgerline.plans.ingest import compact, ingest
 from ledgerline.plans.smoke import run_smoke
 from ledgerline.plans.verify import run_verify
-from ledgerline.session import create_session
+from ledgerline.session import create_session, size_shuffles, stored_bytes
 from ledgerline.sinks.tables import jdbc_sink, parquet_sink
 from ledgerline.sources.lake import Lake
 from ledgerline.sources.messages import json_lines_stream, kafka_stream
@@ -63,10 +63,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         sub = job(name, text)
         sub.add_argument("--date", help="yyyy-mm-dd, yesterday by default")
         sub.add_argument("--fallback", action="store_true", help="use all orders on an empty day")
+        sub.add_argument("--keep-history", action="store_true", help="keep tables per date")
         if name == "chain":
             serving(sub, required=True)
-        else:
-            sub.add_argument("--keep-history", action="store_true", help="keep tables per date")
     serving(job("export", "metric tables to the serving side"), required=True)
     serving(job("forecast", "history, seasonality and forecast"), required=False)
     job("smoke", "read, compute, write and read back")
@@ -128,7 +127,9 @@ def _run(args: argparse.Namespace, lake: Lake) -> int:
                 return read_jdbc(lake.spark, args.jdbc_url, table, _properties(args))
             return read_parquet(lake.spark, f"{args.serving_dir}/{table}")
 
-        result = run_chain(lake, _sink(args), read_serving, args.date, args.fallback)
+        result = run_chain(
+            lake, _sink(args), read_serving, args.date, args.fallback, args.keep_history
+        )
         result.status.show(truncate=False)
         result.counts.show(truncate=False)
     return 0
@@ -136,7 +137,9 @@ def _run(args: argparse.Namespace, lake: Lake) -> int:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _arguments(argv)
-    session = spark or create_session(f"ledgerline {args.job}")
+    session = spark or create_session(f"ledgerline {args.job}", conf={"spark.ui.enabled": "false"})
+    if args.job != "ingest":  # a micro-batch is bounded by its trigger
+        size_shuffles(session, stored_bytes(session, f"{args.lake.rstrip('/')}/orders_raw"))
     try:
         return _run(args, Lake(session, args.lake, args.late_rows))
     except (TableUnavailable, DataQualityError) as error:

@@ -9,6 +9,7 @@ from ledgerline.functions.calendar import (
     order_date,
 )
 from ledgerline.functions.money import (
+    RANK_PLACES,
     growth,
     money_mean,
     money_sum,
@@ -16,6 +17,7 @@ from ledgerline.functions.money import (
 )
 
 __all__ = [
+    "RANK_PLACES",
     "as_timestamp",
     "day_name",
     "day_of_week",

@@ -1,21 +1,15 @@
-"""Order-independent arithmetic on DOUBLE money columns.
+"""Arithmetic on DOUBLE money columns.
 
-A plain ``sum`` of doubles depends on the order in which partial sums are merged, so a retried task
-can change the last digits and, with them, a top-k. Amounts are therefore summed as whole
-ten-thousandths. One BIGINT sum could overflow at 10^12 rows and a DECIMAL sum is several times
-slower, so each amount is split in two BIGINT parts which are summed separately and joined after the
-aggregation. Amounts that do not fit (NaN, infinite, beyond 9*10^14) are summed as doubles and added.
+Amounts are summed as they are. The last digits of such a sum depend on the order in which partial sums
+meet, so rankings compare sums rounded to ``RANK_PLACES`` and break ties by key.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-UNITS_PER_ONE = 10_000
-LOW_BITS = 20
+RANK_PLACES = 6
 
 
 def _column(value: Column | str) -> Column:
@@ -23,28 +17,15 @@ def _column(value: Column | str) -> Column:
 
 
 def money_sum(amount: Column | str, over: WindowSpec | None = None) -> Column:
-    """Sum of a money column as DOUBLE, exact to four decimals; a window sum when ``over`` is set."""
-
-    def agg(column: Column) -> Column:
-        return column if over is None else column.over(over)
-
-    amount = _column(amount).cast("double")
-    units = F.rint(amount * F.lit(float(UNITS_PER_ONE))).try_cast("bigint")
-    high = agg(F.sum(F.shiftright(units, LOW_BITS))).cast("decimal(20,0)")
-    low = agg(F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))).cast("decimal(20,0)")
-    total = high * F.lit(Decimal(1 << LOW_BITS)) + low
-    exact = (total * F.lit(Decimal(1) / UNITS_PER_ONE)).cast("double")
-    misfit = agg(F.sum(F.when(units.isNull(), amount)))
-    return F.when(misfit.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + misfit)
+    """Sum of a money column as DOUBLE; a window sum when ``over`` is set."""
+    total = F.sum(_column(amount).cast("double"))
+    return total if over is None else total.over(over)
 
 
 def money_mean(amount: Column | str, over: WindowSpec | None = None) -> Column:
-    """Mean of a money column: exact sum over the number of non-null amounts, null if there are none."""
-    amount = _column(amount)
-    counted = F.count(amount)
-    return F.try_divide(
-        money_sum(amount, over), counted if over is None else counted.over(over)
-    )
+    """Mean of the non-null amounts, null if there are none."""
+    mean = F.avg(_column(amount).cast("double"))
+    return mean if over is None else mean.over(over)
 
 
 def growth(current: Column, base: Column) -> Column:

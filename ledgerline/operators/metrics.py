@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions import growth, hour_of, money_mean, money_sum
+from ledgerline.functions import RANK_PLACES, hour_of, money_mean, money_sum
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -90,8 +90,9 @@ def status_counts(orders: DataFrame) -> DataFrame:
 
 
 def top(df: DataFrame, by: str, key: str, k: int = 10) -> DataFrame:
-    """The ``k`` rows with the largest ``by``; ties in key order."""
-    return df.orderBy(F.col(by).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(k)
+    """The ``k`` rows with the largest ``by`` (sums rounded to ``RANK_PLACES``); ties in key order."""
+    rank = F.round(F.col(by), RANK_PLACES) if dict(df.dtypes)[by] == "double" else F.col(by)
+    return df.orderBy(rank.desc_nulls_last(), F.col(key).asc_nulls_last()).limit(k)
 
 
 def percent_of(part: Column, whole: Column) -> Column:
@@ -100,19 +101,16 @@ def percent_of(part: Column, whole: Column) -> Column:
 
 
 def share_of_total(
-    df: DataFrame, column: str = "count", name: str = "percentage", wide: bool = False
+    df: DataFrame, column: str = "count", name: str = "percentage", total: DataFrame | None = None
 ) -> DataFrame:
     """Add each row's percentage of the column total.
 
-    The default puts the grouped rows in one partition, which is right for a handful of statuses.
-    ``wide=True`` is for keys without a small bound: it joins the one-row total by broadcast and
-    leaves the rows where they are.
+    The one-row total (``total`` when it is known already) is joined by broadcast and the rows stay
+    where they are, so keys need no small bound.
     """
-    if wide:
-        total = df.agg(F.sum(column).alias("_total"))
-        joined = df.crossJoin(F.broadcast(total))
-    else:
-        joined = df.withColumn("_total", F.sum(column).over(Window.partitionBy()))
+    if total is None:
+        total = df.agg(F.sum(column))
+    joined = df.crossJoin(F.broadcast(total.toDF("_total")))
     return joined.withColumn(name, percent_of(F.col(column), F.col("_total"))).drop("_total")
 
 
@@ -145,7 +143,7 @@ def hourly_status_trend(
 def metric_changes(
     history: DataFrame, metrics: Sequence[str], date: str = "processing_date"
 ) -> DataFrame:
-    """Each date's metrics next to the previous date's: value, change and percent change.
+    """Each date's metrics next to the previous date's: value, change and percent change (null from 0).
 
     One row per date enters the window, so a single partition is bounded by the calendar.
     """
@@ -157,8 +155,6 @@ def metric_changes(
             F.col(metric),
             previous.alias(f"previous_{metric}"),
             (F.col(metric) - previous).alias(f"{metric}_change"),
-            F.when(previous.isNotNull(), F.round(growth(F.col(metric), previous) * 100.0, 2)).alias(
-                f"{metric}_change_percent"
-            ),
+            percent_of(F.col(metric) - previous, previous).alias(f"{metric}_change_percent"),
         ]
     return history.select(*columns)

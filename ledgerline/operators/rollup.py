@@ -92,7 +92,8 @@ def top_customers_from_rollup(rollup: DataFrame, k: int = 10) -> DataFrame:
 def status_from_rollup(rollup: DataFrame) -> DataFrame:
     """Orders, revenue and share of orders per status."""
     return share_of_total(
-        _slice(rollup, "status").select("status", F.col("order_count").alias("count"), "revenue")
+        _slice(rollup, "status").select("status", F.col("order_count").alias("count"), "revenue"),
+        total=_slice(rollup, "overall").select("order_count"),
     )
 
 

@@ -61,9 +61,8 @@ def discrete_quantiles(
         )
     )
     within = Window.partitionBy("measure", "bucket").orderBy("value")
-    # one row per bucket in use: at most 4,096 for each doubling between the smallest and the
-    # largest value, some 160,000 for amounts up to 10^12, however many rows there are
-    ranked = counted.join(F.broadcast(offsets), ["measure", "bucket"]).withColumn(
+    # no broadcast hint: Spark decides by the size of the offsets
+    ranked = counted.join(offsets, ["measure", "bucket"]).withColumn(
         "at_or_below", F.col("offset") + F.sum("n").over(within)
     )
 

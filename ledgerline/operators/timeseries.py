@@ -25,7 +25,10 @@ def _by_date(series_keys: Sequence[str], date: str = "order_date") -> WindowSpec
 def daily_revenue(
     orders: DataFrame, series_keys: Sequence[str] = (), created_at: Column | None = None
 ) -> DataFrame:
-    """Revenue, orders and mean order per date, with the weekday. One row per date with data."""
+    """Revenue, orders and mean order per date, with the weekday. One row per date with data.
+
+    Rows are in no order; :func:`ordered` puts them in date order for people to read.
+    """
     daily = orders.groupBy(*series_keys, "order_date").agg(
         money_sum("total_amount").alias("revenue"),
         F.count("order_id").alias("order_count"),
@@ -35,6 +38,12 @@ def daily_revenue(
     return daily if created_at is None else daily.withColumn("created_at", created_at)
 
 
+def ordered(table: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
+    """A daily series by date, a weekday table by weekday (Sunday first), series by series."""
+    by = "order_date" if "order_date" in table.columns else "day_of_week"
+    return table.orderBy(*series_keys, by)
+
+
 def _with_weekday(daily: DataFrame) -> DataFrame:
     return daily.withColumns(
         {"day_of_week": day_of_week("order_date"), "day_name": day_name("order_date")}

@@ -26,8 +26,9 @@ def run_chain(
     read_serving: Callable[[str], DataFrame],
     date: str | dt.date | None = None,
     fallback: bool = False,
+    keep_history: bool = False,
 ) -> ChainResult:
     """Run the daily job, export its tables and count what the serving side now holds."""
-    tables = run_daily(lake, date, fallback)
+    tables = run_daily(lake, date, fallback, keep_history=keep_history)
     status = run_export(lake, sink)
     return ChainResult(tables, status, export_counts(read_serving))

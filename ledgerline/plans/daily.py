@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators import rollup as R
-from ledgerline.operators.filters import on_date, with_run_date
+from ledgerline.operators.filters import on_date, on_date_or_all, with_run_date
 from ledgerline.session import drop_scratch, scratch_path
 from ledgerline.sources.lake import Lake
 
@@ -43,26 +43,24 @@ def run_daily(
     The orders are read once, into a rollup written to the shared scratch folder; the five tables
     are built from that copy. Overall metrics are upserted by date, the other tables are replaced;
     ``keep_history`` also keeps a copy of those per date.
-    With ``fallback`` a day without orders uses all orders instead and says so in ``used_fallback``.
+    With ``fallback`` a day without orders uses all orders instead; ``used_fallback`` says so in every
+    table, the metric history included.
     """
     spark = lake.spark
     if date is None:
         date = spark.range(1).select(F.date_sub(F.current_date(), 1)).first()[0]
-    orders = lake.orders.snapshot()
+    picked = (on_date_or_all if fallback else on_date)(lake.orders.snapshot(), date)
     scratch = scratch_path(spark, "daily-rollup")
     try:
-        rollup = _stage(lake, on_date(orders, date), scratch)
-        used_fallback = fallback and rollup.isEmpty()
-        if used_fallback:
-            rollup = _stage(lake, orders, scratch)
+        rollup = _stage(lake, picked, scratch)
+        flag = picked.select("used_fallback").first() if fallback else None
+        used_fallback = bool(flag and flag[0])
         tables = daily_tables(rollup, k)
         for name, table in tables.items():
-            table = with_run_date(table, date)
+            table = with_run_date(table, date).withColumn("used_fallback", F.lit(used_fallback))
             if name == "daily_analytics":
                 lake.daily_metrics.upsert(table)
                 continue
-            if fallback:
-                table = table.withColumn("used_fallback", F.lit(used_fallback))
             lake.overwrite(name, table)
             if keep_history:
                 lake.keep(name, str(date), lake.read(name))

@@ -29,5 +29,5 @@ def ingest(
 def compact(lake: Lake) -> None:
     """Compact the order table and the metric history."""
     for log in (lake.orders, lake.daily_metrics):
-        if log.latest_commit() is not None:
+        if log.commits():
             log.compact()

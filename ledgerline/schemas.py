@@ -37,6 +37,7 @@ DAILY_METRICS = T.StructType(
         T.StructField("unique_customers", T.LongType()),
         T.StructField("unique_products", T.LongType()),
         T.StructField("processing_date", T.StringType()),
+        T.StructField("used_fallback", T.BooleanType()),
     ]
 )
 

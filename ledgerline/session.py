@@ -7,13 +7,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Spark settings every job relies on; all of them can be overridden by the caller.
+# Parquet expands to about this many times its size when rows are shuffled
+EXPANSION = 4
+
+# Spark settings every job relies on where nothing else is set.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
     # plans are built once per job and micro-batch; recording the Python line of every column
     # expression takes a quarter of that time
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -24,9 +26,9 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, floo
     """Initial shuffle partitions so one partition holds about ``target_bytes``.
 
     AQE merges partitions that turn out small but adds none except for skewed joins, so the initial
-    number has to fit the largest shuffle of the job.
+    number has to fit the largest shuffle of the job. ``input_bytes`` are bytes of parquet.
     """
-    return max(floor, -(-int(input_bytes) // target_bytes))
+    return max(floor, -(-int(input_bytes) * EXPANSION // target_bytes))
 
 
 def create_session(
@@ -39,13 +41,35 @@ def create_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULTS)
+    settings = dict(conf or {})
     if shuffle_partitions:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
+        settings.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    # what spark-submit, a properties file or the caller has set stays
+    given = {key for key, _ in session.sparkContext.getConf().getAll()}
+    for key, value in DEFAULTS.items():
+        if key not in given and key not in settings and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
+
+
+def size_shuffles(session: SparkSession, input_bytes: int) -> int | None:
+    """Set the shuffle partitions of a job by its input, unless the user has set a number."""
+    key = "spark.sql.shuffle.partitions"
+    if key in dict(session.sparkContext.getConf().getAll()):
+        return None
+    number = shuffle_partitions_for(input_bytes)
+    session.conf.set(key, str(number))
+    return number
+
+
+def stored_bytes(session: SparkSession, path: str) -> int:
+    """Bytes of the files below a folder, 0 when it is missing."""
+    folder = session.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(session.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(folder).getLength() if files.exists(folder) else 0
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

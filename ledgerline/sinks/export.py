@@ -42,5 +42,5 @@ def export_tables(
             status.append((name, written.get["n"], True, None))
         except Exception as error:  # a failed table is reported, not raised
             failed = True
-            status.append((name, None, False, f"{type(error).__name__}: {error}"[:500]))
+            status.append((name, None, False, f"{type(error).__name__}: {error}"))
     return spark.createDataFrame(status, STATUS)

@@ -1,23 +1,26 @@
-"""A keyed table with upserts, deletes and time travel, kept as plain parquet commits.
+"""A keyed table with upserts, deletes and time travel, kept as plain parquet folders.
 
-Every write is a folder ``commits/_epoch=<n // 1000>/_commit_id=<n>/_batch=<token>`` that counts once
-Spark has put its ``_SUCCESS`` marker there. Writing the same token again replaces that folder, so a
-replayed micro-batch changes nothing. A snapshot is the newest row per key over the commits, in one
-of two orders:
+Every write is a folder ``commits/_commit=<token>`` that counts once Spark has put its ``_SUCCESS`` marker
+there. A stream names its commits by query and batch, so a replayed batch finds its own folder without
+any listing: a finished one is left as it is, an unfinished one is written again. Other writes get a
+token of their own. Writers never share a folder or a number, so they need not know of each other.
+A snapshot is the newest row per key over the commits, in one of two orders:
 
 * ``event``: the newest ordering field wins whenever it arrives; batch boundaries and arrival order
-  cannot change the result, the commit id only settles rows equal in every value;
-* ``arrival``: the newest commit wins, the ordering field decides within a commit.
-
-Compaction writes the newest row of every key to ``base/_base_id=<n>``, range-partitioned by columns
-such as the order date so that a filter on them skips files. It costs a rewrite of the table, so it is
-a job of its own to be scheduled, not part of every micro-batch. A snapshot reads the base as it is,
-leaves out the keys touched since by an anti join, and re-decides only those; without newer commits it
-is a plain scan. Keys must not be null.
+  cannot change the result, the time of writing only settles rows equal in every value;
+* ``arrival``: the commit whose write began last wins, the ordering field decides within a commit.
+
+Compaction writes the newest row of every key to ``base/<id>/rows``, range-partitioned by columns such as
+the order date so that a filter on them skips files, and then the tokens it contains to
+``base/<id>/commits``. Every finished commit that is not on that list is read with the base, so one that
+finishes during or after a compaction is never lost. It costs a rewrite of the table, so it is a job to
+be scheduled. A snapshot leaves out the base keys touched by other commits by an anti join, and
+re-decides only those; without other commits it is a plain scan. Keys must not be null.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -30,17 +33,13 @@ from ledgerline.operators.latest import latest_per_key
 from ledgerline.sources.tables import TableUnavailable
 
 DELETED = "_deleted"
-EPOCH = "_epoch"
-COMMIT = "_commit_id"
-BATCH = "_batch"
-BASE = "_base_id"
-
-COMMITS_PER_EPOCH = 1000  # bounds the folders listed for one write
+WRITTEN = "_written"  # when the write of a row's commit began
+COMMIT = "_commit"
 
 
 class Commit(NamedTuple):
-    commit_id: int
-    batch: str
+    finished: int  # milliseconds
+    token: str
     path: str
 
 
@@ -73,77 +72,62 @@ class CommitLog:
         self.order = order
         self.volatile = set(volatile)
         self.cluster_by = list(cluster_by)
-        stored = [*schema.fields, T.StructField(DELETED, T.BooleanType())]
-        commit = T.StructField(COMMIT, T.LongType())
-        self._stored = [field.name for field in stored]
-        self._columns = [*self._stored, COMMIT]
-        self._commit_schema = T.StructType(
-            [
-                *stored,
-                T.StructField(EPOCH, T.LongType()),
-                commit,
-                T.StructField(BATCH, T.StringType()),
-            ]
-        )
-        self._base_schema = T.StructType([*stored, commit, T.StructField(BASE, T.LongType())])
+        stored = [
+            *schema.fields,
+            T.StructField(DELETED, T.BooleanType()),
+            T.StructField(WRITTEN, T.TimestampType()),
+        ]
+        self._columns = [field.name for field in stored]
+        self._schema = T.StructType(stored)
 
     # -- what is there ---------------------------------------------------------------------------
 
-    def _folders(self, pattern: str) -> list[str]:
+    def _hadoop_path(self, name: str):
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return [s.getPath().toString() for s in path.getFileSystem(conf).globStatus(path) or []]
-
-    def _finished(self, pattern: str) -> list[str]:
-        """Folders matching ``pattern`` whose write has finished."""
-        return [marker.rsplit("/", 1)[0] for marker in self._folders(f"{pattern}/_SUCCESS")]
-
-    def _epochs(self) -> list[int]:
-        return sorted(int(f.rsplit("=", 1)[1]) for f in self._folders(f"commits/{EPOCH}=*"))
-
-    def _commits_of(self, epoch: int) -> list[Commit]:
-        commits = []
-        for folder in self._finished(f"commits/{EPOCH}={epoch}/{COMMIT}=*/{BATCH}=*"):
-            parent, batch = folder.rsplit(f"/{BATCH}=", 1)
-            commits.append(Commit(int(parent.rsplit("=", 1)[1]), batch, folder))
-        return commits
-
-    def commits(self, as_of: int | None = None, after: int = -1) -> list[Commit]:
-        """Finished commits later than ``after`` and up to ``as_of``, oldest first."""
-        first = (after + 1) // COMMITS_PER_EPOCH
-        last = float("inf") if as_of is None else as_of // COMMITS_PER_EPOCH
-        found = [c for e in self._epochs() if first <= e <= last for c in self._commits_of(e)]
-        return sorted(
-            c for c in found if c.commit_id > after and (as_of is None or c.commit_id <= as_of)
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _finished(self, pattern: str) -> list[tuple[int, str]]:
+        """Time and folder of the writes matching ``pattern`` that have finished."""
+        path, files = self._hadoop_path(f"{pattern}/_SUCCESS")
+        return [
+            (s.getModificationTime(), s.getPath().getParent().toString())
+            for s in files.globStatus(path) or []
+        ]
+
+    def _is_finished(self, name: str) -> bool:
+        path, files = self._hadoop_path(f"{name}/_SUCCESS")
+        return files.exists(path)
+
+    def commits(self, as_of: str | None = None) -> list[Commit]:
+        """Finished commits, oldest first; with ``as_of`` those that had finished with that one."""
+        found = sorted(
+            Commit(at, folder.rsplit("=", 1)[1], folder)
+            for at, folder in self._finished(f"commits/{COMMIT}=*")
         )
+        if as_of is None:
+            return found
+        last = [i for i, commit in enumerate(found) if commit.token == as_of]
+        if not last:
+            raise TableUnavailable(f"no commit {as_of} in {self.path}")
+        return found[: last[0] + 1]
 
-    def _recent(self) -> list[Commit]:
-        """Commits of the newest two epochs that have any."""
-        found, epochs = [], 0
-        for epoch in reversed(self._epochs()):
-            commits = self._commits_of(epoch)
-            found += commits
-            epochs += bool(commits)
-            if epochs == 2:
-                break
-        return sorted(found)
-
-    def latest_commit(self) -> int | None:
-        commits = self._recent()
-        return commits[-1].commit_id if commits else None
-
-    def _bases(self, as_of: int | None = None) -> list[int]:
-        ids = (int(f.rsplit("=", 1)[1]) for f in self._finished(f"base/{BASE}=*"))
-        return sorted(i for i in ids if as_of is None or i <= as_of)
+    def _base(self, tokens: set[str]) -> tuple[str | None, set[str]]:
+        """The newest base that holds nothing but ``tokens``, and what it holds."""
+        folders = sorted((f for _, f in self._finished("base/*/commits")), reverse=True)
+        for folder in folders:
+            held = {row[0] for row in self.spark.read.schema("token string").parquet(folder).collect()}
+            if held <= tokens:
+                return folder.rsplit("/", 1)[0], held
+        return None, set()
 
     # -- writing ---------------------------------------------------------------------------------
 
-    def upsert(self, rows: DataFrame, batch: str | None = None) -> int:
-        """Add rows as one commit and return its id. A recent ``batch`` token is written again."""
+    def upsert(self, rows: DataFrame, batch: str | None = None) -> str:
+        """Add rows as one commit and return its token; a ``batch`` that is stored already is left."""
         return self._append(rows.withColumn(DELETED, F.lit(False)), batch)
 
-    def delete(self, rows: DataFrame, batch: str | None = None) -> int:
+    def delete(self, rows: DataFrame, batch: str | None = None) -> str:
         """Delete the keys in ``rows``, which also carries the ordering field as time of deletion."""
         given = set(rows.columns)
         blank = [
@@ -152,40 +136,36 @@ class CommitLog:
         ]
         return self._append(rows.select(*blank).withColumn(DELETED, F.lit(True)), batch)
 
-    def _append(self, rows: DataFrame, batch: str | None) -> int:
-        batch = batch or uuid.uuid4().hex
-        recent = self._recent()
-        known = [c.commit_id for c in recent if c.batch == batch]
-        commit_id = known[0] if known else (recent[-1].commit_id + 1 if recent else 0)
-        rows.select(*self._stored).write.mode("overwrite").parquet(
-            f"{self.path}/commits/{EPOCH}={commit_id // COMMITS_PER_EPOCH}"
-            f"/{COMMIT}={commit_id}/{BATCH}={batch}"
-        )
-        return commit_id
+    def _append(self, rows: DataFrame, batch: str | None) -> str:
+        token = batch or uuid.uuid4().hex
+        folder = f"commits/{COMMIT}={token}"
+        if batch is None or not self._is_finished(folder):
+            began = F.timestamp_micros(F.lit(time.time_ns() // 1000))
+            rows = rows.withColumn(WRITTEN, began).select(*self._columns)
+            rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        return token
 
     def compact(self) -> int:
-        """Store the newest row of every key, deletions included, as a base; returns its id."""
-        newest = self.latest_commit()
-        if newest is None:
+        """Store the newest row of every key, deletions included, as a base; returns its commits' number."""
+        commits = self.commits()
+        if not commits:
             raise TableUnavailable(f"no commits in {self.path}")
-        if newest not in self._bases():
-            rows = self._winners(newest)
+        tokens = [commit.token for commit in commits]
+        if self._base(set(tokens))[1] != set(tokens):
+            rows = self._winners(commits)
             if self.cluster_by:
                 # keys complete the range, so that a day with a third of the rows is still split
                 rows = rows.repartitionByRange(*self.cluster_by, *self.keys)
-            rows.write.mode("overwrite").parquet(f"{self.path}/base/{BASE}={newest}")
-        return newest
+            folder = f"{self.path}/base/{time.time_ns():020d}-{uuid.uuid4().hex}"
+            rows.write.parquet(f"{folder}/rows")
+            held = self.spark.createDataFrame([(t,) for t in tokens], "token string")
+            held.coalesce(1).write.parquet(f"{folder}/commits")
+        return len(tokens)
 
     # -- reading ---------------------------------------------------------------------------------
 
-    def _read_commits(self, commits: list[Commit]) -> DataFrame:
-        reader = self.spark.read.schema(self._commit_schema)
-        reader = reader.option("basePath", f"{self.path}/commits")
-        return reader.parquet(*(c.path for c in commits)).select(*self._columns)
-
-    def _read_base(self, base: int) -> DataFrame:
-        reader = self.spark.read.schema(self._base_schema).option("basePath", f"{self.path}/base")
-        return reader.parquet(f"{self.path}/base/{BASE}={base}").select(*self._columns)
+    def _read(self, *folders: str) -> DataFrame:
+        return self.spark.read.schema(self._schema).parquet(*folders).select(*self._columns)
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         ordering = F.col(self.ordering)
@@ -197,41 +177,39 @@ class CommitLog:
             if f.name not in self.volatile and f.name not in self.keys
         ]
         by_event = [ordering.desc_nulls_last(), F.col(DELETED).desc(), *values]
-        by_commit = F.col(COMMIT).desc()
+        by_commit = F.col(WRITTEN).desc()
         order = [*by_event, by_commit] if self.order == "event" else [by_commit, *by_event]
         return latest_per_key(rows, self.keys, order)
 
-    def _winners(self, as_of: int | None) -> DataFrame:
-        """Newest row per key, deletions included."""
-        bases = self._bases(as_of)
-        commits = self.commits(as_of, bases[-1] if bases else -1)
-        if not bases:
-            if not commits:
-                raise TableUnavailable(f"no commits in {self.path}")
-            return self._newest(self._read_commits(commits))
-        base = self._read_base(bases[-1])
+    def _winners(self, commits: list[Commit]) -> DataFrame:
+        """Newest row per key over some commits, deletions included."""
         if not commits:
+            raise TableUnavailable(f"no commits in {self.path}")
+        folder, held = self._base({commit.token for commit in commits})
+        others = [commit.path for commit in commits if commit.token not in held]
+        if folder is None:
+            return self._newest(self._read(*others))
+        base = self._read(f"{folder}/rows")
+        if not others:
             return base
-        delta = self._read_commits(commits)
+        delta = self._read(*others)
         # no broadcast hint: Spark decides by the size of the newer commits
         touched = delta.select(*self.keys).distinct()
         contested = base.join(touched, self.keys, "left_semi").select(*self._columns)
         untouched = base.join(touched, self.keys, "left_anti").select(*self._columns)
         return untouched.unionByName(self._newest(contested.unionByName(delta)))
 
-    def snapshot(self, as_of: int | None = None) -> DataFrame:
+    def snapshot(self, as_of: str | None = None) -> DataFrame:
         """The table now, or as of a commit."""
-        if as_of is not None and not self.commits(as_of, as_of - 1):
-            raise TableUnavailable(f"no commit {as_of} in {self.path}")
         return (
-            self._winners(as_of)
+            self._winners(self.commits(as_of))
             .filter(~F.col(DELETED))
             .select(*(field.name for field in self.schema.fields))
         )
 
-    def history(self, as_of: int | None = None) -> DataFrame:
-        """Every stored row version with its commit id and deletion mark."""
+    def history(self, as_of: str | None = None) -> DataFrame:
+        """Every stored row version with its time of writing and deletion mark."""
         commits = self.commits(as_of)
         if not commits:
             raise TableUnavailable(f"no commits in {self.path}")
-        return self._read_commits(commits)
+        return self._read(*(commit.path for commit in commits))

@@ -60,5 +60,7 @@ class Lake:
         df.drop("processing_date").write.mode("overwrite").parquet(folder)
 
     def history(self, table: str) -> DataFrame:
-        """All kept dates of a result table."""
-        return read_parquet(self.spark, f"{self.path(table)}_history")
+        """All kept dates of a result table, with the columns of the table itself."""
+        folder = f"{self.path(table)}_history"
+        read_parquet(self.spark, folder)  # reports a missing history
+        return self.spark.read.schema(self.read(table).schema).parquet(folder)

@@ -23,7 +23,7 @@ def start_ingest(
     """Start the stream: decode, upsert rows with an order id, set the others aside.
 
     ``interval=None`` reads what is there and stops. The commit token is made of the query id, which
-    lives in the checkpoint, and the batch id: a replayed batch replaces its own commit, and a stream
+    lives in the checkpoint, and the batch id: a replayed batch finds its own commit, and a stream
     started on a fresh checkpoint never overwrites commits of an older one.
     """
 
@@ -32,11 +32,13 @@ def start_ingest(
         token = f"{context.getLocalProperty('sql.streaming.queryId') or name}.{batch_id}"
         batch.persist()
         try:
-            commit_id = log.upsert(accepted(batch), token)
-            rejected(batch).write.mode("overwrite").parquet(f"{quarantine_path}/_batch={token}")
+            log.upsert(accepted(batch), token)
+            bad = rejected(batch)
+            if not bad.isEmpty():
+                bad.write.mode("overwrite").parquet(f"{quarantine_path}/_batch={token}")
         finally:
             batch.unpersist()
-        if compact_every and (commit_id + 1) % compact_every == 0:
+        if compact_every and (batch_id + 1) % compact_every == 0:
             log.compact()
 
     writer = (

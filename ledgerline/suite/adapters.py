@@ -1,4 +1,4 @@
-"""The test tables seen as order tables."""
+"""The test tables seen as order tables, with amounts in whole cents."""
 
 from __future__ import annotations
 
@@ -42,7 +42,12 @@ def _unit_price() -> Column:
     cents = F.rint(F.col("l_extendedprice") * 100.0).cast("bigint")
     quantity = F.col("l_quantity").cast("bigint")
     price_cents = F.call_function("div", cents * 2 + quantity, quantity * 2)
-    return price_cents.cast("double") / F.lit(100.0)
+    return price_cents.cast("double")
+
+
+def _cents(amount: str) -> Column:
+    """An amount of two decimals as whole cents."""
+    return F.rint(F.col(amount) * 100.0)
 
 
 def _as_orders(lines: DataFrame, headers: DataFrame, *extra: str) -> DataFrame:
@@ -95,10 +100,10 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("customer_id"),
         F.get_json_object("props", "$.k").alias("product_id"),
         F.lit(1).alias("quantity"),
-        F.col("value").alias("price"),
+        _cents("value").alias("price"),
         F.col("ts").cast("timestamp").alias("order_timestamp"),
         F.col("event_type").alias("status"),
-        F.col("value").alias("total_amount"),
+        _cents("value").alias("total_amount"),
         F.col("ts").cast("date").alias("order_date"),
     )
 
@@ -109,7 +114,7 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").alias("total_amount"),
+        _cents("o_totalprice").alias("total_amount"),
         F.col("o_orderdate").cast("timestamp").alias("order_timestamp"),
         F.col("o_orderdate").cast("date").alias("order_date"),
     )

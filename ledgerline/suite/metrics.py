@@ -13,6 +13,7 @@ from ledgerline.suite.adapters import (
     order_headers,
     order_log,
     order_snapshot,
+    table,
 )
 from ledgerline.suite.registry import (
     EVENTS,
@@ -27,6 +28,7 @@ from ledgerline.suite.registry import (
 
 DAY = "2024-01-15"
 EMPTY_DAY = "2030-01-01"
+EVENT_STATUSES = ["signup", "view", "click", "error", "purchase"]
 
 TOTALS = f"""
   count(order_id) as total_orders,
@@ -223,7 +225,7 @@ def w4(spark, sf):
 )
 def w4_wide(spark, sf):
     counts = metrics.customer_totals(order_snapshot(spark, sf)).select("customer_id", "order_count")
-    return metrics.share_of_total(counts, "order_count", wide=True)
+    return metrics.share_of_total(counts, "order_count")
 
 
 @query(
@@ -299,14 +301,11 @@ def c4(spark, sf):
 @query(
     "c4_hour_by_status_columns",
     f"with {EVENTS} select cast(hour(order_timestamp) as integer) as hour, "
-    "count(order_id) filter (status = 'click') as click_orders, "
-    "count(order_id) filter (status = 'purchase') as purchase_orders "
-    "from order_events group by 1",
+    + ", ".join(f"count(order_id) filter (status = '{s}') as {s}_orders" for s in EVENT_STATUSES)
+    + " from order_events group by 1",
 )
 def c4_columns(spark, sf):
-    return metrics.hourly_status_trend(
-        order_events(spark, sf), statuses=["click", "purchase"]
-    )
+    return metrics.hourly_status_trend(order_events(spark, sf), statuses=EVENT_STATUSES)
 
 
 @query(
@@ -318,9 +317,9 @@ l as (select *, lag(total_orders) over (order by order_date) as po,
              lag(total_revenue) over (order by order_date) as pr from h)
 select order_date, total_orders, po as previous_total_orders,
   total_orders - po as total_orders_change,
-  {rounded("(total_orders - po) / po::double * 100.0::double")} as total_orders_change_percent,
+  {rounded("(total_orders - po) * 100.0::double / nullif(po, 0)")} as total_orders_change_percent,
   total_revenue, pr as previous_total_revenue, total_revenue - pr as total_revenue_change,
-  {rounded("(total_revenue - pr) / pr * 100.0::double")} as total_revenue_change_percent
+  {rounded("(total_revenue - pr) * 100.0::double / nullif(pr, 0)")} as total_revenue_change_percent
 from l""",
 )
 def c6(spark, sf):
@@ -331,6 +330,45 @@ def c6(spark, sf):
     return metrics.metric_changes(history, ["total_orders", "total_revenue"], "order_date")
 
 
+@query(
+    "c6_metric_changes_from_zero",
+    f"""with {EVENTS}, h as (
+  select order_date, count(order_id) filter (status = 'error' and hour(order_timestamp) = 3) as errors
+  from order_events group by order_date)
+select order_date, errors, lag(errors) over w as previous_errors,
+  errors - lag(errors) over w as errors_change,
+  {rounded("(errors - lag(errors) over w) * 100.0::double / nullif(lag(errors) over w, 0)")}
+    as errors_change_percent
+from h window w as (order by order_date)""",
+)
+def c6_zero(spark, sf):
+    rare = (F.col("status") == "error") & (F.hour("order_timestamp") == 3)
+    history = order_events(spark, sf).groupBy("order_date").agg(
+        F.count(F.when(rare, F.col("order_id"))).alias("errors")
+    )
+    return metrics.metric_changes(history, ["errors"], "order_date")
+
+
+SMALL = "round(sum({x}) * 1e6) / 1e6"
+
+
+@query(
+    "a5_status_totals_small_amounts",
+    f"""select event_type as status, count(event_id) as count,
+  {SMALL.format(x="value / 30000")} as revenue from events group by 1""",
+)
+def a5_small(spark, sf):
+    small = order_events(spark, sf).drop("total_amount").join(
+        table(spark, sf, "events").select(
+            F.col("event_id").cast("string").alias("order_id"), (F.col("value") / 30000).alias("total_amount")
+        ),
+        "order_id",
+    )
+    return metrics.status_totals(small).withColumn(
+        "revenue", F.rint(F.col("revenue") * 1e6) / 1e6
+    )
+
+
 @query(
     "c10_customer_segments",
     f"""with {HEADERS}, a as (

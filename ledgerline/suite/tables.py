@@ -30,7 +30,7 @@ from ledgerline.suite.adapters import (
     order_messages,
     order_snapshot,
 )
-from ledgerline.suite.metrics import CHECKS, DAY, PRODUCT_TOTALS, TOTALS
+from ledgerline.suite.metrics import CHECKS, DAY, EMPTY_DAY, PRODUCT_TOTALS, TOTALS
 from ledgerline.suite.metrics import SUMMARY as SUMMARY_OF_ORDERS
 from ledgerline.suite.registry import EVENTS, ORDER_LOG, SNAPSHOT, query, total
 from ledgerline.suite.series import EVENT_DAILY, FORECAST, SUMMARY, forecast_ctes
@@ -62,11 +62,11 @@ def _visible(orders):
 
 
 def _filled_log(spark, sf, flags):
-    """A lake whose order table got the lines of each return flag as one commit."""
+    """A lake whose order table got the lines of each return flag as one commit named by the flag."""
     lake = _lake(spark)
     lines = order_log(spark, sf, "l_returnflag")
     for flag in flags:
-        lake.orders.upsert(as_order_rows(lines.filter(F.col("l_returnflag") == flag)))
+        lake.orders.upsert(as_order_rows(lines.filter(F.col("l_returnflag") == flag)), flag)
     return lake
 
 
@@ -113,6 +113,19 @@ def s3(spark, sf):
     return _visible(_filled_log(spark, sf, ["R", "N", "A"]).orders.snapshot())
 
 
+@query(
+    "s3_order_snapshot_many_commits",
+    f"with {ORDER_LOG}, newest as ({newest('order_log')}) select {STORED} from newest",
+)
+def s3_many(spark, sf):
+    """All lines in twelve commits of arbitrary rows."""
+    lake = _lake(spark)
+    rows = as_order_rows(order_log(spark, sf))
+    for part in range(12):
+        lake.orders.upsert(rows.filter(F.pmod(F.xxhash64("order_id", "product_id"), F.lit(12)) == part))
+    return _visible(lake.orders.snapshot())
+
+
 @query(
     "s3_order_snapshot_compacted",
     f"with {ORDER_LOG}, newest as ({newest('order_log')}) select {STORED} from newest",
@@ -133,7 +146,7 @@ def s3_compacted(spark, sf):
 def c1(spark, sf):
     lake = _filled_log(spark, sf, ["R", "N", "A"])
     lake.orders.compact()
-    return _visible(lake.orders.snapshot(as_of=1))
+    return _visible(lake.orders.snapshot(as_of="N"))
 
 
 @query(
@@ -171,10 +184,10 @@ def c3(spark, sf):
 @query(
     "k2_s4_metric_upsert",
     f"""with {EVENTS}
-select {TOTALS}, strftime(order_date, '%Y-%m-%d') as processing_date
+select {TOTALS}, strftime(order_date, '%Y-%m-%d') as processing_date, false as used_fallback
 from order_events where order_date >= date '{DAY}' group by order_date
 union all
-select {TOTALS}, strftime(order_date, '%Y-%m-%d')
+select {TOTALS}, strftime(order_date, '%Y-%m-%d'), false
 from order_events where order_date < date '{DAY}' and status <> 'purchase' group by order_date""",
 )
 def k2(spark, sf):
@@ -185,8 +198,8 @@ def k2(spark, sf):
         totals = metrics.order_totals(orders, ["order_date"])
         return totals.withColumn("processing_date", F.date_format("order_date", "yyyy-MM-dd"))
 
-    lake.daily_metrics.upsert(by_date(events.filter("status <> 'purchase'")))
-    lake.daily_metrics.upsert(by_date(events.filter(F.col("order_date") >= DAY)))
+    for rows in (events.filter("status <> 'purchase'"), events.filter(F.col("order_date") >= DAY)):
+        lake.daily_metrics.upsert(by_date(rows).withColumn("used_fallback", F.lit(False)))
     return lake.daily_metrics.snapshot()
 
 
@@ -270,9 +283,7 @@ union all select 'hourly_trends_daily', cast(hour as varchar), {total("total_amo
   count(order_id), '{DAY}' from d group by hour"""
 
 
-@query("m2_daily_job", M2)
-def m2(spark, sf):
-    tables = run_daily(_event_lake(spark, sf), DAY)
+def _union_of_tables(tables):
     columns = {
         "daily_analytics": (F.lit("overall"), "total_revenue", "total_orders"),
         "top_products_daily": (F.col("product_id"), "total_revenue", "order_count"),
@@ -287,6 +298,7 @@ def m2(spark, sf):
             F.col(revenue).alias("revenue"),
             F.col(orders).alias("orders"),
             "processing_date",
+            "used_fallback",
         )
         for name, (key, revenue, orders) in columns.items()
     ]
@@ -296,6 +308,21 @@ def m2(spark, sf):
     return union
 
 
+@query("m2_daily_job", M2)
+def m2(spark, sf):
+    return _union_of_tables(run_daily(_event_lake(spark, sf), DAY)).drop("used_fallback")
+
+
+@query(
+    "m2_daily_job_falls_back",
+    "select *, true as used_fallback from ("
+    + M2.replace(f"where order_date = date '{DAY}'", "").replace(f"'{DAY}'", f"'{EMPTY_DAY}'")
+    + ")",
+)
+def m2_falls_back(spark, sf):
+    return _union_of_tables(run_daily(_event_lake(spark, sf), EMPTY_DAY, fallback=True))
+
+
 CHAIN_COUNTS = f"""with {EVENTS}, d as (
   select *, hour(order_timestamp) as hour from order_events where order_date = date '{DAY}')
 select 'daily_top_products' as table_name, least(count(distinct product_id), 10) as row_count from d

@@ -80,10 +80,10 @@ def test_times_are_compared_as_times_not_as_text(spark, new_log):
 
 def test_replayed_batch_changes_nothing(spark, new_log):
     log = new_log()
-    assert log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0") == 0
-    assert log.upsert(frame(spark, [("a", "2024-01-02", 2)]), "s.1") == 1
+    assert log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0") == "s.0"
+    assert log.upsert(frame(spark, [("a", "2024-01-02", 2)]), "s.1") == "s.1"
     before = content(log.snapshot())
-    assert log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0") == 0
+    assert log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0") == "s.0"
     assert content(log.snapshot()) == before
     assert len(log.commits()) == 2
 
@@ -94,7 +94,7 @@ def test_unfinished_commit_is_invisible_and_taken_over(spark, new_log):
     log.upsert(frame(spark, [("a", "2024-01-02", 2)]), "s.1")
     os.remove(f"{log.commits()[1].path.removeprefix('file:')}/_SUCCESS")
     assert content(log.snapshot()) == [("a", "2024-01-01", 1)]
-    assert log.upsert(frame(spark, [("a", "2024-01-02", 2)]), "s.1") == 1
+    assert log.upsert(frame(spark, [("a", "2024-01-02", 2)]), "s.1") == "s.1"
     assert content(log.snapshot()) == [("a", "2024-01-02", 2)]
 
 
@@ -112,14 +112,15 @@ def test_delete_and_late_rows(spark, new_log):
 
 def test_time_travel(spark, new_log):
     log = new_log()
+    tokens = []
     for i in range(4):
-        log.upsert(frame(spark, [("a", f"2024-01-0{i + 1}", i)]))
+        tokens.append(log.upsert(frame(spark, [("a", f"2024-01-0{i + 1}", i)])))
         if i == 2:
             log.compact()
-    assert [content(log.snapshot(i))[0][2] for i in range(4)] == [0, 1, 2, 3]
-    assert content(log.snapshot(3)) == content(log.snapshot())
+    assert [content(log.snapshot(t))[0][2] for t in tokens] == [0, 1, 2, 3]
+    assert content(log.snapshot(tokens[3])) == content(log.snapshot())
     with pytest.raises(TableUnavailable):
-        log.snapshot(9)
+        log.snapshot("other")
 
 
 @pytest.mark.parametrize("order", ["event", "arrival"])
@@ -129,12 +130,14 @@ def test_compaction_never_changes_a_snapshot(spark, new_log, order, cluster_by):
     plain, compacted = new_log(order=order), new_log(order=order, cluster_by=cluster_by)
     for i in range(5):
         for log in (plain, compacted):
-            log.upsert(frame(spark, rows[i::5]))
+            log.upsert(frame(spark, rows[i::5]), f"s.{i}")
         if i in (1, 3):
             compacted.compact()
         assert content(plain.snapshot()) == content(compacted.snapshot())
         for past in range(i + 1):
-            assert content(plain.snapshot(past)) == content(compacted.snapshot(past))
+            assert content(plain.snapshot(f"s.{past}")) == content(
+                compacted.snapshot(f"s.{past}")
+            )
 
 
 def test_unfinished_base_is_ignored(spark, new_log):
@@ -143,21 +146,48 @@ def test_unfinished_base_is_ignored(spark, new_log):
     log.compact()
     log.upsert(frame(spark, [("a", "2024-01-02", 1)]))
     log.compact()
-    os.remove(f"{log.path}/base/_base_id=1/_SUCCESS")
+    tokens = {c.token for c in log.commits()}
+    newest, held = log._base(tokens)
+    assert held == tokens
+    os.remove(f"{newest.removeprefix('file:')}/commits/_SUCCESS")
     assert content(log.snapshot()) == [("a", "2024-01-02", 1)]
-    assert log._bases() == [0]
+    assert len(log._base(tokens)[1]) == 1
 
 
-def test_commits_span_epochs(spark, new_log, monkeypatch):
-    monkeypatch.setattr("ledgerline.sources.commit_log.COMMITS_PER_EPOCH", 2)
+def test_a_slow_writer_that_ends_after_a_compaction_loses_nothing(spark, new_log):
     log = new_log()
-    for i in range(5):
-        log.upsert(frame(spark, [("a", f"2024-01-0{i + 1}", i)]), f"s.{i}")
-    assert [c.commit_id for c in log.commits()] == [0, 1, 2, 3, 4]
-    assert [c.commit_id for c in log.commits(as_of=3, after=1)] == [2, 3]
-    assert log.upsert(frame(spark, [("a", "2024-01-04", 3)]), "s.3") == 3
-    assert content(log.snapshot()) == [("a", "2024-01-05", 4)]
-    assert content(log.snapshot(2)) == [("a", "2024-01-03", 2)]
+    log.upsert(frame(spark, [("a", "2024-01-01", 1)]))
+    slow = log.upsert(frame(spark, [("b", "2024-01-01", 2)]))
+    marker = f"{log.path}/commits/_commit={slow}/_SUCCESS"
+    os.remove(marker)  # its files are there, its commit is not
+    log.upsert(frame(spark, [("c", "2024-01-01", 3)]))
+    log.compact()
+    assert [r[0] for r in content(log.snapshot())] == ["a", "c"]
+    open(marker, "w").close()
+    assert [r[0] for r in content(log.snapshot())] == ["a", "b", "c"]
+    log.compact()
+    assert [r[0] for r in content(log.snapshot())] == ["a", "b", "c"]
+
+
+def test_a_replay_during_a_compaction_keeps_every_row(spark, new_log):
+    log = new_log()
+    log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0")
+    log.upsert(frame(spark, [("b", "2024-01-01", 2)]), "s.1")
+    os.remove(f"{log.path}/commits/_commit=s.1/_SUCCESS")  # failed before its commit
+    log.compact()
+    log.upsert(frame(spark, [("b", "2024-01-01", 2)]), "s.1")  # written again
+    log.upsert(frame(spark, [("a", "2024-01-01", 1)]), "s.0")  # stored already
+    assert content(log.snapshot()) == [("a", "2024-01-01", 1), ("b", "2024-01-01", 2)]
+    log.compact()
+    assert content(log.snapshot()) == [("a", "2024-01-01", 1), ("b", "2024-01-01", 2)]
+
+
+def test_a_late_replay_does_not_win_in_arrival_order(spark, new_log):
+    log = new_log(order="arrival")
+    for i in range(3):
+        log.upsert(frame(spark, [("a", "2024-01-01", i)]), f"s.{i}")
+    log.upsert(frame(spark, [("a", "2024-01-01", 0)]), "s.0")
+    assert content(log.snapshot()) == [("a", "2024-01-01", 2)]
 
 
 def test_arrival_order_lets_the_later_commit_win(spark, new_log):

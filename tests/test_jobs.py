@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.__main__ import main
 from ledgerline.operators.quality import DataQualityError, enforce, volume_checks
@@ -51,17 +52,28 @@ def test_daily_job_on_an_empty_day(lake):
     tables = run_daily(lake, "2030-01-01")
     assert tables["daily_analytics"].first()["total_orders"] == 0
     assert tables["top_products_daily"].count() == 0
-    assert "used_fallback" not in tables["top_products_daily"].columns
+    assert "used_fallback" in tables["top_products_daily"].columns
+    assert tables["daily_analytics"].first()["used_fallback"] is False
 
 
 def test_daily_job_falls_back_when_asked(lake):
     tables = run_daily(lake, "2030-01-01", fallback=True)
     assert tables["daily_analytics"].first()["total_orders"] == lake.orders.snapshot().count()
     assert {r["used_fallback"] for r in tables["hourly_trends_daily"].collect()} == {True}
+    assert tables["daily_analytics"].first()["used_fallback"] is True
     tables = run_daily(lake, "2024-01-15", fallback=True)
     assert {r["used_fallback"] for r in tables["hourly_trends_daily"].collect()} == {False}
 
 
+def test_history_of_fallback_and_normal_days_has_all_columns(lake):
+    for date, fallback in (("2024-01-15", False), ("2030-01-01", True)):
+        run_daily(lake, date, fallback, keep_history=True)
+    kept = lake.history("status_distribution_daily")
+    assert dict(kept.dtypes)["processing_date"] == "string"
+    flags = {(r["processing_date"], r["used_fallback"]) for r in kept.collect()}
+    assert flags == {("2024-01-15", False), ("2030-01-01", True)}
+
+
 def test_chain(spark, lake, tmp_path):
     serving = str(tmp_path / "serving")
     result = run_chain(
@@ -127,6 +139,8 @@ def test_smoke(lake):
     assert found.top_products.count() == 5
     stored = lake.read("test_analytics")
     assert stored.drop("test_date").collect() == found.summary.collect()
+    today = lake.spark.range(1).select(F.current_date()).first()[0]
+    assert (today - stored.first()["test_date"]).days in (0, 1)  # a run may pass midnight
 
 
 def test_daily_job_leaves_no_scratch_behind(spark, lake):

@@ -73,10 +73,17 @@ def test_top_k_is_not_a_global_sort(spark, sf_dir):
 
 def test_wide_share_keeps_rows_in_place(spark, sf_dir):
     totals = metrics.customer_totals(order_headers(spark, sf_dir))
-    text = plan(metrics.share_of_total(totals, "order_count", wide=True))
+    text = plan(metrics.share_of_total(totals, "order_count"))
     assert "Window" not in text
 
 
+def test_status_shares_pass_no_single_task(spark, sf_dir):
+    text = plan(metrics.status_distribution(order_events(spark, sf_dir)))
+    assert "Window" not in text
+    rolled = rollup.order_rollup(order_events(spark, sf_dir))
+    assert "Window" not in plan(rollup.status_from_rollup(rolled))
+
+
 @pytest.mark.parametrize(
     "name", [n for n in QUERIES if n[0] in "agwtpcfq" and not n.startswith(("c1_", "c2_", "c3_"))]
 )

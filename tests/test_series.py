@@ -150,3 +150,11 @@ def test_created_at_is_one_value(daily):
     stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
     seasons = ts.weekday_seasonality(daily([1.0] * 9), created_at=stamp)
     assert seasons.select("created_at").distinct().count() == 1
+
+
+def test_ordered_series_and_weekdays(daily):
+    days = daily([float(i) for i in range(20)])
+    dates = [r["order_date"] for r in ts.ordered(days.repartition(5)).collect()]
+    assert dates == sorted(dates)
+    weekdays = ts.ordered(ts.weekday_seasonality(days)).collect()
+    assert [r["day_of_week"] for r in weekdays] == [1, 2, 3, 4, 5, 6, 7]

@@ -1,8 +1,10 @@
 import os
+import subprocess
+import sys
 
 import pytest
 
-from ledgerline.session import drop_scratch, scratch_path, shuffle_partitions_for
+from ledgerline.session import drop_scratch, scratch_path, shuffle_partitions_for, size_shuffles
 
 
 class FakeSession:
@@ -49,4 +51,30 @@ def test_dropped_scratch_is_gone(spark):
 
 def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions_for(1) == 8
-    assert shuffle_partitions_for(100 << 40) == 819_200
+    assert shuffle_partitions_for(100 << 40) == 4 * 819_200
+
+
+def test_jobs_size_their_shuffles_only_where_the_user_did_not(spark):
+    # the session of the tests was given a number
+    assert size_shuffles(spark, 100 << 40) is None
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_settings_of_the_user_stay(tmp_path):
+    """In a process of its own, submitted with settings as a user would."""
+    code = (
+        "from ledgerline.session import create_session, size_shuffles, stored_bytes\n"
+        "s = create_session('x', 'local[1]')\n"
+        f"s.range(1000).write.parquet(r'{tmp_path}/t')\n"
+        f"n = size_shuffles(s, 1 << 30); assert stored_bytes(s, r'{tmp_path}/t') > 0\n"
+        "c = s.conf.get\n"
+        "print('GOT', c('spark.sql.session.timeZone'), c('spark.sql.adaptive.enabled'),"
+        " c('spark.sql.adaptive.skewJoin.enabled'), n, c('spark.sql.shuffle.partitions'))"
+    )
+    args = "--conf spark.sql.session.timeZone=Asia/Tokyo --conf spark.sql.adaptive.enabled=false --conf spark.ui.enabled=false pyspark-shell"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": args, "PYTHONPATH": root}
+    out = subprocess.run(
+        [sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=120
+    ).stdout
+    assert "GOT Asia/Tokyo false true 32 32" in out
