@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.llm.common import BREAKS, WORD_BREAK, stored
 
@@ -86,7 +87,7 @@ def permuted(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def permutation(x: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
     return pd.Series(permuted(x.to_numpy(), n.to_numpy(), key.to_numpy().astype(np.uint64)))
 
