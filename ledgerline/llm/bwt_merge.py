@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import bitmap, body_hash, chained, in_bitmap, mix64, slices, stored, with_body
+from ledgerline.llm.common import bitmap, body_hash, chained, in_bitmap, likely_rows, mix64, slices, stored, with_body
 from ledgerline.llm.recompression import Ranges
 
 WINDOW = 100
@@ -361,8 +361,9 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
     asked = contexts.join(kinds, "key").select(
         "at.doc", "at.body", F.struct("key", "at.first", "windows", (F.col("size") > group_bytes).alias("large")).alias("a")
     ).groupBy("doc", "body").agg(F.collect_list("a").alias("asked"))
+    asked = stored(asked, "asked")
     pieces = stored(
-        texts.join(stored(asked, "asked"), "doc").mapInArrow(
+        likely_rows(texts, asked, "doc").join(asked, "doc").mapInArrow(
             chained(with_body, _contexts(window)),
             "key long, doc long, body long, first int, bytes binary, large boolean",
         ),
@@ -382,7 +383,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
         "spans",
     )
     changed = (
-        texts.join(spans, "doc")
+        likely_rows(texts, spans, "doc").join(spans, "doc")
         .mapInArrow(
             chained(with_body, _remove(window)), "doc long, body long, n_removed long, n_spans long, kept string"
         )

@@ -158,6 +158,21 @@ def in_bitmap(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _in_bits(bits: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column("_key").to_numpy().view(np.uint64)
+            yield batch.drop_columns(["_key"]).filter(pa.array(in_bitmap(bits, key)))
+
+    return run
+
+
+def likely_rows(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """``rows`` that may join ``wanted`` on ``column``, by a bitmap: what a join would shuffle in vain goes."""
+    bits = bitmap(wanted.select(F.xxhash64(column).alias("key")))
+    return rows.withColumn("_key", F.xxhash64(column)).mapInArrow(_in_bits(bits), rows.schema)
+
+
 def connected(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of links (a, b): rows (id, component), component = smallest id reachable.
 

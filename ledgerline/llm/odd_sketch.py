@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Words, connected, gram_hashes, mix64, slices, stored
+from ledgerline.llm.common import Words, connected, gram_hashes, likely_rows, mix64, slices, stored
 
 SHINGLE = 5
 BINS = 2048  # MinHash samples
@@ -196,12 +196,22 @@ def _likely(percent: int):
     return run
 
 
+def _slots(sizes: np.ndarray, bands: list[list[int]]) -> np.ndarray:
+    """Bands of sets at fixed places: those by bins, then those by permutations; 0 where there is none."""
+    out = np.zeros((len(sizes), 2 * BANDS), np.int64)
+    for i, (size, keys) in enumerate(zip(sizes.tolist(), bands, strict=True)):
+        out[i, (0 if size >= SMALL * 0.8 else BANDS) :][: len(keys)] = keys
+    return out
+
+
 def _cell(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Likely pairs of one cell: members of different components, of two blocks or within one."""
     rep, comp, size, filled, block = (
         rows.column(c).to_numpy() for c in ("rep", "comp", "n_shingles", "samples", "block")
     )
     sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rep), -1)
+    slots = _slots(size, rows.column("bands").to_pylist())
+    band = rows.column("band")[0].as_py()
     a, b = [], []
     left = np.flatnonzero(block == block.min()) if block.min() != block.max() else np.arange(len(rep))
     right = np.flatnonzero(block != block.min()) if block.min() != block.max() else left
@@ -214,8 +224,12 @@ def _cell(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
             near = allowed(
                 sketch[other], sketch[k], (size[other], size[k]), (filled[other], filled[k]), percent
             )
-            a.append(np.full(int(near.sum()), rep[k]))
-            b.append(rep[other[near]])
+            other = other[near]
+            # a pair that shares several bands comes out of the first of them
+            same = (slots[other] == slots[k]) & (slots[k] != 0)
+            other = other[slots[k][same.argmax(1)] == band]
+            a.append(np.full(len(other), rep[k]))
+            b.append(rep[other])
     if not a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     a, b = np.concatenate(a), np.concatenate(b)
@@ -290,18 +304,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     active = stored(
         bands.join(crowded, "band").withColumn("degree", degree).drop("n"), "buckets"
     )
-    bodies = stored(_bodies(texts, active.select(F.col("rep").alias("doc_id")).distinct()), "bodies")
+    crowd = stored(active.select(F.col("rep").alias("doc_id")).distinct(), "crowd")
+    bodies = stored(_bodies(texts.where("doc_id is not null"), crowd), "bodies")
     hubs = stored(
-        active.groupBy("band").agg(F.max_by(F.struct("rep", "n_shingles"), F.struct("degree", "rep")).alias("h"))
-        .select("band", F.col("h.rep").alias("hub"), F.col("h.n_shingles").alias("hub_size")),
+        active.groupBy("band").agg(
+            F.max_by(F.struct("rep", "n_shingles", "degree"), F.struct("degree", "rep")).alias("h")
+        ).select("band", F.col("h.rep").alias("hub"), F.col("h.n_shingles").alias("hub_size"), "h.degree"),
         "hubs",
     )
-    star = active.join(hubs, "band").where(
+    star = active.drop("degree").join(hubs.drop("degree"), "band").where(
         f"rep <> hub and 100 * least(n_shingles, hub_size) >= {percent} * greatest(n_shingles, hub_size)"
     )
-    pairs = star.select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
+    pairs = star.select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     links = stored(confirm(_likely_pairs(pairs, reps, percent), bodies, percent), "links")
-    labels = stored(connected(links, "near"), "labels").withColumnRenamed("id", "rep")
+    # linked with one hub is known to be together
+    best = hubs.select(F.col("hub").alias("b"), "degree").distinct()
+    labels = links.join(best, "b").groupBy(F.col("a").alias("rep")).agg(
+        F.max_by("b", F.struct("degree", "b")).alias("component")
+    )
     # members that are still apart, hubs left out as they have met all others
     apart = (
         active.join(hubs.select("band", "hub"), "band")
@@ -320,13 +340,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .select(
             "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp"
         )
-        .join(reps.select("rep", "n_shingles", "sketch", "samples"), "rep")
+        .join(reps.select("rep", "n_shingles", "sketch", "samples", "bands"), "rep")
     )
     more = (
         celled.repartition("band", "i", "j")
         .sortWithinPartitions("band", "i", "j")
         .mapInArrow(_cell_pairs(percent), "a long, b long")
-        .distinct()
     )
     found = stored(confirm(stored(more, "likely"), bodies, percent), "links")
     labels = stored(connected(links.union(found), "near"), "labels")
@@ -358,7 +377,7 @@ def _likely_pairs(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _bodies(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    return texts.join(wanted, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+    return likely_rows(texts, wanted, "doc_id").join(wanted, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
 
 
 def confirm(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:

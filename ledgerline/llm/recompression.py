@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Words, bitmap, body_hash, chained, in_bitmap, mix64, slices, stored, with_body
+from ledgerline.llm.common import Words, bitmap, body_hash, chained, in_bitmap, likely_rows, mix64, slices, stored, with_body
 
 WINDOW = 35
 LAST = (1 << 63) - 1
@@ -291,8 +291,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     kinds = contexts.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1").select("key")
     doubtful = contexts.join(kinds, "key", "left_semi").select("at.*", "windows", "n")
     asked = doubtful.groupBy("doc", "body").agg(F.collect_list(F.struct("first", "windows", "n")).alias("asked"))
+    asked = stored(asked, "asked")
     hashes = stored(
-        texts.join(stored(asked, "asked"), "doc").mapInArrow(
+        likely_rows(texts, asked, "doc").join(asked, "doc").mapInArrow(
             chained(with_body, _window_hashes(window)), "h1 long, h2 long, doc long, body long, at int, n long"
         ),
         "window-hashes",
@@ -305,7 +306,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         whole.union(part).groupBy("doc", "body").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans"
     )
     changed = (
-        texts.join(spans, "doc")
+        likely_rows(texts, spans, "doc").join(spans, "doc")
         .mapInArrow(chained(with_body, _remove(window)), "doc long, body long, n_removed long, kept string")
         .dropDuplicates(["doc", "body"])
     )
