@@ -98,7 +98,7 @@ def streams(docs: DataFrame, seed: int = 0) -> DataFrame:
         docs.select(
             "doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"),
             F.xxhash64(F.coalesce("text", F.lit(""))).alias("body"),
-        ).groupBy("doc_id", "source", "body").agg(F.max("size").alias("size")),
+        ).groupBy("doc_id", "source", "body").agg(F.max("size").alias("size"), F.count("*").alias("copies")),
         "sized",
     )
     buckets = max(1, sized.count() // PER_BUCKET)
@@ -116,7 +116,7 @@ def streams(docs: DataFrame, seed: int = 0) -> DataFrame:
             bases.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "base"),
             F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")),
         )
-        .select("doc_id", "source", "body", "size", (F.col("base") + F.col("inside")).alias("start"))
+        .select("doc_id", "source", "body", "size", "copies", (F.col("base") + F.col("inside")).alias("start"))
     )
 
 
@@ -169,6 +169,7 @@ class Mix:
     def __init__(self, docs: DataFrame, block: int = BLOCK, most: int = 3, seed: int = 0):
         self.block, self.docs = block, docs
         placed = stored(streams(docs, seed), "streams")
+        self.repeated = not placed.where("copies > 1").isEmpty()
         self.goals = stored(
             targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), most), "targets"
         )
@@ -216,7 +217,8 @@ class Mix:
             )
         )
         docs = self.docs.withColumn("_body", F.xxhash64(F.coalesce("text", F.lit(""))))
-        docs = docs.dropDuplicates(["doc_id", "source", "_body"])
+        if self.repeated:
+            docs = docs.dropDuplicates(["doc_id", "source", "_body"])
         on = (
             docs["doc_id"].eqNullSafe(got["doc_id"]) & (docs["_body"] == got["body"]) & docs["source"].eqNullSafe(got["source"])
         )
