@@ -137,7 +137,7 @@ def chained(one, two):
     return lambda batches: two(one(batches))
 
 
-BITMAP = 26
+BITMAP = 25
 
 
 def bitmap(keys: DataFrame) -> np.ndarray:
@@ -147,9 +147,9 @@ def bitmap(keys: DataFrame) -> np.ndarray:
     """
     lead = F.shiftrightunsigned("key", 64 - BITMAP)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), lead.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    rows = keys.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    rows = keys.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     bits = np.zeros(1 << (BITMAP - 6), np.uint64)
-    bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return bits
 
 
