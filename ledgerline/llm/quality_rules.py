@@ -138,4 +138,7 @@ def quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """Only rows that pass, with the columns of ``docs`` alone."""
     marked = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    return quality(marked.select("_row", F.col(f"`{text}`").alias("_text")), "_text").where("kept").select("_row.*")
+    judged = quality(marked.select("_row", F.col(f"`{text}`").alias("_text")), "_text")
+    # a plain filter would be pushed below the counts and compute them again for every rule
+    row = F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_row")
+    return judged.select(row).where("_row is not null").select("_row.*")
