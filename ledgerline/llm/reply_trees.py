@@ -47,12 +47,11 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     while len(jumps) < limit and not jump.where("up is not null").isEmpty():
         jumps.append(jump)
         above = jump.select("conv", F.col("msg").alias("up"), F.col("up").alias("next"), F.col("gain").alias("more"))
-        jump = stored(
-            jump.join(above, ["conv", "up"], "left").select(
-                "conv", "msg", F.col("next").alias("up"), (F.col("gain") + F.coalesce("more", F.lit(0.0))).alias("gain")
-            ),
-            f"jump-{len(jumps)}",
+        # messages that have reached their root stay as they are; only longer paths are joined again
+        farther = jump.where("up is not null").join(above, ["conv", "up"]).select(
+            "conv", "msg", F.col("next").alias("up"), (F.col("gain") + F.coalesce("more", F.lit(0.0))).alias("gain")
         )
+        jump = stored(jump.where("up is null").unionByName(farther), f"jump-{len(jumps)}")
     first = jumps[0] if jumps else jump
     parents = first.select("conv", F.col("up").alias("msg")).where("msg is not null").distinct()
     leaves = jump.where("up is null").join(parents, ["conv", "msg"], "left_anti")
