@@ -7,7 +7,8 @@ stand for itself or for letters, separators and repetitions may be dropped, at a
 finds the likeliest reading under the trigrams. Restored words join the plain ones.
 
 The score is a log-odds sum over a document's distinct words, each by its strongest feature: features are
-words and beginnings of words that differ clearly between toxic and other training documents. Only labels of training rows are read; ids, languages
+words and beginnings of words that differ clearly between toxic and other training documents, at most ``TRAINING_ROWS`` of them (the character model reads
+every text). Only labels of training rows are read; ids, languages
 and sources never enter a score.
 
 Defined cases: null and empty texts have no features and score the prior; null labels are unlabelled; a
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import mix64, range_hashes, slices
+from ledgerline.llm.common import mix64, range_hashes, slices, stored
 
 # alphabet of the character model: 0 word border, 1-26 letters, 27 other letters
 CLASSES = 28
@@ -38,6 +39,7 @@ EVIDENCE = 25.0  # least log-likelihood ratio statistic of a feature
 LEXICON = 200_000  # most features kept, by evidence: bound of the model that tasks receive
 DOUBT = 3.0  # subtracted from the log-odds: absence of all features speaks against toxicity
 THRESHOLD = 0.7
+TRAINING_ROWS = 30_000  # labelled rows the lexicon is learnt from, picked by a hash of their ids
 
 # what a sign may stand for
 SIGNS = {
@@ -52,6 +54,8 @@ _LETTER[97:123] = True
 _LETTER[128:] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in SIGNS if ord(c) < 128]] = True
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
 _CLASS = np.zeros(256, np.int64)
 _CLASS[97:123] = np.arange(1, 27)
 _CLASS[128:] = 27
@@ -83,20 +87,34 @@ class Tokens:
         self.text = np.searchsorted(self.offsets, self.start, "right") - 1
         self.inside = inside
 
-    def suspicious(self) -> np.ndarray:
-        """Texts that may hold a disguised stretch."""
-        d, letter, sign = self.data, self.inside, _SIGN[self.data]
+    def suspicious(self) -> set[tuple[int, int, int]]:
+        """Stretches (text, first byte, end) that hold all disguised words: blank-delimited pieces with a sign
+        before a letter or a letter three times, and runs of single letters with one byte between."""
+        d, letter = self.data, self.inside
         if len(d) < 3:
-            return np.zeros(0, np.int64)
-        mixed = (sign[:-1] & letter[1:])[:-1]
+            return set()
+        mixed = _SIGN[d[:-2]] & letter[1:-1]
         triple = letter[2:] & (d[2:] == d[1:-1]) & (d[1:-1] == d[:-2])
-        at = [np.flatnonzero(mixed), np.flatnonzero(triple)]
-        short = self.end - self.start <= 2
-        if len(short) > 3:
-            spelled = short[:-3] & short[1:-2] & short[2:-1] & short[3:]
-            at.append(self.start[:-3][spelled & (self.start[3:] - self.start[:-3] <= 12)])
-        where = np.concatenate(at)
-        return np.unique(np.searchsorted(self.offsets, where, "right") - 1)
+        at = np.flatnonzero(mixed | triple)
+        cut = np.zeros(len(d) + 1, bool)
+        cut[:-1] = _BLANK[d]
+        cut[1:] |= cut[:-1].copy()
+        cut[self.offsets] = True
+        cuts = np.flatnonzero(cut)
+        piece = np.unique(np.searchsorted(cuts, at, "right"))
+        low, high = [cuts[piece - 1]], [cuts[piece]]
+        if len(self.start) > 3:
+            short = self.end - self.start <= 2
+            link = short[:-1] & short[1:] & (self.start[1:] - self.end[:-1] == 1) & (self.text[1:] == self.text[:-1])
+            edge = np.diff(np.concatenate([[0], link.astype(np.int8), [0]]))
+            first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            long = last - first >= 3
+            low.append(np.maximum(self.start[first[long]] - 1, 0))
+            high.append(np.minimum(self.end[last[long]] + 1, len(d)))
+        low, high = np.concatenate(low), np.concatenate(high)
+        text = np.searchsorted(self.offsets, (low + high) // 2, "right") - 1
+        low, high = np.maximum(low, self.offsets[text]), np.minimum(high, self.offsets[text + 1])
+        return set(zip(text.tolist(), low.tolist(), high.tolist(), strict=True))
 
 
 def features(start: np.ndarray, end: np.ndarray, data: np.ndarray, owner: np.ndarray):
@@ -151,16 +169,15 @@ class Decoder:
         return max((s + self.logp[a][b][0], out) for (a, b), (s, out) in best.items())[1]
 
 
-def _restored(tokens: Tokens, texts: pa.Array, decoder: Decoder):
+def _restored(tokens: Tokens, decoder: Decoder):
     """Words read out of disguised stretches, with their texts."""
-    words, owner = [], []
-    for i in tokens.suspicious().tolist():
-        found = {m.group() for m in DISGUISED.finditer(texts[i].as_py() or "")}
-        for word in {decoder.read(x) for x in found}:
-            if word:
-                words.append(word)
-                owner.append(i)
-    return words, owner
+    words = set()
+    for i, a, b in tokens.suspicious():
+        stretch = tokens.data[a:b].tobytes().decode(errors="ignore")
+        for m in DISGUISED.finditer(stretch):
+            words.add((i, decoder.read(m.group())))
+    found = sorted(w for w in words if w[1])
+    return [w for _, w in found], [i for i, _ in found]
 
 
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +205,7 @@ def _all_features(batch: pa.RecordBatch, decoder: Decoder):
     texts = batch.column("text")
     tokens = Tokens(texts)
     owner, hashed = features(tokens.start, tokens.end, tokens.data, tokens.text)
-    words, of = _restored(tokens, texts, decoder)
+    words, of = _restored(tokens, decoder)
     if words:
         more_owner, more = of_words(words, of)
         owner, hashed = np.concatenate([owner, more_owner]), np.concatenate([hashed, more])
@@ -241,8 +258,11 @@ class Model:
             labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
             .groupBy("doc_id")
             .agg(F.max(F.col("toxic").cast("double")).alias("toxic"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id")
+            .limit(TRAINING_ROWS)
         )
-        training = texts.join(known, "doc_id")
+        known = stored(known, "labels")
+        training = texts.join(F.broadcast(known), "doc_id")  # bounded by TRAINING_ROWS
         counted = known.agg(F.coalesce(F.sum("toxic"), F.lit(0.0)), F.count("*")).first()
         t, c = counted[0], counted[1] - counted[0]
         self.prior = math.log((t + 0.5) / (c + 0.5)) if t + c else 0.0
