@@ -19,7 +19,7 @@ rows are scored alike; without labels everything scores 0.5 or less; an empty ta
 from __future__ import annotations
 
 import math
-import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -52,20 +52,17 @@ SIGN_COST, DROP_COST, KEEP_COST = 1.0, 0.5, 6.0
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
-_SIGN = np.zeros(256, bool)
-_SIGN[[ord(c) for c in SIGNS if ord(c) < 128]] = True
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 _CLASS = np.zeros(256, np.int64)
 _CLASS[97:123] = np.arange(1, 27)
 _CLASS[128:] = 27
 
-_signs = re.escape("".join(SIGNS))
-DISGUISED = re.compile(
-    rf"(?:[^\W\d_]|[{_signs}])*(?:[^\W\d_][{_signs}]+(?=[^\W\d_])|(?<![\w{_signs}])[{_signs}](?=[^\W\d_]{{2}}))(?:[^\W\d_]|[{_signs}])*"
-    r"|(?<!\w)(?:[^\W\d_][ .\-_*]){3,}[^\W\d_](?!\w)"
-    r"|[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*"
-)
+
+def _kind(c: str) -> int:
+    """0 separator, 1 letter (or mark on one), 2 sign, 3 another digit: no word goes on behind it."""
+    return 2 if c in SIGNS else 1 if c.isalpha() or unicodedata.category(c)[0] == "M" else 3 if c.isalnum() else 0
+
+
+_KIND = np.array([_kind(chr(c)) for c in range(129)], np.uint8)
 
 
 class Tokens:
@@ -85,36 +82,46 @@ class Tokens:
         last[:-1] &= ~inside[1:] | border[1:-1]
         self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
         self.text = np.searchsorted(self.offsets, self.start, "right") - 1
-        self.inside = inside
 
-    def suspicious(self) -> set[tuple[int, int, int]]:
-        """Stretches (text, first byte, end) that hold all disguised words: blank-delimited pieces with a sign
-        before a letter or a letter three times, and runs of single letters with one byte between."""
-        d, letter = self.data, self.inside
-        if len(d) < 3:
+    def disguises(self) -> set[tuple[int, str]]:
+        """Stretches (text, characters) that may disguise words, found over whole texts by code points: runs of
+        letters and signs that mix both, runs with a letter repeated, and three or more short runs with any
+        separators between them (each written as one blank)."""
+        ends = self.offsets.tolist()
+        raw = self.data.tobytes()
+        texts = [raw[a:b].decode(errors="replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        whole = "".join(texts)
+        if not whole:
             return set()
-        mixed = _SIGN[d[:-2]] & letter[1:-1]
-        triple = letter[2:] & (d[2:] == d[1:-1]) & (d[1:-1] == d[:-2])
-        at = np.flatnonzero(mixed | triple)
-        cut = np.zeros(len(d) + 1, bool)
-        cut[:-1] = _BLANK[d]
-        cut[1:] |= cut[:-1].copy()
-        cut[self.offsets] = True
-        cuts = np.flatnonzero(cut)
-        piece = np.unique(np.searchsorted(cuts, at, "right"))
-        low, high = [cuts[piece - 1]], [cuts[piece]]
-        if len(self.start) > 3:
-            short = self.end - self.start <= 2
-            link = short[:-1] & short[1:] & (self.start[1:] - self.end[:-1] == 1) & (self.text[1:] == self.text[:-1])
-            edge = np.diff(np.concatenate([[0], link.astype(np.int8), [0]]))
-            first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            long = last - first >= 3
-            low.append(np.maximum(self.start[first[long]] - 1, 0))
-            high.append(np.minimum(self.end[last[long]] + 1, len(d)))
-        low, high = np.concatenate(low), np.concatenate(high)
-        text = np.searchsorted(self.offsets, (low + high) // 2, "right") - 1
-        low, high = np.maximum(low, self.offsets[text]), np.minimum(high, self.offsets[text + 1])
-        return set(zip(text.tolist(), low.tolist(), high.tolist(), strict=True))
+        offsets = np.cumsum([0] + [len(t) for t in texts])
+        points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        kind = _KIND[np.minimum(points, 128)]
+        high = np.flatnonzero(points >= 128)
+        unique, at = np.unique(points[high], return_inverse=True)
+        kind[high] = np.array([_kind(chr(c)) for c in unique.tolist()], np.uint8)[at]
+        inside = (kind == 1) | (kind == 2)
+        border = np.zeros(len(points) + 1, bool)
+        border[offsets] = True
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1] | border[1:-1]
+        last[:-1] &= ~inside[1:] | border[1:-1]
+        start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        text = np.searchsorted(offsets, start, "right") - 1
+        letters, again, other = (np.zeros(len(points) + 1, np.int64) for _ in range(3))
+        np.cumsum(kind == 1, out=letters[1:])
+        np.cumsum((points[1:] == points[:-1]) & (kind[1:] == 1), out=again[2:])
+        np.cumsum(kind == 3, out=other[1:])
+        size, lettered = end - start, letters[end] - letters[start]
+        wanted = (lettered > 0) & ((lettered < size) | (again[end] > again[start + 1]))
+        found = {(i, whole[a:b]) for i, a, b in zip(text[wanted].tolist(), start[wanted].tolist(), end[wanted].tolist(), strict=True)}
+        short = (size <= 2) | ((lettered > 0) & (lettered <= 2))
+        link = short[:-1] & short[1:] & (text[1:] == text[:-1]) & (other[start[1:]] == other[end[:-1]])
+        edge = np.diff(np.concatenate([[0], link.astype(np.int8), [0]]))
+        for f, t in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+            if t - f >= 2 and letters[end[t]] > letters[start[f]]:
+                pieces = zip(start[f : t + 1].tolist(), end[f : t + 1].tolist(), strict=True)
+                found.add((int(text[f]), " ".join(whole[a:b] for a, b in pieces)))
+        return found
 
 
 def features(start: np.ndarray, end: np.ndarray, data: np.ndarray, owner: np.ndarray):
@@ -172,10 +179,8 @@ class Decoder:
 def _restored(tokens: Tokens, decoder: Decoder):
     """Words read out of disguised stretches, with their texts."""
     words = set()
-    for i, a, b in tokens.suspicious():
-        stretch = tokens.data[a:b].tobytes().decode(errors="ignore")
-        for m in DISGUISED.finditer(stretch):
-            words.add((i, decoder.read(m.group())))
+    for i, stretch in tokens.disguises():
+        words.add((i, decoder.read(stretch)))
     found = sorted(w for w in words if w[1])
     return [w for _, w in found], [i for i, _ in found]
 

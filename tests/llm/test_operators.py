@@ -534,6 +534,24 @@ def test_decoder_restores_disguised_words(spark):
         assert decoder.read(disguise) == word
 
 
+def test_disguises_are_found_wherever_they_stand():
+    texts = ["10ser $7upid idi07 a$$ worthle$$", "ende sh1t", "ende sh1t", "gr€at and £oser", "schööön ß ä ö ü",
+             "a c  l\to\nw n!!!", "gr.u.m.p.e.l", "2 3 45 a", "", None, "plain words only", "stuupid"]
+    found = noisy_channel.Tokens(pa.array(texts)).disguises()
+    at = [sorted(s for i, s in found if i == k) for k in range(len(texts))]
+    assert at == [["$7upid", "10ser", "a$$", "idi07", "worthle$$"], ["sh1t"], ["sh1t"], ["gr€at", "£oser"], ["schööön", "ß ä ö ü"],
+                  ["a c l o w n!!!", "n!!!"], ["gr u m p e l"], ["3 45 a"], [], [], [], ["stuupid"]]
+    # as whole texts tell it: every match of a narrow pattern of disguises lies inside a stretch
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("aabé€£1!$ .") for _ in range(rng.randrange(30))) for _ in range(400)]
+    signs = re.escape("".join(noisy_channel.SIGNS))
+    narrow = re.compile(rf"(?:[^\W\d_]|[{signs}])*[^\W\d_][{signs}]+(?=[^\W\d_])(?:[^\W\d_]|[{signs}])*|[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*")
+    found = noisy_channel.Tokens(pa.array(texts)).disguises()
+    for i, text in enumerate(texts):
+        for m in narrow.finditer(text):
+            assert any(j == i and m.group() in s for j, s in found)
+
+
 def test_toxicity_without_labels(spark):
     table, labels = toxic_tables(spark)
     rows = noisy_channel.report(table.limit(20), labels.where("false")).collect()
