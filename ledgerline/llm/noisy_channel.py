@@ -1,10 +1,10 @@
 """Toxicity: noisy-channel restoration of disguised words, then a word score.
 
 A character trigram model is counted over the whole corpus (a bounded alphabet, so at most
-``CLASSES ** 3`` counts, however large the corpus). Disguised stretches (look-alike signs inside words,
-letters spelled out with separators, letters repeated three times or more) become lattices: a sign may
-stand for itself or for letters, separators and repetitions may be dropped, at a cost each. Viterbi decoding
-finds the likeliest reading under the trigrams. Restored words join the plain ones.
+``CLASSES ** 3`` counts, however large the corpus). Disguised stretches (look-alike signs beside letters,
+words spelled out with separators, repeated letters) become lattices: a sign may be dropped or stand for
+letters, a repetition may be dropped, at a cost each; a separator is nothing or a word border. Viterbi decoding
+finds the likeliest reading under the trigrams. Its words join the plain ones.
 
 The score is a log-odds sum over a document's distinct words, each by its strongest feature: features are
 words and beginnings of words that differ clearly between toxic and other training documents, at most ``TRAINING_ROWS`` of them (the character model reads
@@ -22,6 +22,7 @@ import math
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -46,8 +47,7 @@ SIGNS = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l",
 }
-SEPARATORS = " .-_*"
-SIGN_COST, DROP_COST, KEEP_COST = 1.0, 0.5, 6.0
+SIGN_COST, DROP_COST, DOUBLE_COST, KEEP_COST = 1.0, 0.5, 4.0, 6.0
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -148,40 +148,59 @@ class Decoder:
 
     def __init__(self, logp: np.ndarray):
         self.logp = logp.tolist()
-        self.read = lru_cache(1 << 16)(self._read)
+        self._short = lru_cache(1 << 16)(self._read)
+
+    def read(self, stretch: str) -> str:
+        """The likeliest reading, its words parted by blanks."""
+        return self._short(stretch) if len(stretch) <= 64 else self._read(stretch)
 
     def _read(self, stretch: str) -> str:
-        best = {(0, 0): (0.0, "")}
+        kinds = [_kind(c) for c in stretch]
+        times = [n for n in (len(list(g)) for _, g in groupby(stretch)) for _ in range(n)]
+        mark, marks = True, []  # exclamation marks up to a separator may be just that
+        for c, kind in zip(reversed(stretch), reversed(kinds), strict=True):
+            mark = kind == 0 or (mark and c == "!")
+            marks.append(mark)
+        marks.reverse()
+        # readings as chains of (last character, chain before), so that long stretches are not copied
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         before = ""
-        for c in stretch:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            if c in SIGNS:
-                options = [(x, SIGN_COST) for x in SIGNS[c]] + [("", KEEP_COST)]
-            elif c in SEPARATORS:
-                options = [("", 0.0)]
-            else:
+        for c, kind, n, ends in zip(stretch, kinds, times, marks, strict=True):
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            if kind == 2:
+                options = [(x, SIGN_COST) for x in SIGNS[c]] + [("", 0.0 if ends else KEEP_COST)]
+            elif kind == 1:
                 options = [(c, 0.0)]
                 if c == before:
-                    options.append(("", DROP_COST))
+                    options.append(("", DROP_COST if n > 2 else DOUBLE_COST))
+            else:
+                options = [("", 0.0), (" ", 0.0)]
             for (a, b), (score, out) in best.items():
                 for x, cost in options:
-                    if x:
-                        k = ord(x) - 96 if "a" <= x <= "z" else 27
-                        state, value = (b, k), score + self.logp[a][b][k] - cost
+                    if not x:
+                        state, value, read = (a, b), score - cost, out
+                    elif x == " " and not b:
+                        continue
                     else:
-                        state, value = (a, b), score - cost
+                        k = 0 if x == " " else ord(x) - 96 if "a" <= x <= "z" else 27
+                        state, value, read = (b, k), score + self.logp[a][b][k] - cost, (x, out)
                     if state not in after or value > after[state][0]:
-                        after[state] = (value, out + x)
+                        after[state] = (value, read)
             best, before = after, c
-        return max((s + self.logp[a][b][0], out) for (a, b), (s, out) in best.items())[1]
+        at = max(best, key=lambda s: best[s][0] + self.logp[s[0]][s[1]][0])
+        chain, out = best[at][1], []
+        while chain:
+            out.append(chain[0])
+            chain = chain[1]
+        return "".join(reversed(out)).strip()
 
 
 def _restored(tokens: Tokens, decoder: Decoder):
     """Words read out of disguised stretches, with their texts."""
     words = set()
     for i, stretch in tokens.disguises():
-        words.add((i, decoder.read(stretch)))
-    found = sorted(w for w in words if w[1])
+        words.update((i, word) for word in decoder.read(stretch).split(" ") if word and word != stretch)
+    found = sorted(words)
     return [w for _, w in found], [i for i, _ in found]
 
 

@@ -552,6 +552,25 @@ def test_disguises_are_found_wherever_they_stand():
             assert any(j == i and m.group() in s for j, s in found)
 
 
+def test_toxicity_of_disguised_words(spark):
+    table, labels = toxic_tables(spark)
+    disguises = ["5narkle", "$n4rkle", "snark1€", "b10rgon", "blorg0n", "snark£e", "gr.u.m.p.e.l", "s\tn\na  r k l e",
+                 "das b l o r g o n das", "snaarkle", "blorggon!"]
+    rows = [(2000 + i, f"das {x} das {x.replace('5', '$')}") for i, x in enumerate(disguises)]
+    rows.append((3000, "das w2 das! w3 w4 das w5"))
+    both = table.union(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r["doc_id"]: r["score"] for r in noisy_channel.report(both, labels).collect()}
+    plain = found[3000]
+    assert [x for i, x in enumerate(disguises) if found[2000 + i] < plain + 0.1] == []
+
+
+def test_decoder_reads_borders(spark):
+    table, _ = toxic_tables(spark)
+    decoder = noisy_channel.Decoder(noisy_channel.character_model(table))
+    assert decoder.read("d a s s n a r k l e d a s") == "das snarkle das"
+    assert decoder.read("g r u m p e l " * 20).split() == ["grumpel"] * 20
+
+
 def test_toxicity_without_labels(spark):
     table, labels = toxic_tables(spark)
     rows = noisy_channel.report(table.limit(20), labels.where("false")).collect()
