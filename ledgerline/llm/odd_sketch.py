@@ -389,6 +389,15 @@ def confirm(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each group, with the columns of ``docs``; rows without an id stay."""
-    dropped = near_duplicates(docs, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    """One row of each group, with the columns of ``docs``, also among rows whose ids are null or repeated."""
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1 or doc_id is null").isEmpty():
+        rows = docs.withColumn("_row", F.col("doc_id"))
+    else:
+        # a key for each row, in the order of ids; equal rows are parted by their place, as they may be many
+        order = [F.col("doc_id").cast("long").asc_nulls_last(), F.xxhash64("text"), "_place"]
+        placed = docs.withColumn("_place", F.monotonically_increasing_id()).orderBy(*order).drop("_place")
+        rows = stored(placed.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), percent)
+    dropped = found.where("not kept").select(F.col("doc_id").alias("_row")).distinct()
+    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)

@@ -326,6 +326,19 @@ def test_mix_of_an_empty_table(spark):
     assert mixing.Mix(docs(spark, [None, ""])).documents().count() == 0
 
 
+def test_stages_tell_rows_without_own_ids_apart(spark):
+    rng = random.Random(31)
+    a, b, c, leak = (prose(rng, 60) for _ in range(4))
+    schema = "doc_id long, text string, lang string"
+    rows = [(None, a, "x"), (None, a, "y"), (None, b, "x"), (7, c, "x"), (7, c, "x"), (7, b, "x"), (3, a, "x"), (4, "", "x")]
+    left = odd_sketch.keep_first(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r["text"], r["doc_id"]) for r in left) == sorted([(a, 3), (b, 7), (c, 7), ("", 4)])
+    rows = [(None, leak, "x"), (None, a, "x"), (5, leak, "x"), (5, b, "x"), (6, c, "x"), (8, None, "x")]
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    left = decontaminate.without_leaks(spark.createDataFrame(rows, schema), items).collect()
+    assert collections.Counter(map(tuple, left)) == collections.Counter(r for r in rows if r[1] != leak)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 1000, 4097])
 def test_permutations(n):
     x = np.arange(n)
