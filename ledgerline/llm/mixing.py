@@ -12,7 +12,8 @@ Targets: sources by code point, null last, weigh ``WEIGHTS`` in turn; a target s
 source's words, and the excess is shared by weight until none is above.
 
 Defined cases: a null or empty text has no words and is never taken; a null source is a source; rows
-with the same id, source and text count as one document; an empty table gives an empty mix.
+with the same id, source and text are numbered (``copy``), and each has its own words; an empty table gives
+an empty mix.
 Streams are laid out by buckets of documents, so a source with most rows is never one group.
 """
 
@@ -98,17 +99,18 @@ def streams(docs: DataFrame, seed: int = 0) -> DataFrame:
         docs.select(
             "doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"),
             F.xxhash64(F.coalesce("text", F.lit(""))).alias("body"),
-        ).groupBy("doc_id", "source", "body").agg(F.max("size").alias("size"), F.count("*").alias("copies")),
+        ).groupBy("doc_id", "source", "body").agg(F.max("size").alias("size"), F.count("*").alias("copies"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))),
         "sized",
     )
     buckets = max(1, sized.count() // PER_BUCKET)
-    dealt = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "body", F.lit(seed)), F.lit(buckets)))
+    dealt = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "body", F.lit(seed), F.when(F.col("copy") > 0, F.col("copy"))), F.lit(buckets)))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = dealt.groupBy("source", "bucket").agg(F.sum("size").alias("n")).withColumn(
         "base", F.coalesce(F.sum("n").over(earlier), F.lit(0))
     )
     inside = (
-        Window.partitionBy("source", "bucket").orderBy("doc_id", "body").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("source", "bucket").orderBy("doc_id", "body", "copy").rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
         dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -116,7 +118,7 @@ def streams(docs: DataFrame, seed: int = 0) -> DataFrame:
             bases.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "base"),
             F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")),
         )
-        .select("doc_id", "source", "body", "size", "copies", (F.col("base") + F.col("inside")).alias("start"))
+        .select("doc_id", "source", "body", "copy", "size", (F.col("base") + F.col("inside")).alias("start"))
     )
 
 
@@ -169,7 +171,7 @@ class Mix:
     def __init__(self, docs: DataFrame, block: int = BLOCK, most: int = 3, seed: int = 0):
         self.block, self.docs = block, docs
         placed = stored(streams(docs, seed), "streams")
-        self.repeated = not placed.where("copies > 1").isEmpty()
+        self.repeated = not placed.where("copy > 0").isEmpty()
         self.goals = stored(
             targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), most), "targets"
         )
@@ -185,7 +187,7 @@ class Mix:
             .withColumn("block", F.explode(F.sequence(F.floor(start / b), F.floor((start + size - 1) / b))))
             .withColumn("low", F.greatest(F.lit(0), F.col("block") * b - start))
             .withColumn("high", F.least(size, (F.col("block") + 1) * b - start))
-            .select("doc_id", "source", "body", "size", "rank", "block", "low", "high")
+            .select("doc_id", "source", "body", "copy", "size", "rank", "block", "low", "high")
         )
 
     def taken(self) -> DataFrame:
@@ -193,9 +195,9 @@ class Mix:
         times = self.slots.groupBy("rank", "block").agg(F.count("*").alias("times"))
         words = (
             self.pieces().join(times, ["rank", "block"])
-            .groupBy("doc_id", "body", "rank").agg(F.sum((F.col("high") - F.col("low")) * F.col("times")).alias("taken"))
+            .groupBy("doc_id", "body", "copy", "rank").agg(F.sum((F.col("high") - F.col("low")) * F.col("times")).alias("taken"))
         )
-        key = ["doc_id", "body", "rank"]
+        key = ["doc_id", "body", "copy", "rank"]
         left = self.placed.alias("p").join(
             words.alias("w"),
             [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in key],
@@ -210,18 +212,22 @@ class Mix:
         """
         got = (
             self.pieces().join(self.slots.select("rank", "block", "pass"), ["rank", "block"])
-            .groupBy("doc_id", "body", "source", "size", "pass")
+            .groupBy("doc_id", "body", "copy", "source", "size", "pass")
             .agg(
                 F.sort_array(F.collect_list(F.struct("low", "high"))).alias("parts"),
                 F.sum(F.col("high") - F.col("low")).alias("words"),
             )
         )
         docs = self.docs.withColumn("_body", F.xxhash64(F.coalesce("text", F.lit(""))))
+        copy = F.lit(0).cast("long")
         if self.repeated:
-            docs = docs.dropDuplicates(["doc_id", "source", "_body"])
+            equal = Window.partitionBy("doc_id", "source", "_body").orderBy(F.xxhash64(*self.docs.columns))
+            copy = F.row_number().over(equal).cast("long") - 1
+        docs = docs.withColumn("_copy", copy)
         on = (
-            docs["doc_id"].eqNullSafe(got["doc_id"]) & (docs["_body"] == got["body"]) & docs["source"].eqNullSafe(got["source"])
-        )
+            docs["doc_id"].eqNullSafe(got["doc_id"]) & (docs["_body"] == got["body"])
+            & (docs["_copy"] == got["copy"]) & docs["source"].eqNullSafe(got["source"])
+        )
         parts = got["parts"]
 
         def joined(words: Column) -> Column:

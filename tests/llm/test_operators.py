@@ -321,6 +321,27 @@ def test_mixed_documents_hold_the_words_taken(spark, texts):
     assert dict(out) == {i: n for i, n in taken.items() if n}
 
 
+def test_mix_keeps_repeated_rows(spark):
+    rng = random.Random(17)
+    long, short = prose(rng, 500), prose(rng, 90)
+    rows = [(1, long, "a", "x")] * 3 + [(1, long, "a", "y"), (None, short, None, "x"), (None, short, None, "x"), (2, short, "b", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    mix = mixing.Mix(df)
+    taken = mix.taken().collect()
+    assert len(taken) == len(rows)
+    assert {(r["source"], r["source_size"]) for r in taken} == {("a", 2000), (None, 180), ("b", 90)}
+    words = collections.Counter()
+    for r in taken:
+        words[r["source"]] += r["taken"]
+    want = targets({"a": 2000, None: 180, "b": 90})
+    assert all(abs(words[s] - goal) <= mixing.BLOCK for s, goal in want.items())
+    out = collections.Counter()
+    mixed = mix.documents().collect()
+    for r in mixed:
+        out[r["source"]] += len(r["text"].split())
+    assert out == words and {r["lang"] for r in mixed if r["doc_id"] == 1} == {"x", "y"}
+
+
 def test_mix_of_an_empty_table(spark):
     assert mixing.report(docs(spark, [])).count() == 0
     assert mixing.Mix(docs(spark, [None, ""])).documents().count() == 0
