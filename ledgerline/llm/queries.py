@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from ledgerline.llm import (
+    alignment,
     bwt_merge,
+    byte_bpe,
     decontaminate,
     histogram_sort,
+    merkle,
     mixing,
     noisy_channel,
     odd_sketch,
@@ -61,6 +66,24 @@ def op10_bwt_merge_dedup(spark, sf_dir):
     return bwt_merge.dedup_bytes(table(spark, sf_dir, "documents"))
 
 
+def op11_segment_tree_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.report(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op12_fragment_alignment(spark, sf_dir):
+    models = alignment.read_models(
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.PATTERN,
+    )
+    return alignment.report(table(spark, sf_dir, "documents"), models)
+
+
+def op13_interval_manifest(spark, sf_dir):
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 def _escaped_length(x: str, controls: tuple[str, ...]) -> str:
     out = rf"replace({x}, '\', '\\')"
     for c in controls:
@@ -149,4 +172,7 @@ QUERIES = {
     "op8_recompression_dedup": (op8_recompression_dedup, None),
     "op9_noisy_channel_toxicity": (op9_noisy_channel_toxicity, None),
     "op10_bwt_merge_dedup": (op10_bwt_merge_dedup, None),
+    "op11_segment_tree_bpe": (op11_segment_tree_bpe, None),
+    "op12_fragment_alignment": (op12_fragment_alignment, None),
+    "op13_interval_manifest": (op13_interval_manifest, merkle.sql("documents")),
 }
