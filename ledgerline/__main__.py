@@ -36,6 +36,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         sub = jobs.add_parser(name, help=text)
         sub.add_argument("--lake", required=True, help="root folder of the tables")
         sub.add_argument("--late-rows", choices=["event", "arrival"], default="event")
+        sub.add_argument("--order-format", choices=["parquet", "hudi"], default="parquet")
+        sub.add_argument("--grain", choices=["day", "month", "year"], default="day", help="dates in one folder")
         return sub
 
     def serving(sub: argparse.ArgumentParser, required: bool) -> None:
@@ -56,8 +58,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     sub.add_argument("--checkpoint", required=True)
     sub.add_argument("--interval", default="10 seconds")
     sub.add_argument("--once", action="store_true", help="read what is there, then stop")
-    sub.add_argument("--compact-every", type=int, help="micro-batches, never by default")
-    job("compact", "rewrite the order table as one clustered base")
+    job("compact", "write the order table anew in files of an even size")
 
     for name, text in (("daily", "metrics of one day"), ("chain", "daily, export and counts")):
         sub = job(name, text)
@@ -95,10 +96,12 @@ def _run(args: argparse.Namespace, lake: Lake) -> int:
                 lake.spark, args.kafka_servers, args.topic, args.starting_offsets, args.max_offsets
             )
             if args.kafka_servers
-            else json_lines_stream(lake.spark, args.json_lines)
+            else json_lines_stream(
+                lake.spark, args.json_lines, starting=args.starting_offsets, checkpoint=args.checkpoint
+            )
         )
         interval = None if args.once else args.interval
-        run_to_end(ingest(lake, raw, args.checkpoint, interval, args.compact_every))
+        run_to_end(ingest(lake, raw, args.checkpoint, interval))
     elif args.job == "compact":
         compact(lake)
     elif args.job == "daily":
@@ -141,7 +144,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.job != "ingest":  # a micro-batch is bounded by its trigger
         size_shuffles(session, stored_bytes(session, f"{args.lake.rstrip('/')}/orders_raw"))
     try:
-        return _run(args, Lake(session, args.lake, args.late_rows))
+        return _run(args, Lake(session, args.lake, args.late_rows, order_format=args.order_format, grain=args.grain))
     except (TableUnavailable, DataQualityError) as error:
         print(error, file=sys.stderr)
         return 1

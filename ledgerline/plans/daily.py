@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.operators import rollup as R
-from ledgerline.operators.filters import on_date, on_date_or_all, with_run_date
+from ledgerline.operators.filters import on_date_or_all, with_run_date
 from ledgerline.session import drop_scratch, scratch_path
 from ledgerline.sources.lake import Lake
 
@@ -49,12 +49,14 @@ def run_daily(
     spark = lake.spark
     if date is None:
         date = spark.range(1).select(F.date_sub(F.current_date(), 1)).first()[0]
-    picked = (on_date_or_all if fallback else on_date)(lake.orders.snapshot(), date)
+    picked = on_date_or_all(lake.orders.snapshot(), date) if fallback else lake.orders.on(date)
     scratch = scratch_path(spark, "daily-rollup")
     try:
+        seen = Observation()
+        if fallback:  # the pass that reads the orders also tells which ones it read
+            picked = picked.observe(seen, F.bool_or("used_fallback").alias("used_fallback"))
         rollup = _stage(lake, picked, scratch)
-        flag = picked.select("used_fallback").first() if fallback else None
-        used_fallback = bool(flag and flag[0])
+        used_fallback = bool(fallback and seen.get["used_fallback"])
         tables = daily_tables(rollup, k)
         for name, table in tables.items():
             table = with_run_date(table, date).withColumn("used_fallback", F.lit(used_fallback))

@@ -9,25 +9,12 @@ from ledgerline.sources.lake import Lake
 from ledgerline.streaming.ingest import start_ingest
 
 
-def ingest(
-    lake: Lake,
-    raw: DataFrame,
-    checkpoint: str,
-    interval: str | None = "10 seconds",
-    compact_every: int | None = None,
-) -> StreamingQuery:
-    """Keep the order table up to date from a raw stream.
-
-    ``compact_every`` micro-batches also compact the table, which rewrites it; a large table is
-    better compacted by a scheduled :func:`compact`.
-    """
-    return start_ingest(
-        raw, lake.orders, lake.quarantine_path, checkpoint, interval, compact_every
-    )
+def ingest(lake: Lake, raw: DataFrame, checkpoint: str, interval: str | None = "10 seconds") -> StreamingQuery:
+    """Keep the order table up to date from a raw stream."""
+    return start_ingest(raw, lake.orders, lake.quarantine_path, checkpoint, interval)
 
 
 def compact(lake: Lake) -> None:
-    """Compact the order table and the metric history."""
-    for log in (lake.orders, lake.daily_metrics):
-        if log.commits():
-            log.compact()
+    """Write the dates of the order table anew, in files of an even size."""
+    if lake.orders.exists():
+        lake.orders.compact()

@@ -88,6 +88,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a path made by :func:`scratch_path`."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

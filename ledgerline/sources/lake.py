@@ -5,37 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.schemas import DAILY_METRICS, ORDER_TABLE
-from ledgerline.sources.commit_log import CommitLog
+from ledgerline.sources.dated_table import DatedTable, KeyedTable
+from ledgerline.sources.hudi import HudiTable
 from ledgerline.sources.tables import read_parquet
 
 
 class Lake:
     """A root folder holding the order table, the metric history and the result tables."""
 
-    def __init__(self, spark: SparkSession, root: str, late_rows: str = "event"):
-        """``late_rows``: ``event`` lets the newest event time win, ``arrival`` the newest commit."""
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        late_rows: str = "event",
+        keep_versions: bool = False,
+        order_format: str = "parquet",
+        grain: str = "day",
+    ):
+        """``late_rows``: ``event`` lets the newest event time win, ``arrival`` the newest write.
+
+        ``keep_versions`` keeps the rows of every write of the order table too, for a look into the past;
+        ``grain`` is the span of dates in one folder of it (coarser where days hold few rows);
+        ``order_format="hudi"`` leaves the order table to Hudi's connector.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
-        self.orders = CommitLog(
-            spark,
-            self.path("orders_raw"),
-            ORDER_TABLE,
-            keys=["order_id"],
-            ordering="order_timestamp",
-            ordering_type="timestamp",
-            order=late_rows,
-            volatile=["processing_time"],
-            cluster_by=["order_date"],
-        )
-        # the key is also the ordering field here, so the later run has to win
-        self.daily_metrics = CommitLog(
-            spark,
-            self.path("daily_analytics"),
-            DAILY_METRICS,
-            keys=["processing_date"],
-            ordering="processing_date",
-            order="arrival",
-        )
+        if order_format == "hudi":
+            self.orders = HudiTable(spark, self.path("orders_raw"), "orders", ORDER_TABLE, "order_id", "order_timestamp")
+        else:
+            self.orders = KeyedTable(
+                spark,
+                self.path("orders_raw"),
+                ORDER_TABLE,
+                key="order_id",
+                date="order_date",
+                ordering="order_timestamp",
+                late_rows=late_rows,
+                volatile=["processing_time"],
+                keep_versions=keep_versions,
+                grain=grain,
+            )
+        self.daily_metrics = DatedTable(spark, self.path("daily_analytics"), DAILY_METRICS, "processing_date")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"

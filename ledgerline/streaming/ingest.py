@@ -2,48 +2,54 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.sources.commit_log import CommitLog
+from ledgerline.sources.dated_table import KeyedTable
 from ledgerline.streaming.messages import accepted, decode, rejected
+from ledgerline.streaming.monitor import BATCH_COUNTS
 
 
 def start_ingest(
     raw: DataFrame,
-    log: CommitLog,
+    table: KeyedTable,
     quarantine_path: str,
     checkpoint: str,
     interval: str | None = "10 seconds",
-    compact_every: int | None = None,
     name: str = "order-ingest",
 ) -> StreamingQuery:
     """Start the stream: decode, upsert rows with an order id, set the others aside.
 
-    ``interval=None`` reads what is there and stops. The commit token is made of the query id, which
-    lives in the checkpoint, and the batch id: a replayed batch finds its own commit, and a stream
-    started on a fresh checkpoint never overwrites commits of an older one.
+    ``interval=None`` reads what is there and stops. A replayed batch puts the same rows in by key and replaces
+    its own folder of the quarantine. Messages are counted on their way (see ``monitor``); nothing is read
+    again for a count.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        context = batch.sparkSession.sparkContext
-        token = f"{context.getLocalProperty('sql.streaming.queryId') or name}.{batch_id}"
-        batch.persist()
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or name
+        batch.persist()  # one pass decodes and counts, the writes below read its result
         try:
-            log.upsert(accepted(batch), token)
-            bad = rejected(batch)
-            if not bad.isEmpty():
-                bad.write.mode("overwrite").parquet(f"{quarantine_path}/_batch={token}")
+            table.upsert(accepted(batch))
+            (
+                rejected(batch)
+                .withColumn("_batch", F.lit(f"{query}.{batch_id}"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("_batch")
+                .parquet(quarantine_path)
+            )
         finally:
             batch.unpersist()
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            log.compact()
 
+    counted = decode(raw).observe(
+        BATCH_COUNTS,
+        F.count(F.lit(1)).alias("messages"),
+        F.count("order_id").alias("accepted"),
+        F.count_if(F.col("order_id").isNull()).alias("rejected"),
+    )
     writer = (
-        decode(raw)
-        .writeStream.queryName(name)
+        counted.writeStream.queryName(name)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write_batch)
@@ -52,20 +58,6 @@ def start_ingest(
     return writer.trigger(**trigger).start()
 
 
-def wait_until_ready(query: StreamingQuery, timeout: float = 180.0, poll: float = 1.0) -> bool:
-    """True once the stream has finished a batch or waits for data; False when it ends or time is up."""
-    deadline = time.monotonic() + timeout
-    while time.monotonic() < deadline:
-        if query.exception() is not None:
-            return False
-        if query.lastProgress is not None or "Waiting" in query.status["message"]:
-            return True
-        if not query.isActive:
-            return False
-        time.sleep(poll)
-    return False
-
-
 def run_to_end(query: StreamingQuery, timeout: float | None = None) -> bool:
     """Block until the stream stops, at most ``timeout`` seconds; True if it stopped."""
     return query.awaitTermination() or True if timeout is None else query.awaitTermination(timeout)

@@ -1,4 +1,4 @@
-"""Queries that go through stored tables: commit log, streaming ingest, sinks and whole jobs."""
+"""Queries that go through stored tables: the order table, streams, sinks and whole jobs."""
 
 from __future__ import annotations
 
@@ -21,8 +21,10 @@ from ledgerline.sinks.tables import parquet_sink, round_trip
 from ledgerline.sources.lake import Lake
 from ledgerline.sources.messages import json_lines, json_lines_stream
 from ledgerline.sources.tables import read_parquet
+from ledgerline.streaming.changes import read_changes, start_change_feed
 from ledgerline.streaming.ingest import run_to_end
 from ledgerline.streaming.messages import accepted, decode, publish_json_lines
+from ledgerline.streaming.monitor import StreamMonitor
 from ledgerline.suite.adapters import (
     as_order_rows,
     order_events,
@@ -40,7 +42,7 @@ STORED = (
     f"order_id, customer_id, product_id, quantity, price, {ISO} as order_timestamp, status, "
     "total_amount, order_date"
 )
-# the order of the commit log: newest time first, then every value, descending
+# the order of the order table: newest time first, then every value, descending
 NEWEST = (
     "order_timestamp desc, customer_id desc, product_id desc, quantity desc, price desc, status desc"
 )
@@ -53,23 +55,33 @@ def newest(source: str) -> str:
     )
 
 
-def _lake(spark) -> Lake:
-    return Lake(spark, scratch_path(spark, "lake"))
+def _lake(spark, **options) -> Lake:
+    # the test tables spread few rows over seven years
+    return Lake(spark, scratch_path(spark, "lake"), grain="month", **options)
 
 
 def _visible(orders):
     return orders.drop("processing_time")
 
 
-def _filled_log(spark, sf, flags):
-    """A lake whose order table got the lines of each return flag as one commit named by the flag."""
-    lake = _lake(spark)
+def _filled(spark, sf, flags, **options):
+    """A lake whose order table got the lines of each return flag in one write; versions count from 1."""
+    lake = _lake(spark, **options)
     lines = order_log(spark, sf, "l_returnflag")
-    for flag in flags:
-        lake.orders.upsert(as_order_rows(lines.filter(F.col("l_returnflag") == flag)), flag)
+    for version, flag in enumerate(flags, 1):
+        lake.orders.upsert(as_order_rows(lines.filter(F.col("l_returnflag") == flag)), version)
     return lake
 
 
+def _topic(spark, sf, flags="RNA"):
+    """A folder of messages: one file for the lines of each return flag, and lines that are no orders in the last."""
+    folder = scratch_path(spark, "topic")
+    lines = order_log(spark, sf, "l_returnflag")
+    for flag in flags:
+        publish_json_lines(lines.filter(F.col("l_returnflag") == flag).coalesce(1), folder)
+    return folder
+
+
 # -- messages and streaming ----------------------------------------------------------------------
 
 
@@ -98,11 +110,86 @@ def stream_upsert(spark, sf):
     topic = scratch_path(spark, "topic")
     publish_json_lines(order_log(spark, sf).repartition(4), topic)
     raw = json_lines_stream(spark, topic, max_files_per_trigger=1)
-    run_to_end(ingest(lake, raw, scratch_path(spark, "checkpoint"), None, compact_every=2))
+    run_to_end(ingest(lake, raw, scratch_path(spark, "checkpoint"), None))
+    return _visible(lake.orders.snapshot())
+
+
+BAD = ["no json", '{"price": 3}', ""]
+
+
+def _monitored(spark, sf):
+    """Counts that a stream pushes: a batch for each return flag, and one of lines without an order id."""
+    topic = _topic(spark, sf)
+    spark.createDataFrame([(line,) for line in BAD], "value string").coalesce(1).write.mode("append").text(topic)
+    raw = json_lines_stream(spark, topic, max_files_per_trigger=1)
+    with StreamMonitor(spark) as monitor:
+        query = ingest(_lake(spark), raw, scratch_path(spark, "checkpoint"), None)
+        run_to_end(query)
+        monitor.wait_until_ended(query)
+    return monitor
+
+
+@query(
+    "x6_stream_batch_counts",
+    f"""with {ORDER_LOG}, n as (select l_returnflag as f, count(*) as n from order_log group by 1)
+select case f when 'R' then 0 when 'N' then 1 else 2 end::bigint as batch_id, n as messages, n as accepted,
+  0::bigint as rejected from n
+union all select 3, {len(BAD)}, 0, {len(BAD)}""",
+)
+def x6(spark, sf):
+    """What each batch read, took and set aside, as the stream reports it."""
+    return _monitored(spark, sf).batches().select("batch_id", "messages", "accepted", "rejected")
+
+
+@query(
+    "q1_q2_stream_volume_checks",
+    f"with {ORDER_LOG}, c as (select count(*) as n from order_log) {CHECKS}",
+)
+def q1_stream(spark, sf):
+    return _monitored(spark, sf).checks()
+
+
+@query(
+    "s2_start_at_newest",
+    f"with {ORDER_LOG}, a as (select * from order_log where l_returnflag <> 'R'), "
+    f"newest as ({newest('a')}) select {STORED} from newest",
+)
+def s2(spark, sf):
+    """The first start skips the backlog (R); what comes later is read, also what came while the stream was down (A)."""
+    lake, checkpoint = _lake(spark), scratch_path(spark, "checkpoint")
+    topic = _topic(spark, sf, "R")
+    lines = order_log(spark, sf, "l_returnflag")
+    for flag in "NA":
+        raw = json_lines_stream(spark, topic, starting="latest", checkpoint=checkpoint)
+        run_to_end(ingest(lake, raw, checkpoint, None))
+        publish_json_lines(lines.filter(F.col("l_returnflag") == flag).coalesce(1), topic)
+    raw = json_lines_stream(spark, topic, starting="latest", checkpoint=checkpoint)
+    run_to_end(ingest(lake, raw, checkpoint, None))
     return _visible(lake.orders.snapshot())
 
 
-# -- commit log ----------------------------------------------------------------------------------
+@query(
+    "x4_change_feed",
+    f"""with {ORDER_LOG}, n as (select *, case l_returnflag when 'R' then 0 when 'N' then 1 else 2 end::bigint as batch from order_log),
+ranked as (select *, dense_rank() over (partition by order_id order by order_timestamp, customer_id, product_id,
+    quantity, price, status) as place,
+  row_number() over (partition by order_id, batch order by {NEWEST}) as rk from n),
+best as (select *, max(place) over (partition by order_id order by batch
+    rows between unbounded preceding and 1 preceding) as so_far from ranked where rk = 1)
+select {STORED}, batch from best where so_far is null or place > so_far""",
+)
+def x4(spark, sf):
+    """Keys whose newest row a batch has changed, over three batches and a restart after each."""
+    feed, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
+    topic = scratch_path(spark, "topic")
+    lines = order_log(spark, sf, "l_returnflag")
+    for flag in "RNA":
+        publish_json_lines(lines.filter(F.col("l_returnflag") == flag).coalesce(1), topic)
+        run_to_end(start_change_feed(json_lines_stream(spark, topic), feed, checkpoint, None))
+    return read_changes(spark, feed)
+
+
+# -- order table ---------------------------------------------------------------------------------
 
 
 @query(
@@ -110,7 +197,7 @@ def stream_upsert(spark, sf):
     f"with {ORDER_LOG}, newest as ({newest('order_log')}) select {STORED} from newest",
 )
 def s3(spark, sf):
-    return _visible(_filled_log(spark, sf, ["R", "N", "A"]).orders.snapshot())
+    return _visible(_filled(spark, sf, "RNA").orders.snapshot())
 
 
 @query(
@@ -118,11 +205,11 @@ def s3(spark, sf):
     f"with {ORDER_LOG}, newest as ({newest('order_log')}) select {STORED} from newest",
 )
 def s3_many(spark, sf):
-    """All lines in twelve commits of arbitrary rows."""
+    """All lines in five writes of arbitrary rows, so that every write touches nearly every date."""
     lake = _lake(spark)
     rows = as_order_rows(order_log(spark, sf))
-    for part in range(12):
-        lake.orders.upsert(rows.filter(F.pmod(F.xxhash64("order_id", "product_id"), F.lit(12)) == part))
+    for part in range(5):
+        lake.orders.upsert(rows.filter(F.pmod(F.xxhash64("order_id", "product_id"), F.lit(5)) == part))
     return _visible(lake.orders.snapshot())
 
 
@@ -131,7 +218,7 @@ def s3_many(spark, sf):
     f"with {ORDER_LOG}, newest as ({newest('order_log')}) select {STORED} from newest",
 )
 def s3_compacted(spark, sf):
-    lake = _filled_log(spark, sf, ["R", "N"])
+    lake = _filled(spark, sf, "RN")
     lake.orders.compact()
     late = order_log(spark, sf, "l_returnflag").filter("l_returnflag = 'A'")
     lake.orders.upsert(as_order_rows(late))
@@ -144,9 +231,7 @@ def s3_compacted(spark, sf):
     f"newest as ({newest('a')}) select {STORED} from newest",
 )
 def c1(spark, sf):
-    lake = _filled_log(spark, sf, ["R", "N", "A"])
-    lake.orders.compact()
-    return _visible(lake.orders.snapshot(as_of="N"))
+    return _visible(_filled(spark, sf, "RNA", keep_versions=True).orders.snapshot(as_of=2))
 
 
 @query(
@@ -155,7 +240,7 @@ def c1(spark, sf):
     f"select {STORED} from newest where quantity <= 40",
 )
 def c2(spark, sf):
-    lake = _filled_log(spark, sf, ["R", "N", "A"])
+    lake = _filled(spark, sf, "RNA")
     gone = lake.orders.snapshot().filter("quantity > 40")
     lake.orders.delete(gone.select("order_id", F.lit("2100-01-01T00:00:00").alias("order_timestamp")))
     return _visible(lake.orders.snapshot())
@@ -169,7 +254,7 @@ def c2(spark, sf):
     "total_amount from newest",
 )
 def c3(spark, sf):
-    lake = _filled_log(spark, sf, ["R", "N", "A"])
+    lake = _filled(spark, sf, "RNA")
     pending = lake.orders.snapshot().filter("status = 'P'")
     lake.orders.upsert(
         pending.withColumn("status", F.lit("F")).withColumn(
