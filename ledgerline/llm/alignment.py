@@ -23,6 +23,7 @@ stays empty. Texts are never cut by size: a range only bounds what one step hold
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -37,11 +38,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerline.llm.common import slices, stored
-from ledgerline.llm.pieces import spread
+from ledgerline.llm.pieces import Pieces, spread
 
 RANGE_BYTES = 1 << 15  # texts above are cut into ranges of so many bytes
 BLOCK_BYTES = 8 << 20  # text of one block of the pair counts
 FAN = 4
+SPACE = "\u2581"
 
 
 # -- the two tokenizers ------------------------------------------------------------------------------
@@ -63,10 +65,8 @@ class Tokens:
         self.start = np.cumsum(self.length) - self.length
         self.letters = np.frombuffer(b"".join(spelled), np.uint8)
 
-    def tokens(self, texts: list[bytes], found: list) -> tuple[Stream, np.ndarray]:
-        """Tokens of all texts in turn, and flags of the texts that their ids spell; others get no tokens."""
-        count = np.array([len(ids) for ids in found], np.int64)
-        ids = np.fromiter(chain.from_iterable(found), np.int32, int(count.sum()))
+    def tokens(self, texts: list[bytes], ids: np.ndarray, count: np.ndarray) -> tuple[Stream, np.ndarray]:
+        """The stream of all texts from their ids, and flags of the texts that these spell; others get no tokens."""
         size = self.length[ids]
         letters = self.letters[spread(self.start[ids], size)].tobytes()
         at = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])].tolist()
@@ -76,59 +76,82 @@ class Tokens:
 
 
 class ByteLevel(Tokens):
-    """Tokenizer A, from the vocabulary and merges of its file.
+    """Tokenizer A.
 
     Ids follow the order of the merges, so they serve as ranks of the faster library, which cuts by the same
     pattern. The two differ in characters that are younger than Python's tables: texts with these go to the file's own library.
     """
 
-    def __init__(self, content: str, pattern: str):
-        self.library = Tokenizer.from_str(content)
-        self.library.encode_special_tokens = True
-        model = json.loads(content)["model"]
-        merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-        if merged != sorted(merged):
-            raise ValueError("ids do not follow the order of the merges")
-        signs = _byte_of_sign()
-        special = {t["content"] for t in json.loads(content)["added_tokens"]}
-        ranks = {bytes(signs[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    def __init__(self, content: str, ranks: dict[bytes, int], pattern: str):
+        self.content = content
         self.fast = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.plain = {chr(c) for c in range(128)}
-        spelled = [b""] * (max(model["vocab"].values()) + 1)
+        self.library = None
+        spelled = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             spelled[i] = token
         super().__init__(spelled)
 
+    @staticmethod
+    def ranks(content: str) -> dict[bytes, int]:
+        """Id by bytes of a file whose ids follow the order of its merges."""
+        parsed = json.loads(content)
+        vocabulary, merges = parsed["model"]["vocab"], parsed["model"]["merges"]
+        merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+        if merged != sorted(merged):
+            raise ValueError("ids do not follow the order of the merges")
+        signs = _byte_of_sign()
+        special = {t["content"] for t in parsed["added_tokens"]}
+        return {bytes(signs[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+
     def _young(self, text: str) -> bool:
         new = set(text) - self.plain
         fine = {c for c in new if unicodedata.category(c) != "Cn"}
         self.plain |= fine
         return fine != new
 
-    def encode(self, texts: list[str]) -> list:
-        return [
-            self.library.encode(t, add_special_tokens=False).ids
-            if not t.isascii() and self._young(t)
-            else self.fast.encode_ordinary(t)
-            for t in texts
+    def _by_library(self, text: str) -> list[int]:
+        if self.library is None:
+            self.library = Tokenizer.from_str(self.content)
+            self.library.encode_special_tokens = True
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in turn, and how many each has."""
+        found = [
+            self._by_library(t) if not t.isascii() and self._young(t) else self.fast.encode_ordinary(t) for t in texts
         ]
+        count = np.array([len(ids) for ids in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.int32, int(count.sum())), count
 
 
 class SpaceMarked(Tokens):
-    """Tokenizer B; the library puts a space before each text."""
+    """Tokenizer B; the library puts a space before each text.
+
+    None of its pieces holds a space mark behind another sign, so it never merges across the words of a text (spaces
+    and what follows them), and each distinct word is encoded once.
+    """
 
     def __init__(self, content: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=content)
         names = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
+        if any(SPACE in name.lstrip(SPACE) for name in names):
+            raise ValueError("this model merges across words")
         super().__init__(
             [
-                bytes([int(name[3:-1], 16)]) if self.library.is_byte(i) else name.replace("\u2581", " ").encode()
+                bytes([int(name[3:-1], 16)]) if self.library.is_byte(i) else name.replace(SPACE, " ").encode()
                 for i, name in enumerate(names)
             ]
         )
+        self.words = re.compile(" +[^ ]*").findall
+        self.pieces = Pieces(lambda new: self.library.encode([p[1:] for p in new], num_threads=1))
 
-    def encode(self, texts: list[str]) -> list:
-        return self.library.encode([t[1:] for t in texts], num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.pieces = self.pieces.fresh()
+        cut = [self.words(t) for t in texts]
+        ids, count = self.pieces.ids(self.pieces.numbers(list(chain.from_iterable(cut))))
+        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *map(len, cut)])]
+        return ids, np.diff(ends)
 
 
 class Stream(NamedTuple):
@@ -177,28 +200,36 @@ class Spelling:
         self.a_size, self.b_size = a_size, b_size
         self.strings = [f"{i}{c}" for i in range(a_size) for c in ",|"] + [f"{i}{c}" for i in range(b_size) for c in ",;"]
 
-    def groups(self, a: Stream, b: Stream) -> tuple[np.ndarray, list[str]]:
-        """Common ends, and all tokens as strings in the order of the groups, A before B in each."""
-        common = np.intersect1d(a.ends, b.ends, assume_unique=True)
-        place = np.concatenate([2 * np.searchsorted(common, a.ends), 2 * np.searchsorted(common, b.ends) + 1])
-        order = np.argsort(place, kind="stable")
-        last = np.append(place[order][1:] != place[order][:-1], True)[: len(order)]
-        code = np.concatenate([2 * a.ids.astype(np.int64), 2 * (self.a_size + b.ids.astype(np.int64))])[order] + last
-        return common, list(map(self.strings.__getitem__, code.tolist()))
-
-    def links(self, a: Stream, b: Stream) -> tuple[np.ndarray, np.ndarray]:
-        """Ends of the stretches that one pair of tokens shares, and the pairs."""
-        ends = np.sort(np.concatenate([a.ends, b.ends]), kind="stable")
-        ends = ends[np.append(ends[1:] != ends[:-1], True)[: len(ends)]]
-        one = a.ids[np.searchsorted(a.ends, ends)].astype(np.int64)
-        return ends, one * self.b_size + b.ids[np.searchsorted(b.ends, ends)]
+    def align(self, a: Stream, b: Stream) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """Common ends; all tokens as strings by group, A before B in each; ends of the links, and their pairs."""
+        ends = np.concatenate([a.ends, b.ends])
+        order = np.argsort(ends, kind="stable")  # two sorted runs: a merge
+        ends, of_a = ends[order], order < len(a.ends)
+        twin = np.append(ends[1:] == ends[:-1], False)  # A's end at a common end; B's follows
+        shut = np.concatenate([[False], twin[:-1]])
+        group = np.cumsum(shut) - shut
+        common = ends[shut]
+
+        place = np.empty(len(order), np.int64)
+        place[order] = 2 * group + ~of_a
+        by_group = np.argsort(place, kind="stable")
+        place = place[by_group]
+        last = np.append(place[1:] != place[:-1], True)[: len(place)]
+        code = np.concatenate([2 * a.ids.astype(np.int64), 2 * (self.a_size + b.ids.astype(np.int64))])[by_group] + last
+        strings = list(map(self.strings.__getitem__, code.tolist()))
+
+        # a link ends where either stream's token ends; the tokens are those that the ends before it leave open
+        link = ~twin
+        at_a, at_b = of_a | shut, ~of_a
+        i = (np.cumsum(of_a) - at_a)[link]
+        j = (np.cumsum(~of_a) - at_b)[link]
+        return common, strings, ends[link], a.ids[i].astype(np.int64) * self.b_size + b.ids[j]
 
     def closed(self, a: Stream, b: Stream) -> Closed:
         """Groups of tokens whose last ends are one."""
         if not len(a.ids):
             return Closed()
-        common, strings = self.groups(a, b)
-        ends, pairs = self.links(a, b)
+        common, strings, ends, pairs = self.align(a, b)
         pairs, times = np.unique(pairs, return_counts=True)
         return Closed(len(common), "".join(strings)[:-1], len(ends), pairs, times.astype(np.int64))
 
@@ -242,11 +273,12 @@ READ = f"{KEY}, {RESULT}, ranges array<struct<node long, nodes long, {_STREAM}>>
 
 class Models(NamedTuple):
     a: str
+    ranks: dict[bytes, int]
     b: bytes
     pattern: str
 
     def load(self):
-        a, b = ByteLevel(self.a, self.pattern), SpaceMarked(self.b)
+        a, b = ByteLevel(self.a, self.ranks, self.pattern), SpaceMarked(self.b)
         return a, b, Spelling(a.size, b.size)
 
 
@@ -274,15 +306,16 @@ def _reader(models, width: int, block_bytes: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, spelling = Models(*models.value).load()
         block = held = 0
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", 1 << 19):
             texts = [" " + t if t else "" for t in batch.column("text").to_pylist()]
             spelled = [t.encode() for t in texts]
             found = [t.encode(texts) for t in (a, b)]
-            (one, fine), (two, also) = (t.tokens(spelled, ids) for t, ids in zip((a, b), found, strict=True))
+            (one, fine), (two, also) = (t.tokens(spelled, *ids) for t, ids in zip((a, b), found, strict=True))
             if not np.array_equal(fine, also):  # a text that only one of them spells
-                found = [[ids if ok else [] for ids, ok in zip(f, fine & also, strict=True)] for f in found]
-                spelled = [t if ok else b"" for t, ok in zip(spelled, fine & also, strict=True)]
-                (one, fine), (two, also) = (t.tokens(spelled, ids) for t, ids in zip((a, b), found, strict=True))
+                fine = fine & also
+                spelled = [t if ok else b"" for t, ok in zip(spelled, fine, strict=True)]
+                found = [(ids[np.repeat(fine, n)], np.where(fine, n, 0)) for ids, n in found]
+                (one, fine), (two, also) = (t.tokens(spelled, *ids) for t, ids in zip((a, b), found, strict=True))
             size = np.where(fine, [len(t) for t in spelled], 0)
             high = np.cumsum(size)
             long = np.flatnonzero(size > width)
@@ -291,12 +324,11 @@ def _reader(models, width: int, block_bytes: int, schema: pa.Schema):
                 keep = [~np.isin(np.searchsorted(high, s.ends), long) for s in (one, two)]
                 one, two = (Stream(s.ids[k], s.ends[k]) for s, k in zip((one, two), keep, strict=True))
                 # ends keep their places; what lies between texts has no tokens
-            common, strings = spelling.groups(one, two)
-            ends, pairs = spelling.links(one, two) if len(one.ids) else (np.zeros(0, np.int64),) * 2
+            common, strings, ends, pairs = spelling.align(one, two)
             n_a, n_b, n_groups, n_links = (
-                np.bincount(np.searchsorted(high, x), minlength=len(size)) for x in (one.ends, two.ends, common, ends)
+                np.diff(np.searchsorted(x, high, "right"), prepend=0) for x in (one.ends, two.ends, common, ends)
             )
-            of = np.searchsorted(high, ends) * (a.size * b.size) + pairs
+            of = np.repeat(np.arange(len(size)), n_links) * (a.size * b.size) + pairs
             distinct, times = np.unique(of, return_counts=True)
             owner, pairs = np.divmod(distinct, a.size * b.size)
             at = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
@@ -490,5 +522,7 @@ def report(docs: DataFrame, models: Models) -> DataFrame:
 
 
 def read_models(a_path: str, b_path: str, pattern: str) -> Models:
+    """The two tokenizers from their files, for all tasks: bounded by the vocabularies."""
     with open(a_path, encoding="utf-8") as a, open(b_path, "rb") as b:
-        return Models(json.dumps(json.load(a)), b.read(), pattern)
+        content = a.read()
+        return Models(content, ByteLevel.ranks(content), b.read(), pattern)
