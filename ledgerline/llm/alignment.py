@@ -133,18 +133,19 @@ class SpaceMarked(Tokens):
     """
 
     def __init__(self, content: bytes):
-        self.library = sentencepiece.SentencePieceProcessor(model_proto=content)
-        names = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
+        library = sentencepiece.SentencePieceProcessor(model_proto=content)
+        names = [library.id_to_piece(i) for i in range(library.get_piece_size())]
         if any(SPACE in name.lstrip(SPACE) for name in names):
             raise ValueError("this model merges across words")
         super().__init__(
             [
-                bytes([int(name[3:-1], 16)]) if self.library.is_byte(i) else name.replace(SPACE, " ").encode()
+                bytes([int(name[3:-1], 16)]) if library.is_byte(i) else name.replace(SPACE, " ").encode()
                 for i, name in enumerate(names)
             ]
         )
         self.words = re.compile(" +[^ ]*").findall
-        self.pieces = Pieces(lambda new: self.library.encode([p[1:] for p in new], num_threads=1))
+        # no reference to self: a worker runs many tasks, and a cycle would keep the tables of all of them
+        self.pieces = Pieces(lambda new: library.encode([p[1:] for p in new], num_threads=1))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         self.pieces = self.pieces.fresh()
