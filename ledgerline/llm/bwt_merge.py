@@ -10,8 +10,8 @@ at an earlier place).
    but the first occurrence go, and the first one stands for them.
 2. First occurrences whose key has several contexts are dealt by key, cut into shards, and each shard gets
    the Burrows-Wheeler transform of its strings. Shards are merged by refining their interleave: stably
-   sorting it by the two bytes before each suffix orders it by two bytes more, without comparing or
-   re-sorting suffixes. A round at which neighbours first differ gives their common prefix; after
+   sorting it by the ``STEP`` bytes before each suffix orders it by as many bytes more, without comparing or
+   re-sorting suffixes. Neighbours that a round parts have a common prefix shorter than what it orders by; after
    ``window`` bytes, blocks of the interleave are the repeated intervals, and in each the earliest window stays.
    Only the shards' own transforms ever sort suffixes.
 3. A key with contexts of more than ``GROUP_BYTES`` would be an unbounded group: its windows are matched by
@@ -40,7 +40,8 @@ WINDOW = 100
 GRAM = 24
 GROUP_BYTES = 1 << 18  # contexts of one key that one task merges
 BATCH_BYTES = 1 << 20  # contexts merged at a time
-SHARDS = 4
+TASK_BYTES = 2 << 20  # contexts of a merging task, about
+SHARDS = 2
 LAST = (1 << 63) - 1
 
 _CODES = np.random.Generator(np.random.PCG64(71)).integers(1, 1 << 63, 256, np.uint64)
@@ -114,27 +115,16 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _keys(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            keys, n = np.unique(stretches(*_bytes(batch.column("text")), window)[2], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
-
-    return run
-
-
 FLAT = "key long, context long, doc long, body long, first int, windows int"
 
 
-def _flat(window: int, bits: np.ndarray):
-    """Stretches whose key may occur again, by a bitmap of fixed size."""
+def _flat(window: int):
+    """All stretches with their place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             data, offsets = _bytes(batch.column("text"))
             start, count, key, context = stretches(data, offsets, window)
-            found = in_bitmap(bits, key)
-            start, count, key, context = start[found], count[found], key[found], context[found]
             owner = np.searchsorted(offsets, start, "right") - 1
             bodies = np.array([body_hash(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -149,53 +139,70 @@ def _flat(window: int, bits: np.ndarray):
     return run
 
 
-def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted rotations of a shard and, for each, the two bytes before it as one number."""
+def _repeated(bits: np.ndarray):
+    """Stretches whose key may occur again, by a bitmap of fixed size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bits, batch.column("key").to_numpy().view(np.uint64))))
+
+    return run
+
+
+STEP = 4  # bytes by which a round refines
+
+
+def transform(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rotations of a shard sorted by ``length`` bytes at least and, for each, the STEP bytes before it as one number.
+
+    Rotations that agree in so many bytes may stand in any order: they are in one block of the merge for good.
+    """
     n = len(text)
     index = np.arange(n)
     packed = np.zeros(n, np.uint64)
     for k in range(8):
-        packed = (packed << np.uint64(8)) | text[(index + k) % n].astype(np.uint64)
+        packed = (packed << np.uint64(8)) | np.roll(text, -k).astype(np.uint64)
     order = np.argsort(packed, kind="stable")
     known = 8
-    while True:
-        rank = np.empty(n, np.int64)
-        new = np.ones(n, np.int64)
-        new[0] = 0
+    while known < length:
+        new = np.ones(n, bool)
         new[1:] = packed[order[1:]] != packed[order[:-1]]
-        rank[order] = np.cumsum(new)
-        if rank[order[-1]] == n - 1 or known >= n:
+        if new.all():
             break
-        packed = (rank.astype(np.uint64) << np.uint64(32)) | rank[(index + known) % n].astype(np.uint64)
-        order = np.argsort(packed, kind="stable")
+        rank = np.empty(n, np.uint64)
+        rank[order] = np.cumsum(new)
+        packed = (rank << np.uint64(32)) | rank[(index + known) % n]
+        # only rotations that share a rank with others move
+        open_ = ~new | ~np.append(new[1:], True)
+        own = order[open_]
+        order[open_] = own[np.argsort(packed[own], kind="stable")]
         known *= 2
-    before = text[(order - 2) % n].astype(np.uint16) * np.uint16(256) + text[(order - 1) % n]
+    before = np.zeros(n, np.uint32)
+    for k in range(STEP, 0, -1):
+        before = (before << np.uint32(8)) | text[(order - k) % n]
     return order, before
 
 
-def merged(befores: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Interleave of shards by the first ``length`` bytes: shard of each place, block starts, and the bytes
-    that neighbours share at least (counted in steps of two; ``length`` inside a block)."""
+def merged(befores: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave of shards by the first ``length`` bytes: shard of each place, and where blocks of equal ones start."""
     z = np.repeat(np.arange(len(befores), dtype=np.uint8), [len(b) for b in befores])
     starts = np.zeros(len(z), bool)
     starts[:1] = True
-    shared = np.full(len(z), length)
-    shared[:1] = 0
-    for known in range(0, length, 2):
-        c = np.empty(len(z), np.uint16)
+    c = np.empty(len(z), np.uint32)
+    for _ in range(0, length, STEP):
         for s, before in enumerate(befores):
             c[z == s] = before
-        order = np.argsort(c, kind="stable")
-        block = np.cumsum(starts)[order]
-        after, c = z[order], c[order]
+        order = np.argsort(c.astype(np.uint16), kind="stable")  # the lower half, then the upper one
+        order = order[np.argsort((c >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
+        block = np.cumsum(starts, dtype=np.int32)[order]
+        after, moved = z[order], c[order]
         refined = np.ones(len(z), bool)
-        refined[1:] = (c[1:] != c[:-1]) | (block[1:] != block[:-1])
-        shared[refined & (shared == length)] = known
-        same = np.array_equal(after, z) and np.array_equal(refined, starts)
+        refined[1:] = (moved[1:] != moved[:-1]) | (block[1:] != block[:-1])
+        same = np.array_equal(refined, starts) and np.array_equal(after, z)
         z, starts = after, refined
-        if same:
+        if same or refined.all():
             break
-    return z, starts, shared
+    return z, starts
 
 
 def later_windows(contexts: list[bytes], order: np.ndarray, window: int) -> np.ndarray:
@@ -210,13 +217,13 @@ def later_windows(contexts: list[bytes], order: np.ndarray, window: int) -> np.n
         own = np.flatnonzero(shard_of == s)
         # a zero byte parts strings, so that no rotation looks like another one
         text = np.frombuffer(b"\0".join(contexts[i] for i in own) + b"\0", np.uint8)
-        rotations, before = transform(text)
+        rotations, before = transform(text, window + STEP)
         befores.append(before)
         ends = np.cumsum(sizes[own] + 1)
         which = np.searchsorted(ends, rotations, "right")
         offset = rotations - (ends - sizes[own] - 1)[which]
         places.append(np.stack([own[which], offset], 1))
-    z, starts, _ = merged(befores, window)
+    z, starts = merged(befores, window)
     place = np.empty((len(z), 2), np.int64)
     for s, own in enumerate(places):
         place[z == s] = own
@@ -340,12 +347,10 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
     texts = docs.select(doc, F.coalesce("text", F.lit("")).alias("text"))
     parsed = stored(texts.mapInArrow(_documents, "doc long, body long, n_bytes long, sha string"), "documents")
-    again = stored(
-        texts.mapInArrow(_keys(window), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"),
-        "again",
-    )
-    flat = texts.mapInArrow(_flat(window, bitmap(again)), FLAT)
-    shared = stored(flat.join(again, "key", "left_semi"), "shared")
+    flat = stored(texts.mapInArrow(_flat(window), FLAT), "stretches")
+    again = stored(flat.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "again")
+    likely = flat.mapInArrow(_repeated(bitmap(again)), FLAT)
+    shared = stored(likely.join(again, "key", "left_semi"), "shared")
     contexts = stored(
         shared.groupBy("key", "context").agg(
             F.min(F.struct("doc", "body", "first")).alias("at"), F.max("windows").alias("windows"), F.count("*").alias("n")
@@ -358,6 +363,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
     kinds = contexts.groupBy("key").agg(
         F.count("*").alias("kinds"), F.sum(F.col("windows") + window).alias("size")
     ).where("kinds > 1")
+    to_merge = kinds.where(F.col("size") <= group_bytes).agg(F.sum("size")).first()[0] or 0
     asked = contexts.join(kinds, "key").select(
         "at.doc", "at.body", F.struct("key", "at.first", "windows", (F.col("size") > group_bytes).alias("large")).alias("a")
     ).groupBy("doc", "body").agg(F.collect_list("a").alias("asked"))
@@ -370,7 +376,8 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
         "pieces",
     )
     small = pieces.where("not large").select("key", "doc", "body", "first", "bytes")
-    part = small.repartition("key").sortWithinPartitions("key").mapInArrow(
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-to_merge // TASK_BYTES))
+    part = small.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(
         _merge(window), "doc long, body long, first int, last int"
     )
     hashed = pieces.where("large").mapInArrow(_hashed(window), "h1 long, h2 long, doc long, body long, at int")
