@@ -1,16 +1,18 @@
 """Sharding by histogram sort: probe key boundaries, count exactly below them, refine, exchange once.
 
-Keys are (hash of the text, doc_id), so equal texts are neighbours. Every round counts the bytes and rows
+Keys are (hash of the text, doc_id, tie), so equal texts are neighbours; the tie is a hash of a row's place in the
+table. Every round counts the bytes and rows
 between all probes in one pass over the keys; only these counts, one pair a probe, come to the driver.
 A splitter is settled when the bytes below it are within ``tolerance`` of its target. Probes part keys by
 the hash alone as long as that can meet the tolerance, which keeps equal texts together; only a group too
-large for that is parted by doc_id. Shards are made of several ranges, so that no task sorts a whole
+large for that is parted by doc_id, and rows equal in both by their ties. Shards are made of several ranges, so that no task sorts a whole
 shard, and the counts below the splitters give each range its first slot: nothing is counted again.
 
 Law ``bytes``: sizes (UTF-8 bytes plus 1) of shards differ from the mean by the tolerance and one row at
-most. Null texts have size 1. Null ids sort first. Repeated rows have equal keys and stay together; they
-get different slots. An empty table gives an empty result. Columns of ``docs`` named like an added one
-are replaced.
+most, also when most rows are equal. Null texts have size 1. Null ids sort first. Equal rows get
+different slots. An empty table gives an empty result. Very long texts are rows like others. Other columns are kept, whatever
+their names, but for those named like an added one, which are replaced. ``docs`` is read twice, so it must be a table or a
+plan that gives the same rows in the same order each time.
 """
 
 from __future__ import annotations
@@ -28,32 +30,70 @@ from ledgerline.llm.common import stored
 
 PROBES = 16  # probes for each splitter and round
 LOWEST = -(1 << 63)
+TIES = 1 << 31
+
+Key = tuple[int, int, int]
 
 
 class Probes(NamedTuple):
-    """Sorted boundaries (hash, id); a row is below a boundary when its key is smaller."""
+    """Sorted boundaries (hash, id, tie); a row is below a boundary when its key is smaller."""
 
     hash: np.ndarray
     id: np.ndarray
+    tie: np.ndarray
+
+    @classmethod
+    def of(cls, keys: list[Key]) -> "Probes":
+        return cls(*(np.array([k[c] for k in keys], np.int64) for c in range(3)))
 
-    def place(self, h: np.ndarray, i: np.ndarray) -> np.ndarray:
+    def place(self, h: np.ndarray, i: np.ndarray, t: np.ndarray) -> np.ndarray:
         """How many boundaries are at or below each key."""
         first = np.searchsorted(self.hash, h, "left")
         last = np.searchsorted(self.hash, h, "right")
         for value in np.unique(h[last > first]):  # keys that share a boundary's hash
-            rows = h == value
+            rows = np.flatnonzero(h == value)
             a, b = np.searchsorted(self.hash, value, "left"), np.searchsorted(self.hash, value, "right")
-            last[rows] = a + np.searchsorted(self.id[a:b], i[rows], "right")
+            last[rows] = a
+            for k in range(a, b):
+                last[rows] += (i[rows] > self.id[k]) | ((i[rows] == self.id[k]) & (t[rows] >= self.tie[k]))
         return last
 
 
+class Space(NamedTuple):
+    """All keys as one line of integers, ids from ``low`` to ``high`` (null ids before them)."""
+
+    low: int
+    high: int
+
+    @property
+    def ids(self) -> int:
+        return self.high - self.low + 2
+
+    def number(self, key: Key) -> int:
+        h, i, t = key
+        return ((h - LOWEST) * self.ids + (0 if i == LOWEST else i - self.low + 1)) * TIES + t
+
+    def key(self, number: int) -> Key:
+        rest, t = divmod(number, TIES)
+        h, i = divmod(rest, self.ids)
+        return h + LOWEST, LOWEST if i == 0 else i + self.low - 1, t
+
+    def between(self, low: int, high: int, n: int) -> list[int]:
+        """``n`` numbers strictly between two: by hash if there is one between, else by id, else by tie."""
+        for unit in (self.ids * TIES, TIES, 1):
+            first, last = low // unit + 1, (high - 1) // unit
+            if first <= last:
+                return sorted({(first + (last - first) * k // max(1, n - 1)) * unit for k in range(n)})
+        return []
+
+
 def _counter(probes: Probes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(probes.hash) + 1
         size, rows = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for batch in batches:
-            h, i, s = (batch.column(c).to_numpy() for c in ("_hash", "_id", "size"))
-            at = probes.place(h, i)
+            h, i, t, s = (batch.column(c).to_numpy() for c in ("hash", "id", "tie", "size"))
+            at = probes.place(h, i, t)
             np.add.at(size, at, s)
             rows += np.bincount(at, minlength=n)
         full = np.flatnonzero(rows)
@@ -77,19 +117,6 @@ def counts_below(keys: DataFrame, probes: Probes) -> tuple[np.ndarray, np.ndarra
     return np.cumsum(size), np.cumsum(rows)
 
 
-def _between(low: tuple[int, int], high: tuple[int, int], n: int) -> list[tuple[int, int]]:
-    """``n`` boundaries strictly between two: by hash, or by id when one hash is left."""
-    if high[0] - low[0] > 1:
-        step = (high[0] - low[0]) / (n + 1)
-        found = {low[0] + max(1, int(step * k)) for k in range(1, n + 1)}
-        return [(h, LOWEST) for h in found if low[0] < h < high[0]]
-    top = high[1] if high[0] == low[0] else (1 << 63) - 1
-    step = (top - low[1]) / (n + 1)
-    found = {low[1] + max(1, int(step * k)) for k in range(1, n + 1)}
-    extra = [high] if high[0] > low[0] and high[1] == LOWEST else []
-    return [(low[0], i) for i in found if low[1] < i < top] + extra
-
-
 def splitters(keys: DataFrame, shards: int, per_shard: int, tolerance: float) -> tuple[Probes, np.ndarray]:
     """Boundaries that part all bytes evenly, and the rows below each (and in all).
 
@@ -97,16 +124,16 @@ def splitters(keys: DataFrame, shards: int, per_shard: int, tolerance: float) ->
     a range is near enough. A boundary is also settled when one row is all that lies around its target.
     """
     n = shards * per_shard
-    empty = Probes(np.zeros(0, np.int64), np.zeros(0, np.int64))
-    total, rows = (int(x[-1]) for x in counts_below(keys, empty))
-    first = keys.agg(F.min("_id"), F.max("_id")).first()
-    ids = (first[0] or 0, (first[1] or 0) + 1)
-    known = {(LOWEST, LOWEST): (0, 0), ((1 << 63) - 1, (1 << 63) - 1): (total, rows)}
+    total, rows = (int(x[-1]) for x in counts_below(keys, Probes.of([])))
+    real = F.when(F.col("id") != LOWEST, F.col("id"))
+    ids = keys.agg(F.min(real), F.max(real)).first()
+    space = Space(ids[0] or 0, ids[1] or 0)
+    known = {0: (0, 0), space.ids * TIES << 64: (total, rows)}
     targets = [total * j // n for j in range(1, n)]
     while True:
         order = sorted(known)
         below, count = (np.array([known[k][x] for k in order]) for x in (0, 1))
-        probes: set[tuple[int, int]] = set()
+        probes: set[int] = set()
         chosen = []
         for j, target in enumerate(targets, 1):
             allowed = tolerance * total / shards if j % per_shard == 0 else 0.25 * total / n
@@ -114,18 +141,14 @@ def splitters(keys: DataFrame, shards: int, per_shard: int, tolerance: float) ->
             best = min((at, at + 1), key=lambda k: abs(below[k] - target))
             chosen.append(order[best])
             if abs(below[best] - target) > allowed and count[at + 1] - count[at] > 1:
-                low, high = order[at], order[at + 1]
-                if high[0] - low[0] <= 1:  # one hash: between the ids that exist
-                    low = (low[0], max(low[1], ids[0] - 1))
-                    high = (low[0], ids[1]) if high[0] > low[0] else (high[0], min(high[1], ids[1]))
-                probes.update(p for p in _between(low, high, PROBES) if p not in known)
+                probes.update(p for p in space.between(order[at], order[at + 1], PROBES) if p not in known)
         if not probes:
             break
         asked = sorted(probes)
-        found = Probes(np.array([p[0] for p in asked], np.int64), np.array([p[1] for p in asked], np.int64))
-        size, row = counts_below(keys, found)
+        size, row = counts_below(keys, Probes.of([space.key(p) for p in asked]))
         known.update({p: (int(size[k]), int(row[k])) for k, p in enumerate(asked)})
-    bounds = Probes(np.array([c[0] for c in chosen], np.int64), np.array([c[1] for c in chosen], np.int64))
+    top = ((1 << 63) - 1, (1 << 63) - 1, TIES)
+    bounds = Probes.of([space.key(c) if c < space.ids * TIES << 64 else top for c in chosen])
     return bounds, np.array([known[c][1] for c in chosen] + [rows])
 
 
@@ -135,14 +158,15 @@ def histogram_sort(
     """Add ``size``, ``shard`` (0 to shards - 1) and ``slot`` (0, 1, ... within a shard) to every row."""
     spark = docs.sparkSession
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = docs.withColumns(
-        {
-            "size": (F.octet_length(body) + 1).cast("long"),
-            "_hash": F.xxhash64(body),
-            "_id": F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LOWEST)),
-        }
+    place = F.xxhash64(F.monotonically_increasing_id())
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("size", "shard", "slot")]).alias("row"),
+        (F.octet_length(body) + 1).cast("long").alias("size"),
+        F.xxhash64(body).alias("hash"),
+        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LOWEST)).alias("id"),
+        F.pmod(place, F.lit(TIES)).cast("long").alias("tie"),
     )
-    keys = stored(rows.select("_hash", "_id", "size"), "keys")
+    keys = stored(rows.select("hash", "id", "tie", "size"), "keys")
     per_shard = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
     ranges = shards * per_shard
     bounds, below = splitters(keys, shards, per_shard, tolerance)
@@ -151,20 +175,21 @@ def histogram_sort(
     first = start - start[np.arange(ranges) // per_shard * per_shard]
 
     @F.pandas_udf("int")
-    def range_of(h: pd.Series, i: pd.Series) -> pd.Series:
-        return pd.Series(bounds.place(h.to_numpy(), i.to_numpy()).astype(np.int32))
+    def range_of(h: pd.Series, i: pd.Series, t: pd.Series) -> pd.Series:
+        return pd.Series(bounds.place(h.to_numpy(), i.to_numpy(), t.to_numpy()).astype(np.int32))
 
     @F.pandas_udf("long")
     def first_slot(r: pd.Series) -> pd.Series:
         return pd.Series(first[r.to_numpy()])
 
-    ranged = rows.withColumn("_range", range_of("_hash", "_id")).repartitionById(ranges, F.col("_range"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy("_hash", "_id")) - 1
-    return (
-        ranged.withColumn("slot", (first_slot("_range") + within).cast("long"))
-        .withColumn("shard", F.floor(F.col("_range") / per_shard).cast("int"))
-        .drop("_hash", "_id", "_range")
-    )
+    ranged = rows.withColumn("range", range_of("hash", "id", "tie")).repartitionById(ranges, F.col("range"))
+    within = F.row_number().over(Window.partitionBy("range").orderBy("hash", "id", "tie")) - 1
+    return ranged.select(
+        "row",
+        "size",
+        (first_slot("range") + within).cast("long").alias("slot"),
+        F.floor(F.col("range") / per_shard).cast("int").alias("shard"),
+    ).select("row.*", "size", "slot", "shard")
 
 
 def report(docs: DataFrame, shards: int = 8) -> DataFrame:

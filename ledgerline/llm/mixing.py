@@ -218,15 +218,16 @@ class Mix:
                 F.sum(F.col("high") - F.col("low")).alias("words"),
             )
         )
-        docs = self.docs.withColumn("_body", F.xxhash64(F.coalesce("text", F.lit(""))))
-        copy = F.lit(0).cast("long")
+        whole = F.struct(*[F.col(f"`{c}`") for c in self.docs.columns]).alias("row")
+        docs = self.docs.select(whole, F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_body"))
+        number = F.lit(0).cast("long")
         if self.repeated:
-            equal = Window.partitionBy("doc_id", "source", "_body").orderBy(F.xxhash64(*self.docs.columns))
-            copy = F.row_number().over(equal).cast("long") - 1
-        docs = docs.withColumn("_copy", copy)
+            equal = Window.partitionBy("row.doc_id", "row.source", "own_body").orderBy(F.xxhash64("row"))
+            number = F.row_number().over(equal).cast("long") - 1
+        docs = docs.withColumn("number", number)
         on = (
-            docs["doc_id"].eqNullSafe(got["doc_id"]) & (docs["_body"] == got["body"])
-            & (docs["_copy"] == got["copy"]) & docs["source"].eqNullSafe(got["source"])
+            F.col("row.doc_id").eqNullSafe(got["doc_id"]) & (docs["own_body"] == got["body"])
+            & (docs["number"] == got["copy"]) & F.col("row.source").eqNullSafe(got["source"])
         )
         parts = got["parts"]
 
@@ -235,13 +236,11 @@ class Mix:
                 F.flatten(F.transform(parts, lambda p: F.slice(words, (p["low"] + 1).cast("int"), (p["high"] - p["low"]).cast("int")))), " "
             )
 
-        cut = F.transform(F.array(words_of(docs["text"])), joined)[0]  # split once
-        text = F.when(got["words"] == got["size"], docs["text"]).otherwise(cut)
-        columns = [
-            text.alias("text") if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else docs[c]
-            for c in self.docs.columns
-        ]
-        return docs.join(got, on).select(*columns)
+        cut = F.transform(F.array(words_of(F.col("row.text"))), joined)[0]  # split once
+        text = F.when(got["words"] == got["size"], F.col("row.text")).otherwise(cut)
+        taken = docs.join(got, on).select("row", text.alias("text"))
+        new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+        return taken.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in self.docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:

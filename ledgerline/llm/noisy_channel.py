@@ -207,8 +207,9 @@ def _restored(tokens: Tokens, decoder: Decoder):
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(CLASSES**3, np.int64)
     for batch in slices(batches, "text"):
-        data = Tokens(batch.column("text")).data
-        c = np.concatenate([[0, 0], _CLASS[data], [0, 0]])
+        tokens = Tokens(batch.column("text"))
+        # two word borders before each text and behind the last: no trigram holds letters of two texts
+        c = np.insert(_CLASS[tokens.data], np.repeat(tokens.offsets, 2), 0)
         counts += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["code", "n"])

@@ -390,14 +390,13 @@ def confirm(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
 
 def keep_first(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row of each group, with the columns of ``docs``, also among rows whose ids are null or repeated."""
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
-    if ids.where("n > 1 or doc_id is null").isEmpty():
-        rows = docs.withColumn("_row", F.col("doc_id"))
-    else:
-        # a key for each row, in the order of ids; equal rows are parted by their place, as they may be many
-        order = [F.col("doc_id").cast("long").asc_nulls_last(), F.xxhash64("text"), "_place"]
-        placed = docs.withColumn("_place", F.monotonically_increasing_id()).orderBy(*order).drop("_place")
-        rows = stored(placed.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), percent)
-    dropped = found.where("not kept").select(F.col("doc_id").alias("_row")).distinct()
-    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col("doc_id").cast("long").alias("number"))
+    if not rows.groupBy("number").agg(F.count("*").alias("n")).where("n > 1 or number is null").isEmpty():
+        # a number for each row, in the order of ids; equal rows are parted by their place, as they may be many
+        placed = rows.withColumn("place", F.monotonically_increasing_id())
+        placed = placed.orderBy(F.col("number").asc_nulls_last(), F.xxhash64("row.text"), "place")
+        rows = stored(placed.select("row", F.monotonically_increasing_id().alias("number")), "rows")
+    found = near_duplicates(rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), percent)
+    dropped = found.where("not kept").select(F.col("doc_id").alias("number")).distinct()
+    return rows.join(dropped, "number", "left_anti").select("row.*")
