@@ -53,7 +53,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     source.add_argument("--kafka-servers")
     source.add_argument("--json-lines")
     sub.add_argument("--topic", default="orders")
-    sub.add_argument("--starting-offsets", default="latest")
+    sub.add_argument("--starting-offsets", help="before the first checkpoint: latest (Kafka) or earliest (JSON lines)")
     sub.add_argument("--max-offsets", type=int, help="Kafka records per micro-batch")
     sub.add_argument("--checkpoint", required=True)
     sub.add_argument("--interval", default="10 seconds")
@@ -93,11 +93,11 @@ def _run(args: argparse.Namespace, lake: Lake) -> int:
     if args.job == "ingest":
         raw = (
             kafka_stream(
-                lake.spark, args.kafka_servers, args.topic, args.starting_offsets, args.max_offsets
+                lake.spark, args.kafka_servers, args.topic, args.starting_offsets or "latest", args.max_offsets
             )
             if args.kafka_servers
             else json_lines_stream(
-                lake.spark, args.json_lines, starting=args.starting_offsets, checkpoint=args.checkpoint
+                lake.spark, args.json_lines, starting=args.starting_offsets or "earliest", checkpoint=args.checkpoint
             )
         )
         interval = None if args.once else args.interval

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import day_name, day_of_week, midnight, money_mean, money_sum
-from ledgerline.operators.timeseries import series_levels
+from ledgerline.operators.timeseries import exponential_levels, series_levels
 from ledgerline.schemas import FORECAST_COLUMNS, FORECAST_METHOD, SUMMARY_COLUMNS
 
 # fixed values: horizon in days, smoothing weight, half band width, stated confidence
@@ -112,6 +112,20 @@ def revenue_forecast(daily: DataFrame, series_keys: Sequence[str] = (), **option
     return forecast_rows(forecast_details(daily, series_keys, **options), series_keys)
 
 
+def smoothed_forecast(
+    daily: DataFrame, series_keys: Sequence[str] = (), horizon: int = HORIZON, alpha: float = ALPHA
+) -> DataFrame:
+    """The days ahead by exponential smoothing: the smoothed level times each weekday's factor."""
+    days = horizon_days(exponential_levels(daily, series_keys, alpha), horizon)
+    return days.select(
+        *series_keys,
+        "forecast_date",
+        "day_of_week",
+        "day_name",
+        F.round(F.col("level") * F.col("factor"), 2).alias("forecast_smoothed"),
+    )
+
+
 def history_and_forecast(
     daily: DataFrame, forecast: DataFrame, series_keys: Sequence[str] = ()
 ) -> DataFrame:

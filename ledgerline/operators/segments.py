@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import money_sum
+from ledgerline.operators.ordering import ntile
 
 STEPS_PER_OCTAVE = 4096
 MEASURES = {
@@ -104,3 +105,15 @@ def customer_segments(activity: DataFrame, as_of: Column, bands: int = 4) -> Dat
             band_number = band_number + F.when(above, F.lit(1)).otherwise(F.lit(0))
         scored = scored.withColumn(band, F.when(value.isNotNull(), band_number))
     return scored.drop(*(f"_{column}" for column in MEASURES))
+
+
+def customer_ntiles(activity: DataFrame, as_of: Column, bands: int = 4) -> DataFrame:
+    """Add recency in days and, for each measure, equal-sized bands from 1 (lowest values) to ``bands``.
+
+    Unlike :func:`customer_segments`, equal values may part: the customer id settles their order. A null measure ranks first.
+    """
+    measured = activity.withColumn("recency_days", F.date_diff(as_of, F.col("last_order_date").cast("date")))
+    for column, band in MEASURES.items():
+        order = [F.col(column).asc_nulls_first(), F.col("customer_id").asc_nulls_first()]
+        measured = ntile(measured, order, bands, band, name=band)
+    return measured

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerline.functions import day_name, day_of_week, growth, midnight, money_mean, money_sum
+from ledgerline.operators.ordering import over_blocks
 
 MOVING_AVERAGES = {"ma_7": 7, "ma_14": 14, "ma_30": 30}
 WEEK = 7
@@ -91,6 +92,62 @@ def moving_averages(
     )
 
 
+def long_moving_averages(
+    series: DataFrame, order: Sequence[Column], value: str = "revenue", windows: dict[str, int] = MOVING_AVERAGES
+) -> DataFrame:
+    """:func:`moving_averages` of one series of any length (hours, single events), block by block."""
+
+    def columns(by_time: WindowSpec) -> dict[str, Column]:
+        return {name: money_mean(value, by_time.rowsBetween(-(rows - 1), 0)) for name, rows in windows.items()}
+
+    return over_blocks(series, order, columns, before=max(windows.values()) - 1, name="moving-averages")
+
+
+def fill_time_gaps(series: DataFrame, time: str, step: str, zero: Sequence[str]) -> DataFrame:
+    """One series with a row at every ``step`` ('1 hour') between its first and last; ``zero`` columns are 0 there.
+
+    ``time`` holds whole steps, each once. Each row makes the steps up to the row after it, which may lie in the next block.
+    """
+    step_of = F.expr(f"interval {step}")
+    following = over_blocks(
+        series, [F.col(time).asc()], lambda w: {"_next": F.lead(time).over(w)}, after=1, name="gaps"
+    )
+    until = F.coalesce(F.col("_next") - step_of, F.col(time))
+    made = following.withColumn("_time", F.explode(F.sequence(F.col(time), until, step_of)))
+    own = F.col("_time") == F.col(time)
+    others = [c for c in series.columns if c != time]
+    return made.select(
+        F.col("_time").alias(time),
+        *[F.when(own, F.col(c)).otherwise(F.lit(0) if c in zero else F.lit(None)).alias(c) for c in others],
+    )
+
+
+def exponential_levels(daily: DataFrame, series_keys: Sequence[str] = (), alpha: float = 0.3) -> DataFrame:
+    """The level of simple exponential smoothing after the last day of each series, and its weekday factors.
+
+    Each day's revenue is divided by its weekday's factor (days whose factor is zero or unknown count as they are); the
+    first day starts the level, and every later one moves it by ``alpha`` of its distance. The recursion depends on the
+    order, so it is folded over the days of a series in one expression; a series has one entry a day.
+    """
+    factors = series_levels(daily, series_keys).select(*series_keys, "last_date", "weekday_factors")
+    factor = F.element_at("weekday_factors", F.col("day_of_week"))
+    base = F.when(factor > 0, F.col("revenue") / factor).otherwise(F.col("revenue"))
+    days = daily.where(F.col("order_date").isNotNull() & F.col("revenue").isNotNull())
+    known = days.join(factors, list(series_keys)) if series_keys else days.crossJoin(F.broadcast(factors))
+    entries = F.array_sort(F.collect_list(F.struct("order_date", base.alias("x"))))
+    level = F.aggregate(
+        F.slice("_days", 2, F.greatest(F.size("_days") - 1, F.lit(0))),
+        F.col("_days")[0]["x"],
+        lambda at, day: F.lit(alpha) * day["x"] + F.lit(1 - alpha) * at,
+    )
+    return (
+        known.groupBy(*series_keys, "last_date", "weekday_factors")
+        .agg(entries.alias("_days"))
+        .withColumn("level", level)
+        .drop("_days")
+    )
+
+
 def weighted_moving_average(
     daily: DataFrame, series_keys: Sequence[str] = (), rows: int = WEEK
 ) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
@@ -135,12 +135,11 @@ class KeyedTable:
         day = F.lit(date).cast("date")
         if not self.exists():
             raise TableUnavailable(f"no table at {self.path}")
-        rows = self._rows().where((F.col(FOLDER) == self._folder(day)) & (F.col(self.date) == day) & ~F.col(DELETED))
+        # one folder of each grain, as a table may have been written by more than one
+        folders = [F.date_trunc(grain, day).cast("date") for grain in GRAINS]
+        rows = self._rows().where(F.col(FOLDER).isin(folders) & (F.col(self.date) == day) & ~F.col(DELETED))
         return rows.select(*self.schema.names)
 
-    def _folder(self, day: Column) -> Column:
-        return F.date_trunc(self.grain, day).cast("date")
-
     def _versions(self) -> DataFrame:
         if not (self.keep_versions and path_exists(self.spark, f"{self.path}_versions")):
             raise TableUnavailable(f"no versions are kept of {self.path}")
@@ -181,7 +180,8 @@ class KeyedTable:
         self._finish()
         micros = time.time_ns() // 1000
         incoming = rows.withColumn(WRITTEN, F.timestamp_micros(F.lit(micros)))
-        incoming = incoming.withColumn(FOLDER, self._folder(F.col(self.date))).select(*self._stored.names)
+        folder = F.date_trunc(self.grain, F.col(self.date)).cast("date")
+        incoming = incoming.withColumn(FOLDER, folder).select(*self._stored.names)
         # read by the lookup, by the merge and by the kept version
         incoming = self._newest(incoming.where(F.col(self.key).isNotNull())).persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -22,7 +22,7 @@ from ledgerline.suite.adapters import as_order_rows, order_events
 
 @pytest.fixture
 def lake(spark, sf_dir, tmp_path):
-    lake = Lake(spark, str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"), grain="month")
     lake.orders.upsert(as_order_rows(order_events(spark, sf_dir)))
     return lake
 
@@ -181,6 +181,97 @@ def test_jdbc_sink_settings():
     assert Frame.write.set == {"truncate": "true", "numPartitions": "4", "batchsize": "10000"}
 
 
+class FakeDatabase:
+    """Records what Spark's writer and reader are told; holds ``extra`` rows too many for some writes."""
+
+    def __init__(self, extra):
+        self.extra, self.log, self.rows = list(extra), [], 0
+
+    def jdbc(self, url, table, **options):
+        self.log.append(("read", table))
+        database = self
+
+        class Counted:
+            def first(self):
+                return {"n": database.rows}
+
+        return Counted()
+
+    def write(self, frame):
+        database = self
+
+        class Writer:
+            def options(self, **options):
+                return self
+
+            def jdbc(self, url, table, mode, properties):
+                frame.write.format("noop").mode("overwrite").save()
+                database.log.append(("write", table, mode))
+                database.rows = frame_rows + (database.extra.pop(0) if database.extra else 0)
+
+        frame_rows = 5
+        return Writer()
+
+
+@pytest.mark.parametrize("extra, writes", [([], 1), ([3], 2), ([3, 1], 3)])
+def test_a_served_table_is_swapped_in_only_when_it_is_whole(spark, extra, writes):
+    from ledgerline.sinks.tables import swapping_jdbc_sink
+
+    database = FakeDatabase(extra)
+
+    class Session:
+        read = database
+
+    class Frame:
+        sparkSession = Session()
+
+        def __init__(self, df):
+            self.df = df
+
+        def observe(self, *args):
+            return Frame(self.df.observe(*args))
+
+        @property
+        def write(self):
+            return database.write(self.df)
+
+    def execute(session, url, properties, statements):
+        database.log.append(("run", *statements))
+
+    swapping_jdbc_sink("jdbc:db", {}, "r7", execute=execute)(Frame(spark.range(5)), "t")
+    write, read = ("write", "t__r7", "overwrite"), ("read", "(select count(*) as n from t__r7) held")
+    swap = ("run", "DROP TABLE IF EXISTS t", "ALTER TABLE t__r7 RENAME TO t")
+    assert database.log == [write, read] * writes + [swap]
+
+
+def test_a_served_table_that_never_is_whole_is_not_swapped_in(spark):
+    from ledgerline.sinks.tables import swapping_jdbc_sink
+
+    database = FakeDatabase([1, 1, 1])
+
+    class Session:
+        read = database
+
+    class Frame:
+        sparkSession = Session()
+
+        def __init__(self, df):
+            self.df = df
+
+        def observe(self, *args):
+            return Frame(self.df.observe(*args))
+
+        @property
+        def write(self):
+            return database.write(self.df)
+
+    def execute(*_):
+        raise AssertionError("swapped")
+
+    with pytest.raises(RuntimeError, match="holds 6 rows, 5 were sent"):
+        swapping_jdbc_sink("jdbc:db", {}, "r7", execute=execute)(Frame(spark.range(5)), "t")
+
+
 def test_jdbc_reader_settings():
     class Reader:
         def jdbc(self, url, table, **options):
@@ -204,7 +295,7 @@ def test_export_reports_rows(spark):
 
 def test_command_line(spark, lake, tmp_path, capsys):
     assert main(["verify", "--lake", str(tmp_path / "nothing")], spark) == 1
-    assert "no commits" in capsys.readouterr().err
+    assert "no table at" in capsys.readouterr().err
     assert main(["verify", "--lake", lake.root], spark) == 0
     serving = str(tmp_path / "serving")
     chain = ["chain", "--lake", lake.root, "--date", "2024-01-15", "--serving-dir", serving]
