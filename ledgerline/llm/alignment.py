@@ -278,6 +278,11 @@ class Models(NamedTuple):
     b: bytes
     pattern: str
 
+    def sizes(self) -> tuple[int, int]:
+        """The numbers of ids; fragments need nothing else."""
+        b = sentencepiece.SentencePieceProcessor(model_proto=self.b)
+        return max(self.ranks.values()) + 1, b.get_piece_size()
+
     def load(self):
         a, b = ByteLevel(self.a, self.ranks, self.pattern), SpaceMarked(self.b)
         return a, b, Spelling(a.size, b.size)
@@ -378,9 +383,9 @@ def _as_fragment(row: dict) -> Fragment:
 KEYS = ("text_no", "doc_id", "block")
 
 
-def _fragments(models, schema: pa.Schema):
+def _fragments(sizes: tuple[int, int], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling = Models(*models.value).load()[2]
+        spelling = Spelling(*sizes)
         for batch in batches:
             for row in batch.to_pylist():
                 a, b = _streams(row)
@@ -390,9 +395,9 @@ def _fragments(models, schema: pa.Schema):
     return run
 
 
-def _composed(models, schema: pa.Schema):
+def _composed(sizes: tuple[int, int], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling = Models(*models.value).load()[2]
+        spelling = Spelling(*sizes)
         for batch in batches:
             for row in batch.to_pylist():
                 parts = row["parts"]
@@ -406,9 +411,9 @@ def _composed(models, schema: pa.Schema):
     return run
 
 
-def _finished(models, schema: pa.Schema):
+def _finished(sizes: tuple[int, int], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling = Models(*models.value).load()[2]
+        spelling = Spelling(*sizes)
         for batch in batches:
             for row in batch.to_pylist():
                 c = spelling.whole(_as_fragment(row))
@@ -446,19 +451,20 @@ def align(docs: DataFrame, models: Models, digest: bool = False, width: int = RA
     nodes = parts.agg(F.max("nodes")).first()[0]
     if nodes is None:
         return short
+    sizes = models.sizes()
     fragments = parts.drop("nodes").repartition("text_no", "node").mapInArrow(
-        _fragments(shared, _arrow(spark, FRAGMENT)), FRAGMENT
+        _fragments(sizes, _arrow(spark, FRAGMENT)), FRAGMENT
     )
     while nodes > 1:
         whole = F.struct("node", *[c for c in fragments.columns if c not in (*KEYS, "node")])
         fragments = (
             fragments.groupBy(*KEYS, F.expr(f"node div {FAN}").alias("parent"))
             .agg(F.sort_array(F.collect_list(whole)).alias("parts"))
-            .mapInArrow(_composed(shared, _arrow(spark, FRAGMENT)), FRAGMENT)
+            .mapInArrow(_composed(sizes, _arrow(spark, FRAGMENT)), FRAGMENT)
         )
         nodes = -(-nodes // FAN)
     out = f"{KEY}, {RESULT}"
-    long = stored(fragments.mapInArrow(_finished(shared, _arrow(spark, out)), out).withColumn("groups", text), "composed")
+    long = stored(fragments.mapInArrow(_finished(sizes, _arrow(spark, out)), out).withColumn("groups", text), "composed")
     return short.unionByName(long)
 
 
@@ -509,7 +515,7 @@ def pair_counts(aligned: DataFrame, b_size: int) -> tuple[DataFrame, DataFrame]:
 def report(docs: DataFrame, models: Models) -> DataFrame:
     """Digest columns of ``documents``."""
     aligned = align(docs, models, digest=True)
-    b_size = models.load()[1].size
+    b_size = models.sizes()[1]
     uses, counts = pair_counts(aligned, b_size)
     known = uses.select("block", "pair").join(counts, "pair")
     columns = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
