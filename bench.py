@@ -44,6 +44,10 @@ HEADLINE = {
     "m2_daily_job": "events",
     "m2_daily_job_falls_back": "events",
     "m4_forecast_job": "events",
+    "w1_w2_w3_moving_averages_per_event": "events",
+    "c10_customer_ntiles": "orders",
+    "c6_distinct_customers_of_a_range": "orders",
+    "x4_change_feed": "lineitem",
 }
 
 
