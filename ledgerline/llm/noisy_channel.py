@@ -8,12 +8,14 @@ finds the likeliest reading under the trigrams. Its words join the plain ones.
 
 The score is a log-odds sum over a document's distinct words, each by its strongest feature: features are
 words and beginnings of words that differ clearly between toxic and other training documents, at most ``TRAINING_ROWS`` of them (the character model reads
-every text). Only labels of training rows are read; ids, languages
-and sources never enter a score.
+every text). All such features are kept; the bound on training rows bounds them too. Only labels of training rows are
+read; ids, languages and sources never enter a score. Texts are counted one by one, so neither the order of rows nor
+their partitions or batches change the model.
 
 Defined cases: null and empty texts have no features and score the prior; null labels are unlabelled; a
 document with several labels counts as toxic when one says so; null ids are never training rows; repeated
-rows are scored alike; without labels everything scores 0.5 or less; an empty table stays empty.
+rows are scored alike; without labels everything scores 0.5 or less; very long texts are read whole; ``score`` replaces a
+column of that name, other columns are kept; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -37,7 +39,6 @@ CLASSES = 28
 STARTS = (4, 5)  # beginnings of words that are features, in bytes
 _PRIME = 0x9E3779B97F4A7C15
 EVIDENCE = 25.0  # least log-likelihood ratio statistic of a feature
-LEXICON = 200_000  # most features kept, by evidence: bound of the model that tasks receive
 DOUBT = 3.0  # subtracted from the log-odds: absence of all features speaks against toxicity
 THRESHOLD = 0.7
 TRAINING_ROWS = 30_000  # labelled rows the lexicon is learnt from, picked by a hash of their ids
@@ -309,8 +310,6 @@ class Model:
             .withColumn("evidence", evidence)
             .withColumn("weight", logit)
             .where((F.col("evidence") >= EVIDENCE) & (F.col("weight") > 1))
-            .orderBy(F.desc("evidence"), "feature")
-            .limit(LEXICON)
             .select("feature", "weight")
             .toPandas()
         )

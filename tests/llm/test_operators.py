@@ -399,6 +399,23 @@ def test_a_group_larger_than_a_shard_is_parted(spark):
     check_shards(histogram_sort.report(docs(spark, ["same text"] * 300 + [f"t{i}" for i in range(300)])).collect())
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_most_rows_may_be_equal(spark, doc_id):
+    """Nine of ten rows equal in text and id still make even shards."""
+    rng = random.Random(3)
+    rows = [(doc_id, None)] * 900 + [(i, prose(rng, rng.randrange(1, 4))) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    placed = histogram_sort.report(df.select("doc_id", "text")).collect()
+    assert len(placed) == len(rows)
+    sizes, slots = collections.Counter(), collections.defaultdict(list)
+    for r in placed:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(sizes.values()) / 8
+    assert all(abs(sizes[s] - mean) <= 0.002 * mean + 20 for s in range(8))
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def test_small_groups_stay_together(spark):
     rng = random.Random(6)
     many = [t for i in range(2000) for t in [f"{i} " + prose(rng, 20)] * (1 + i % 3)]
@@ -668,3 +685,66 @@ def test_merged_transforms_give_common_prefixes():
         assert starts[i] == (rows[i] != rows[i - 1])
         common = next((n for n in range(10) if rows[i][n] != rows[i - 1][n]), 10)
         assert shared[i] == common - common % 2
+
+
+# -- columns of the input --------------------------------------------------------------------------
+
+CLASHING = "_id _row _place _body _copy _range _hash _words _text row number key tie hash id range size own_body body copy parts words".split()
+
+
+def test_stages_keep_every_column(spark):
+    rng = random.Random(9)
+    good = "the cat and the dog went to the house of a friend. "
+    texts = [good + prose(rng, 80) + " the of and to" for _ in range(12)]
+    rows = [(i % 10, t, "s", 5, *[f"{c}{i}" for c in CLASHING], "sh", "sl") for i, t in enumerate(texts)]
+    schema = ", ".join(["doc_id long, text string, source string, n_chars long", *[f"{c} string" for c in CLASHING], "shard string, slot string"])
+    df = spark.createDataFrame(rows, schema)
+    bench = spark.createDataFrame([(1, prose(rng, 40))], "item_id long, text string")
+    stages = [
+        quality_rules.keep_good(df), odd_sketch.keep_first(df), decontaminate.without_leaks(df, bench),
+        mixing.Mix(df).documents(),
+    ]
+    want = {r["_id"]: tuple(r[c] for c in CLASHING) for r in df.collect()}
+    for stage in stages:
+        assert stage.columns == df.columns
+        found = stage.collect()
+        assert found and all(tuple(r[c] for c in CLASHING) == want[r["_id"]] for r in found)
+    last = histogram_sort.histogram_sort(df)
+    assert set(last.columns) == set(df.columns)
+    found = last.collect()
+    others = [c for c in CLASHING if c != "size"]
+    assert len(found) == len(rows) and all(tuple(r[c] for c in others) == tuple(x for x, c in zip(want[r["_id"]], CLASHING, strict=True) if c != "size") for r in found)
+    assert {r["shard"] for r in found} <= set(range(8))
+
+
+# -- 9, the model ----------------------------------------------------------------------------------
+
+
+def test_the_character_model_does_not_depend_on_the_layout(spark):
+    import math
+
+    own = ["ab", "cd", "", None, "the end", "straße über", "a b", "x" * 500]
+    df = docs(spark, own)
+    tables = [
+        noisy_channel.character_model(x)
+        for x in (df.coalesce(1), df.repartition(5), docs(spark, own[::-1]).coalesce(1))
+    ]
+    assert all((tables[0] == t).all() for t in tables[1:])
+    counts = collections.Counter()
+    for text in own:
+        kinds = [b - 96 if 97 <= b <= 122 else 27 if b >= 128 else 0 for b in (text or "").encode()]
+        padded = [0, 0, *kinds, 0, 0]
+        counts.update(zip(padded, padded[1:], padded[2:], strict=False))
+    n = noisy_channel.CLASSES
+    total = sum(v for k, v in counts.items() if k != (0, 0, 0))
+    assert total > 0
+    two = lambda a, b, c: (
+        sum(v for (_, x, y), v in counts.items() if (x, y) == (b, c))
+        + 5 * (sum(v for (*_, y), v in counts.items() if y == c) + 1) / (sum(counts.values()) + n)
+    ) / (sum(v for (_, x, _), v in counts.items() if x == b) + 5)
+    for a, b, c in [(1, 2, 0), (0, 3, 4), (4, 0, 3), (2, 0, 3), (24, 24, 24)]:
+        # letters of two texts are never neighbours
+        got = (counts[a, b, c] + 5 * two(a, b, c)) / (sum(v for (x, y, _), v in counts.items() if (x, y) == (a, b)) + 5)
+        if b or a:
+            assert math.isclose(math.exp(tables[0][a, b, c]), got, rel_tol=1e-9)
+    assert (2, 0, 3) not in counts
