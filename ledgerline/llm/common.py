@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import scratch_path
+from ledgerline.session import drop_scratch, scratch_path
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 BREAKS = " \t\n\x0b\x0c\r"
@@ -30,14 +30,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+_open: list[list[str]] = []  # scratch folders made within each call of ``finished``
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    for made in _open:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The stored result of ``build``; the scratch folders that it needed on the way are deleted."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        result = stored(build(), name)
+    finally:
+        _open.pop()
+    for path in made[:-1]:
+        drop_scratch(result.sparkSession, path)
+    return result
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads every input bit."""
     x = x ^ (x >> np.uint64(32))

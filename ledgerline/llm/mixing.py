@@ -187,7 +187,8 @@ class Mix:
             .withColumn("block", F.explode(F.sequence(F.floor(start / b), F.floor((start + size - 1) / b))))
             .withColumn("low", F.greatest(F.lit(0), F.col("block") * b - start))
             .withColumn("high", F.least(size, (F.col("block") + 1) * b - start))
-            .select("doc_id", "source", "body", "copy", "size", "rank", "block", "low", "high")
+            .withColumn("at", start + F.col("low"))  # place in the source's stream
+            .select("doc_id", "source", "body", "copy", "size", "rank", "block", "low", "high", "at")
         )
 
     def taken(self) -> DataFrame:
@@ -205,6 +206,47 @@ class Mix:
         )
         return left.select("p.*", F.coalesce("w.taken", F.lit(0)).cast("long").alias("taken"))
 
+    def _rows(self) -> DataFrame:
+        """The input rows (row, own_body, number): equal ones of an id and source are numbered as in the streams."""
+        whole = F.struct(*[F.col(f"`{c}`") for c in self.docs.columns]).alias("row")
+        rows = self.docs.select(whole, F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_body"))
+        number = F.lit(0).cast("long")
+        if self.repeated:
+            equal = Window.partitionBy("row.doc_id", "row.source", "own_body").orderBy(F.xxhash64("row"))
+            number = F.row_number().over(equal).cast("long") - 1
+        return rows.withColumn("number", number)
+
+    def packed(self) -> DataFrame:
+        """The mix itself: rows (shard, slot, source, pass, n_words, text), a packed block of words for each slot.
+
+        A block holds the next ``block`` words of its source's stream, across documents; the last one may hold fewer. Slots
+        meet blocks by their index alone, so texts are cut once, however often a block is taken.
+        """
+        parts = F.collect_list(F.struct("low", "high", "block", "at")).alias("parts")
+        got = self.pieces().groupBy("rank", "source", "doc_id", "body", "copy").agg(parts)
+        rows = self._rows()
+        on = (
+            F.col("row.doc_id").eqNullSafe(got["doc_id"]) & (rows["own_body"] == got["body"])
+            & (rows["number"] == got["copy"]) & F.col("row.source").eqNullSafe(got["source"])
+        )
+        by_text = rows.join(got, on).select("rank", "source", "parts", F.col("row.text").alias("text"))
+
+        def cut(words: Column) -> Column:
+            def piece(p: Column) -> Column:
+                own = F.slice(words, (p["low"] + 1).cast("int"), (p["high"] - p["low"]).cast("int"))
+                return F.struct(p["block"].alias("block"), p["at"].alias("at"), own.alias("words"))
+
+            return F.transform("parts", piece)
+
+        cuts = by_text.select("rank", "source", F.inline(F.transform(F.array(words_of(F.col("text"))), cut)[0]))
+        blocks = cuts.groupBy("rank", "source", "block").agg(
+            F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "words"))), lambda p: p["words"])).alias("words")
+        )
+        return self.slots.join(blocks, ["rank", "block"]).select(
+            "shard", "slot", "source", "pass", F.size("words").cast("long").alias("n_words"),
+            F.array_join("words", " ").alias("text"),
+        )
+
     def documents(self) -> DataFrame:
         """What the mix holds of each document, with the columns of documents: one row a pass.
 
@@ -218,16 +260,10 @@ class Mix:
                 F.sum(F.col("high") - F.col("low")).alias("words"),
             )
         )
-        whole = F.struct(*[F.col(f"`{c}`") for c in self.docs.columns]).alias("row")
-        docs = self.docs.select(whole, F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_body"))
-        number = F.lit(0).cast("long")
-        if self.repeated:
-            equal = Window.partitionBy("row.doc_id", "row.source", "own_body").orderBy(F.xxhash64("row"))
-            number = F.row_number().over(equal).cast("long") - 1
-        docs = docs.withColumn("number", number)
+        rows = self._rows()
         on = (
-            F.col("row.doc_id").eqNullSafe(got["doc_id"]) & (docs["own_body"] == got["body"])
-            & (docs["number"] == got["copy"]) & F.col("row.source").eqNullSafe(got["source"])
+            F.col("row.doc_id").eqNullSafe(got["doc_id"]) & (rows["own_body"] == got["body"])
+            & (rows["number"] == got["copy"]) & F.col("row.source").eqNullSafe(got["source"])
         )
         parts = got["parts"]
 
@@ -238,7 +274,7 @@ class Mix:
 
         cut = F.transform(F.array(words_of(F.col("row.text"))), joined)[0]  # split once
         text = F.when(got["words"] == got["size"], F.col("row.text")).otherwise(cut)
-        taken = docs.join(got, on).select("row", text.alias("text"))
+        taken = rows.join(got, on).select("row", text.alias("text"))
         new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
         return taken.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in self.docs.columns])
 

@@ -687,6 +687,30 @@ def test_merged_transforms_give_common_prefixes():
         assert shared[i] == common - common % 2
 
 
+def test_packed_blocks_are_the_mix(spark):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, rng.randrange(0, 150)), rng.choice(["a", "b", None])) for i in range(60)]
+    rows += rows[:3] + [(None, "no id " * 20, "a"), (3, None, "b")]
+    mix = mixing.Mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=16)
+    packed = mix.packed().collect()
+    assert len(packed) == mix.slots.count()
+    assert len({(r["shard"], r["slot"]) for r in packed}) == len(packed)
+    assert all(r["n_words"] == len(r["text"].split()) <= 16 for r in packed)
+    taken = collections.Counter()
+    for r in mix.taken().collect():
+        taken[r["source"]] += r["taken"]
+    by_source = collections.Counter()
+    for r in packed:
+        by_source[r["source"]] += r["n_words"]
+    assert by_source == +taken
+    # a pass over all blocks of a source holds all its words, in the order of its documents
+    for source in ("a", "b", None):
+        whole = collections.Counter(w for _, t, s in rows if s == source for w in (t or "").split())
+        first = [r for r in packed if r["source"] == source and r["pass"] == 0]
+        got = collections.Counter(w for r in first for w in r["text"].split())
+        assert all(got[w] <= whole[w] for w in got)
+
+
 # -- columns of the input --------------------------------------------------------------------------
 
 CLASHING = "_id _row _place _body _copy _range _hash _words _text row number key tie hash id range size own_body body copy parts words".split()

@@ -61,6 +61,17 @@ def test_stages(spark):
     assert kept["sharded"].count() == kept["mixed"].count()
 
 
+def test_run_leaves_only_the_tables_it_reads(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    result = corpus_pipeline.run(spark, SF_DIR)
+    assert result.count() > 0
+    left = {f.rsplit("-", 1)[0] for f in set(os.listdir(root)) - before}
+    # results of the stages, and what the last, unfinished one reads
+    assert {"quality_rules", "near_duplicates", "benchmark_free", "mixed"} <= left
+    assert not {"sketches", "bands", "items", "streams", "slots", "labels"} & left
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = table(spark, SF_DIR, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
