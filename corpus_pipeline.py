@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import decontaminate, histogram_sort, mixing, odd_sketch, quality_rules
-from ledgerline.llm.common import stored, table
+from ledgerline.llm.common import finished, table
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +16,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, linked at 80 percent, the general threshold for near copies."""
     return odd_sketch.keep_first(docs, percent=80)
 
 
@@ -48,5 +50,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = finished(partial(stage, spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
