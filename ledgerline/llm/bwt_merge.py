@@ -10,11 +10,12 @@ at an earlier place).
    but the first occurrence go, and the first one stands for them.
 2. First occurrences whose key has several contexts are dealt by key, cut into shards, and each shard gets
    the Burrows-Wheeler transform of its strings. Shards are merged by refining their interleave: stably
-   sorting it by the ``STEP`` bytes before each suffix orders it by as many bytes more, without comparing or
+   sorting it by the (one, two or four) bytes before each suffix orders it by as many bytes more, without comparing or
    re-sorting suffixes. Neighbours that a round parts have a common prefix shorter than what it orders by; after
-   ``window`` bytes, blocks of the interleave are the repeated intervals, and in each the earliest window stays.
+   ``window`` bytes, blocks of the interleave are the repeated intervals, and in each the earliest window stays. Only rows at
+   which a window may end enter it, and rows alone in their block leave it.
    Only the shards' own transforms ever sort suffixes.
-3. A key with contexts of more than ``GROUP_BYTES`` would be an unbounded group: its windows are matched by
+3. A key with contexts of more than ``GROUP_BYTES`` (2 MB) would be an unbounded group: its windows are matched by
    128-bit hashes in a plain aggregate instead, which gives the same result in any number of tasks.
 
 Defined cases: null and empty texts have no bytes; texts shorter than a window are left
@@ -38,7 +39,7 @@ from ledgerline.llm.recompression import Ranges
 
 WINDOW = 100
 GRAM = 24
-GROUP_BYTES = 1 << 18  # contexts of one key that one task merges
+GROUP_BYTES = 1 << 21  # contexts of one key that one task merges
 BATCH_BYTES = 1 << 20  # contexts merged at a time
 TASK_BYTES = 2 << 20  # contexts of a merging task, about
 SHARDS = 2
@@ -149,11 +150,9 @@ def _repeated(bits: np.ndarray):
     return run
 
 
-STEP = 4  # bytes by which a round refines
-
-
-def transform(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rotations of a shard sorted by ``length`` bytes at least and, for each, the STEP bytes before it as one number.
+def transform(text: np.ndarray, length: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rotations of a shard sorted by ``length`` bytes at least; for each, the ``step`` bytes before it (four at most) as one number, and
+    the row of the rotation that begins there.
 
     Rotations that agree in so many bytes may stand in any order: they are in one block of the merge for good.
     """
@@ -178,31 +177,33 @@ def transform(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         order[open_] = own[np.argsort(packed[own], kind="stable")]
         known *= 2
     before = np.zeros(n, np.uint32)
-    for k in range(STEP, 0, -1):
+    for k in range(step, 0, -1):
         before = (before << np.uint32(8)) | text[(order - k) % n]
-    return order, before
-
-
-def merged(befores: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of shards by the first ``length`` bytes: shard of each place, and where blocks of equal ones start."""
-    z = np.repeat(np.arange(len(befores), dtype=np.uint8), [len(b) for b in befores])
-    starts = np.zeros(len(z), bool)
-    starts[:1] = True
-    c = np.empty(len(z), np.uint32)
-    for _ in range(0, length, STEP):
-        for s, before in enumerate(befores):
-            c[z == s] = before
+    row = np.empty(n, np.int64)
+    row[order] = index
+    return order, before, row[(order - step) % n]
+
+
+def merged(open_: np.ndarray, before: np.ndarray, back: np.ndarray, length: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave of the open rows of all shards by ``length`` bytes: rows in order, and where blocks of equal ones start.
+
+    ``open_`` are rows (of all transforms, one after another) at which the strings asked for end. A round sorts the interleave
+    stably by the bytes before each row and steps back to the rows that begin there, so it is ordered by ``step`` bytes more. A row that is alone
+    in its block stays alone, so it is left out; what remains after the last round are the repeated intervals.
+    """
+    block = np.zeros(len(open_), np.int32)
+    starts = np.zeros(0, bool)
+    for _ in range(0, length, step):
+        c = before[open_]
         order = np.argsort(c.astype(np.uint16), kind="stable")  # the lower half, then the upper one
         order = order[np.argsort((c >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
-        block = np.cumsum(starts, dtype=np.int32)[order]
-        after, moved = z[order], c[order]
-        refined = np.ones(len(z), bool)
-        refined[1:] = (moved[1:] != moved[:-1]) | (block[1:] != block[:-1])
-        same = np.array_equal(refined, starts) and np.array_equal(after, z)
-        z, starts = after, refined
-        if same or refined.all():
-            break
-    return z, starts
+        c, block = c[order], block[order]
+        starts = np.ones(len(order), bool)
+        starts[1:] = (c[1:] != c[:-1]) | (block[1:] != block[:-1])
+        shared = ~(starts & np.append(starts[1:], True)[: len(starts)])
+        open_, starts = back[open_[order[shared]]], starts[shared]
+        block = np.cumsum(starts, dtype=np.int32)
+    return open_, starts
 
 
 def later_windows(contexts: list[bytes], order: np.ndarray, window: int) -> np.ndarray:
@@ -210,31 +211,34 @@ def later_windows(contexts: list[bytes], order: np.ndarray, window: int) -> np.n
 
     ``order`` has a sortable place for the first window of each context; later windows follow it.
     """
+    step = next(n for n in (4, 2, 1) if window % n == 0)
     sizes = np.array([len(c) for c in contexts])
+    counts = sizes - window + 1
+    flags = np.zeros(int(counts.sum()), bool)
     shard_of = np.arange(len(contexts)) % min(SHARDS, len(contexts))
-    befores, places = [], []
+    befores, backs, places, base = [], [], [], 0
     for s in range(int(shard_of.max()) + 1):
         own = np.flatnonzero(shard_of == s)
         # a zero byte parts strings, so that no rotation looks like another one
         text = np.frombuffer(b"\0".join(contexts[i] for i in own) + b"\0", np.uint8)
-        rotations, before = transform(text, window + STEP)
+        rotations, before, back = transform(text, window + step, step)
         befores.append(before)
+        backs.append(back + base)
+        base += len(text)
         ends = np.cumsum(sizes[own] + 1)
         which = np.searchsorted(ends, rotations, "right")
         offset = rotations - (ends - sizes[own] - 1)[which]
         places.append(np.stack([own[which], offset], 1))
-    z, starts = merged(befores, window)
-    place = np.empty((len(z), 2), np.int64)
-    for s, own in enumerate(places):
-        place[z == s] = own
-    block = np.cumsum(starts) - 1
-    real = place[:, 1] <= sizes[place[:, 0]] - window
-    place, block = place[real], block[real]
+    place = np.concatenate(places)
+    # windows end at the places from ``window`` on; going back from there stays within the string
+    ends = np.flatnonzero(place[:, 1] >= window)
+    rows, starts = merged(ends, np.concatenate(befores), np.concatenate(backs), window, step)
+    if not len(rows):
+        return flags
+    place, block = place[rows], np.cumsum(starts) - 1
     when = order[place[:, 0]] + place[:, 1]
     first = np.full(int(block.max()) + 1, np.iinfo(np.int64).max)
     np.minimum.at(first, block, when)
-    counts = sizes - window + 1
-    flags = np.zeros(int(counts.sum()), bool)
     flags[(np.cumsum(counts) - counts)[place[:, 0]] + place[:, 1]] = when > first[block]
     return flags
 

@@ -670,21 +670,31 @@ def test_byte_strings_of_odd_rows(spark):
     ]
 
 
-def test_merged_transforms_give_common_prefixes():
+def test_a_transform_sorts_rotations_and_steps_back():
     rng = random.Random(3)
-    shards = [np.frombuffer(bytes(rng.choice(b"ab") for _ in range(200)) + bytes([i]), np.uint8) for i in range(3)]
-    done = [bwt_merge.transform(s) for s in shards]
-    z, starts, shared = bwt_merge.merged([before for _, before in done], 10)
-    at, rows = [0, 0, 0], []
-    for s in z.tolist():
-        k = int(done[s][0][at[s]])
-        at[s] += 1
-        rows.append(bytes(shards[s][(k + np.arange(10)) % 201].tolist()))
-    assert rows == sorted(rows)
-    for i in range(1, len(rows)):
-        assert starts[i] == (rows[i] != rows[i - 1])
-        common = next((n for n in range(10) if rows[i][n] != rows[i - 1][n]), 10)
-        assert shared[i] == common - common % 2
+    for step in (1, 2, 4):
+        text = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(300)) + b"\0", np.uint8)
+        raw = text.tobytes()
+        order, before, back = bwt_merge.transform(text, 64, step)
+        turned = [(raw + raw)[p : p + 64] for p in order.tolist()]
+        assert turned == sorted(turned)
+        for row, p in enumerate(order.tolist()):
+            assert int(before[row]) == int.from_bytes((raw + raw)[p - step + len(raw) : p + len(raw)], "big")
+            assert order[back[row]] == (p - step) % len(raw)
+
+
+@pytest.mark.parametrize("window", [5, 6, 8, 12])
+def test_blocks_of_the_interleave_are_the_repeated_windows(window):
+    rng = random.Random(window)
+    for _ in range(20):
+        contexts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(window, 40))) for _ in range(rng.randrange(1, 9))]
+        order = np.array(rng.sample(range(1000), len(contexts)), np.int64) << 32
+        first = {}
+        windows = [(int(o) + k, c[k : k + window]) for o, c in zip(order, contexts, strict=True) for k in range(len(c) - window + 1)]
+        for when, w in windows:
+            first[w] = min(first.get(w, when), when)
+        want = [when > first[w] for when, w in windows]
+        assert bwt_merge.later_windows(contexts, order, window).tolist() == want
 
 
 def test_packed_blocks_are_the_mix(spark):
