@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm.common import slices, stored
+from ledgerline.llm.common import chained, slices, stored
 from ledgerline.llm.pieces import Pieces, spread
 
 RANGE_BYTES = 1 << 15  # texts above are cut into ranges of so many bytes
@@ -455,16 +455,17 @@ def align(docs: DataFrame, models: Models, digest: bool = False, width: int = RA
     fragments = parts.drop("nodes").repartition("text_no", "node").mapInArrow(
         _fragments(sizes, _arrow(spark, FRAGMENT)), FRAGMENT
     )
+    out = f"{KEY}, {RESULT}"
+    compose, finish = _composed(sizes, _arrow(spark, FRAGMENT)), _finished(sizes, _arrow(spark, out))
     while nodes > 1:
+        nodes = -(-nodes // FAN)
         whole = F.struct("node", *[c for c in fragments.columns if c not in (*KEYS, "node")])
-        fragments = (
-            fragments.groupBy(*KEYS, F.expr(f"node div {FAN}").alias("parent"))
-            .agg(F.sort_array(F.collect_list(whole)).alias("parts"))
-            .mapInArrow(_composed(sizes, _arrow(spark, FRAGMENT)), FRAGMENT)
+        parents = fragments.groupBy(*KEYS, F.expr(f"node div {FAN}").alias("parent")).agg(
+            F.sort_array(F.collect_list(whole)).alias("parts")
         )
-        nodes = -(-nodes // FAN)
-    out = f"{KEY}, {RESULT}"
-    long = stored(fragments.mapInArrow(_finished(sizes, _arrow(spark, out)), out).withColumn("groups", text), "composed")
+        # the last round closes the texts in the same pass: a task never needs two Python workers
+        fragments = parents.mapInArrow(compose, FRAGMENT) if nodes > 1 else parents.mapInArrow(chained(compose, finish), out)
+    long = stored(fragments.withColumn("groups", text), "composed")
     return short.unionByName(long)
 
 

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 import regex
 
-MOST_PIECES = 300_000  # distinct pieces a task remembers before it begins anew
+MOST_PIECES = 200_000  # distinct pieces a task remembers before it begins anew
 
 
 class Splitter:
