@@ -37,12 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm.common import chained, slices, stored
+from ledgerline.llm.common import chained, slices, small_batches, stored
 from ledgerline.llm.pieces import Pieces, spread
 
 RANGE_BYTES = 1 << 15  # texts above are cut into ranges of so many bytes
 BLOCK_BYTES = 8 << 20  # text of one block of the pair counts
 FAN = 4
+WORDS = 100_000  # distinct words of B that a task remembers before it begins anew
 SPACE = "\u2581"
 
 
@@ -145,7 +146,7 @@ class SpaceMarked(Tokens):
         )
         self.words = re.compile(" +[^ ]*").findall
         # no reference to self: a worker runs many tasks, and a cycle would keep the tables of all of them
-        self.pieces = Pieces(lambda new: library.encode([p[1:] for p in new], num_threads=1))
+        self.pieces = Pieces(lambda new: library.encode([p[1:] for p in new], num_threads=1), WORDS)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         self.pieces = self.pieces.fresh()
@@ -312,7 +313,7 @@ def _reader(models, width: int, block_bytes: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, spelling = Models(*models.value).load()
         block = held = 0
-        for batch in slices(batches, "text", 1 << 19):
+        for batch in slices(batches, "text", 1 << 18):
             texts = [" " + t if t else "" for t in batch.column("text").to_pylist()]
             spelled = [t.encode() for t in texts]
             found = [t.encode(texts) for t in (a, b)]
@@ -445,7 +446,8 @@ def align(docs: DataFrame, models: Models, digest: bool = False, width: int = RA
     )
     text = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)) if digest else F.col("groups")
     read = texts.mapInArrow(_reader(shared, width, block_bytes, _arrow(spark, READ)), READ)
-    read = stored(read.withColumn("groups", text), "aligned")
+    with small_batches(spark):
+        read = stored(read.withColumn("groups", text), "aligned")
     short = read.where("ranges is null").drop("ranges")
     parts = read.where("ranges is not null").select(*KEYS, F.explode("ranges").alias("r")).select(*KEYS, "r.*")
     nodes = parts.agg(F.max("nodes")).first()[0]

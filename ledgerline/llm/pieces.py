@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 import regex
 
-MOST_PIECES = 200_000  # distinct pieces a task remembers before it begins anew
+MOST_PIECES = 400_000  # distinct pieces a table remembers before it begins anew
 
 
 class Splitter:
@@ -45,9 +45,9 @@ class Splitter:
 class Pieces(dict):
     """Numbers of distinct pieces, and the ids of each in one flat array; ``encode`` gives those of new ones."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]]):
+    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], most: int = MOST_PIECES):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
         self.flat = array("i")
         self.ends = array("q", [0])
 
@@ -61,8 +61,8 @@ class Pieces(dict):
 
     def fresh(self) -> Pieces:
         """Itself, or an empty table when it holds its bound."""
-        full = len(self) >= MOST_PIECES or len(self.flat) >= 8 * MOST_PIECES
-        return Pieces(self.encode) if full else self
+        full = len(self) >= self.most or len(self.flat) >= 8 * self.most
+        return Pieces(self.encode, self.most) if full else self
 
     def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces by their numbers, one after another, and how many each has."""
