@@ -28,13 +28,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import bitmap, body_hash, chained, in_bitmap, likely_rows, mix64, slices, stored, with_body
+from ledgerline.llm.common import bitmap, body_hash, chained, finished, in_bitmap, likely_rows, mix64, slices, stored, with_body
 from ledgerline.llm.recompression import Ranges
 
 WINDOW = 100
@@ -346,15 +347,18 @@ def _remove(window: int):
     return run
 
 
-def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each row of ``docs``."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
-    texts = docs.select(doc, F.coalesce("text", F.lit("")).alias("text"))
-    parsed = stored(texts.mapInArrow(_documents, "doc long, body long, n_bytes long, sha string"), "documents")
+def _repeats(texts: DataFrame, window: int) -> DataFrame:
+    """Stretches whose key occurs again."""
     flat = stored(texts.mapInArrow(_flat(window), FLAT), "stretches")
     again = stored(flat.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "again")
     likely = flat.mapInArrow(_repeated(bitmap(again)), FLAT)
-    shared = stored(likely.join(again, "key", "left_semi"), "shared")
+    return likely.join(again, "key", "left_semi")
+
+
+def _spans(texts: DataFrame, window: int, group_bytes: int) -> DataFrame:
+    """Spans of later windows, by document."""
+    # the table of all stretches is the largest one: it goes as soon as the repeated ones are stored
+    shared = finished(partial(_repeats, texts, window), "shared")
     contexts = stored(
         shared.groupBy("key", "context").agg(
             F.min(F.struct("doc", "body", "first")).alias("at"), F.max("windows").alias("windows"), F.count("*").alias("n")
@@ -380,7 +384,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
         "pieces",
     )
     small = pieces.where("not large").select("key", "doc", "body", "first", "bytes")
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-to_merge // TASK_BYTES))
+    tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-to_merge // TASK_BYTES))
     part = small.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(
         _merge(window), "doc long, body long, first int, last int"
     )
@@ -389,10 +393,15 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_
     rest = hashed.join(first.where("n > 1"), ["h1", "h2"]).where("struct(doc, body, at) <> first").select(
         "doc", "body", F.col("at").alias("first"), F.col("at").alias("last")
     )
-    spans = stored(
-        whole.union(part).union(rest).distinct().groupBy("doc", "body").agg(F.collect_list(F.struct("first", "last")).alias("spans")),
-        "spans",
-    )
+    return whole.union(part).union(rest).distinct().groupBy("doc", "body").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+
+
+def dedup_bytes(docs: DataFrame, window: int = WINDOW, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each row of ``docs``."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
+    texts = docs.select(doc, F.coalesce("text", F.lit("")).alias("text"))
+    parsed = stored(texts.mapInArrow(_documents, "doc long, body long, n_bytes long, sha string"), "documents")
+    spans = finished(partial(_spans, texts, window, group_bytes), "spans")
     changed = (
         likely_rows(texts, spans, "doc").join(spans, "doc")
         .mapInArrow(

@@ -168,24 +168,26 @@ def chained(one, two):
     return lambda batches: two(one(batches))
 
 
-BITMAP = 25
+LEAST_BITS, MOST_BITS = 25, 28  # bitmaps of 4 to 32 MB
 
 
 def bitmap(keys: DataFrame) -> np.ndarray:
-    """Bitmap of the leading bits of 64-bit keys: ``2 ** BITMAP`` bits, however many keys there are.
+    """Bitmap of the leading bits of 64-bit keys, eight bits or more a key up to 32 MB.
 
-    It only saves shuffling what cannot match; the more keys there are, the less it saves.
+    It only saves shuffling what cannot match: the join behind it tells. Beyond 32 million keys it fills up (30 percent set
+    with 100 million keys, 84 with 500 million) and saves less, but never grows.
     """
-    lead = F.shiftrightunsigned("key", 64 - BITMAP)
+    width = min(MOST_BITS, max(LEAST_BITS, (8 * keys.count()).bit_length()))
+    lead = F.shiftrightunsigned("key", 64 - width)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), lead.bitwiseAND(F.lit(63).cast("long")).cast("int"))
     rows = keys.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    bits = np.zeros(1 << (BITMAP - 6), np.uint64)
+    bits = np.zeros(1 << (width - 6), np.uint64)
     bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return bits
 
 
 def in_bitmap(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    at = key >> np.uint64(64 - BITMAP)
+    at = key >> np.uint64(64 - 6 - (len(bits).bit_length() - 1))
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
