@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Words, connected, gram_hashes, likely_rows, mix64, slices, stored
+from ledgerline.llm.common import Words, connected, gram_hashes, likely_rows, mix64, slices, small_batches, stored
 
 SHINGLE = 5
 BINS = 2048  # MinHash samples
@@ -397,6 +397,8 @@ def keep_first(docs: DataFrame, percent: int = 85) -> DataFrame:
         placed = rows.withColumn("place", F.monotonically_increasing_id())
         placed = placed.orderBy(F.col("number").asc_nulls_last(), F.xxhash64("row.text"), "place")
         rows = stored(placed.select("row", F.monotonically_increasing_id().alias("number")), "rows")
-    found = near_duplicates(rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), percent)
+    # the sketches of many short texts take more than the texts
+    with small_batches(docs.sparkSession):
+        found = near_duplicates(rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), percent)
     dropped = found.where("not kept").select(F.col("doc_id").alias("number")).distinct()
     return rows.join(dropped, "number", "left_anti").select("row.*")
