@@ -189,6 +189,17 @@ def test_report_counts_pairs_by_document(spark, models):
     assert alignment.report(docs(spark, []), models).count() == 0
 
 
+def test_ids_of_texts_that_end_in_spaces_are_those_of_the_libraries(models):
+    own = ["a ", "a  ", " a ", " ", "  ", "\n ", "\t\n  ", "日本 ", "<s> ", "a b  c ", "\u00a0 ", "\u3000 "]
+    a, b, _ = models.load()
+    for found, want in (
+        (a.encode([" " + t for t in own]), [libraries()[0].encode(" " + t, add_special_tokens=False).ids for t in own]),
+        (b.encode([" " + t for t in own]), libraries()[1].encode(own)),
+    ):
+        ids, count = found
+        assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == want
+
+
 def test_composition_of_fragments_is_associative(models):
     a_model, b_model, spelling = models.load()
     rng = random.Random(8)
