@@ -1,14 +1,20 @@
 """The keyed order table and the metric history as plain Parquet folders laid out by date.
 
-``KeyedTable`` holds one row per key, in folders of one day, month or year (``grain``) of its date. An upsert looks up
-the folders that hold its keys (a scan of the key column alone), takes the rows of these and of its own folders, keeps the
-newest row of every key, and overwrites just these folders by dynamic partition overwrite. A key whose newest row
-has another date leaves the old one, as both folders are written together. Reading needs neither a merge nor a
-window; :meth:`KeyedTable.on` opens the folder of one date only.
-
-The rows of the touched folders are written beside the table before any folder is replaced. A write that was cut off
-while it replaced folders is finished from that copy by the next one, so a lost driver loses no row, and a batch that is
-replayed gives the same table. One writer at a time, as for any table that Spark overwrites.
+``KeyedTable`` holds one row per key, in folders of one day, month or year (``grain``) of its date. An upsert touches its
+own folders and others that hold its keys (a scan of the key column of these others alone), keeps the newest row of
+every key in them, and replaces just these folders. A key whose newest row has another date leaves the old one, as both
+folders are written together. Reading needs neither a merge nor a window; :meth:`KeyedTable.on` opens the folder of one
+date only.
+
+Only rows that may have to give way are shuffled: a bitmap of hashes of the incoming keys goes to all tasks, and stored rows
+whose bit is not set go from the old files to the new ones. The bitmap is bounded; where it is too full to tell keys apart, more rows
+are shuffled, with the same result. The others are shuffled once, by key, and written from there, so that a folder gets
+a file from every such task; a write whose files would be too many, or a table that has too many, is shuffled by date too,
+and :meth:`KeyedTable.compact` does so at any time.
+
+The touched folders are written beside the table before any folder is replaced, and then moved to their places. A write
+that was cut off while it moved folders is finished from that copy by the next one, so a lost driver loses no row, and a
+batch that is replayed gives the same table. One writer at a time, as for any table that Spark overwrites.
 
 Deleted keys stay as marked rows, so that an older row that comes late cannot bring them back. Every touched folder
 also gets a marked row without a key: dynamic overwrite only replaces folders that get rows, and one may lose all.
@@ -18,16 +24,17 @@ also gets a marked row without a key: dynamic overwrite only replaces folders th
 
 from __future__ import annotations
 
+import datetime as dt
 import time
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from ledgerline.operators.latest import latest_per_key
-from ledgerline.session import drop_scratch, path_exists
+from ledgerline.session import drop_scratch, file_system, path_exists
 from ledgerline.sources.tables import TableUnavailable
 
 DELETED = "_deleted"
@@ -37,17 +44,38 @@ FOLDER = "_from"  # first day of the folder
 GRAINS = ("day", "month", "year")
 
 
-def _overwrite_dates(rows: DataFrame, date: str, path: str) -> None:
+SPLIT_BYTES = 64 << 20  # stored bytes from which rows that stay are told by the bitmap
+MOST_BITS = 1 << 29  # of the bitmap: 64 MB
+MOST_PIECES = 20_000  # files of one write that is not shuffled by date
+MOST_FILES = 500  # files a folder may have on average before a write shuffles it by date
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _write_dates(rows: DataFrame, date: str, path: str, mode: str = "dynamic", even: bool = True) -> None:
+    """Write rows in folders by date; ``even`` deals large dates over tasks and lets small ones share them."""
     (
-        # large dates are split over tasks, small ones share them
-        rows.hint("rebalance", date)
+        (rows.hint("rebalance", date) if even else rows)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", mode)
+        .option("compression", "zstd")
         .partitionBy(date)
         .parquet(path)
     )
 
 
+def _overwrite_dates(spark: SparkSession, copy: str, path: str) -> None:
+    """Move the folders of a copy to the places of those of the table; after a cut, a second call moves the rest."""
+    files, folder = file_system(spark, path)
+    files.mkdirs(folder)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for found in files.listStatus(place(copy)):
+        name = found.getPath().getName()
+        if name.startswith(f"{FOLDER}="):
+            files.delete(place(folder, name), True)
+            if not files.rename(found.getPath(), place(folder, name)):
+                raise OSError(f"cannot move {found.getPath()} to {path}")
+
+
 class DatedTable:
     """A table whose dates are replaced as a whole."""
 
@@ -59,7 +87,7 @@ class DatedTable:
 
     def upsert(self, rows: DataFrame) -> None:
         """Replace the dates in ``rows``; other dates stay."""
-        _overwrite_dates(rows.select(*self.schema.names), self.date, self.path)
+        _write_dates(rows.select(*self.schema.names), self.date, self.path)
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
@@ -148,7 +176,7 @@ class KeyedTable:
 
     def versions(self) -> DataFrame:
         """Kept versions with the number of rows each brought."""
-        return self._versions().groupBy(VERSION).agg(F.count("*").alias("rows"))
+        return self._versions().groupBy(VERSION).agg(F.count_distinct(self.key).alias("rows"))
 
     # -- writing ---------------------------------------------------------------------------------
 
@@ -176,49 +204,90 @@ class KeyedTable:
         order = [*event, written] if self.late_rows == "event" else [written, *event]
         return latest_per_key(rows, [self.key], order)
 
+    def _folders(self) -> set[dt.date | None]:
+        """The folders there are."""
+        files, folder = file_system(self.spark, self.path)
+        names = [found.getPath().getName() for found in files.listStatus(folder)]
+        days = [name.split("=", 1)[1] for name in names if name.startswith(f"{FOLDER}=")]
+        return {None if day == NO_DATE else dt.date.fromisoformat(day) for day in days}
+
+    def _inside(self, folders: Iterable[dt.date | None]) -> Column:
+        found = F.col(FOLDER).isin([d for d in folders if d is not None])
+        return found | F.col(FOLDER).isNull() if None in folders else found
+
+    def _place(self, rows: int) -> tuple[Column, Column]:
+        """Bucket and bit of a key in the bitmap of so many rows."""
+        bits = min(MOST_BITS, max(1 << 15, 1 << (8 * rows).bit_length()))
+        place = F.xxhash64(self.key).bitwiseAND(F.lit(bits - 1)) + 1
+        return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+
+    def _split(self, stored: DataFrame, bitmap: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+        """Stored rows whose key is not among the incoming ones for certain, and the others."""
+        bucket, bit = self._place(rows)
+        byte = "conv(hex(substring(_bits, cast(_bit div 8 + 1 as int), 1)), 16, 10)"
+        marked = (
+            stored.withColumns({"_bucket": bucket, "_bit": bit})
+            .join(F.broadcast(bitmap), "_bucket", "left")
+            .withColumn("_hit", F.expr(f"coalesce(getbit(cast({byte} as int), cast(_bit % 8 as int)), 0) = 1"))
+        )
+        return tuple(marked.where(on).select(*self._stored.names) for on in (~F.col("_hit"), F.col("_hit")))
+
     def _merge(self, rows: DataFrame, version: int | None) -> None:
         self._finish()
         micros = time.time_ns() // 1000
         incoming = rows.withColumn(WRITTEN, F.timestamp_micros(F.lit(micros)))
         folder = F.date_trunc(self.grain, F.col(self.date)).cast("date")
         incoming = incoming.withColumn(FOLDER, folder).select(*self._stored.names)
-        # read by the lookup, by the merge and by the kept version
-        incoming = self._newest(incoming.where(F.col(self.key).isNotNull())).persist(StorageLevel.MEMORY_AND_DISK)
+        # read by the lookup, by the bitmap, by the merge and by the kept version
+        incoming = incoming.where(F.col(self.key).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+        bitmap = None
         try:
-            folders = incoming.select(FOLDER)
-            if self.exists():
-                here = self._rows().select(self.key, FOLDER)
-                folders = folders.union(here.join(incoming.select(self.key), self.key, "left_semi").select(FOLDER))
-            touched = [row[0] for row in folders.distinct().collect()]  # spans of time, not rows
+            found = incoming.groupBy(FOLDER).count().collect()  # spans of time, not rows
+            touched = {row[0] for row in found}
             if not touched:
                 return
-            merged = incoming
+            moved, stay, even = incoming, None, False
             if self.exists():
-                wanted = F.col(FOLDER).isin([d for d in touched if d is not None])
-                if None in touched:
-                    wanted = wanted | F.col(FOLDER).isNull()
-                stored = self._rows().where(wanted & F.col(self.key).isNotNull())
-                merged = self._newest(stored.unionByName(incoming))
+                there = self._folders()
+                if others := there - touched:
+                    here = self._rows().where(self._inside(others)).select(self.key, FOLDER)
+                    here = here.join(incoming.select(self.key), self.key, "left_semi").select(FOLDER)
+                    touched |= {row[0] for row in here.distinct().collect()}
+                stored = self._rows().where(self._inside(touched) & F.col(self.key).isNotNull())
+                files, at = file_system(self.spark, self.path)
+                size = files.getContentSummary(at)
+                even = size.getFileCount() > MOST_FILES * max(len(there), 1)
+                number = sum(row[1] for row in found)
+                if size.getLength() >= SPLIT_BYTES and number <= MOST_BITS and not even:
+                    bucket, bit = self._place(number)
+                    bitmap = incoming.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+                    stay, stored = self._split(stored, bitmap.persist(), number)
+                moved = stored.unionByName(incoming)
             if self.keep_versions:
                 kept = incoming.withColumn(VERSION, F.lit(version or micros).cast("long"))
-                _overwrite_dates(kept, VERSION, f"{self.path}_versions")
-            self._replace(merged, touched)
+                _write_dates(kept, VERSION, f"{self.path}_versions", even=False)
+            merged = self._newest(moved)
+            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            even = even or tasks * len(touched) > MOST_PIECES
+            self._replace(merged if stay is None else stay.unionByName(merged), touched, even)
         finally:
             incoming.unpersist()
+            if bitmap is not None:
+                bitmap.unpersist()
 
-    def _replace(self, rows: DataFrame, folders: list) -> None:
+    def _replace(self, rows: DataFrame, folders: Iterable, even: bool = True) -> None:
         marks = self.spark.createDataFrame([(d,) for d in folders], T.StructType([self._stored[FOLDER]]))
         blank = {f.name: F.lit(None).cast(f.dataType) for f in self._stored.fields if f.name != FOLDER}
         marks = marks.withColumns(blank | {DELETED: F.lit(True)})
         staged = rows.select(*self._stored.names).unionByName(marks)
-        staged.write.mode("overwrite").parquet(f"{self.path}_staged")
+        _write_dates(staged, FOLDER, f"{self.path}_staged", "static", even)
         self._finish()
 
     def _finish(self) -> None:
         """Replace the folders of a finished copy that lies beside the table."""
         staged = f"{self.path}_staged"
         if path_exists(self.spark, f"{staged}/_SUCCESS"):
-            _overwrite_dates(self.spark.read.schema(self._stored).parquet(staged), FOLDER, self.path)
+            _overwrite_dates(self.spark, staged, self.path)
             drop_scratch(self.spark, staged)
 
     def compact(self) -> None:
@@ -226,6 +295,4 @@ class KeyedTable:
         if not self.exists():
             raise TableUnavailable(f"no table at {self.path}")
         self._finish()
-        rows = self._rows()
-        folders = [row[0] for row in rows.select(FOLDER).distinct().collect()]
-        self._replace(rows.where(F.col(self.key).isNotNull()), folders)
+        self._replace(self._rows().where(F.col(self.key).isNotNull()), self._folders())

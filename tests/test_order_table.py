@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.latest import latest_per_key
-from ledgerline.session import path_exists
+from ledgerline.session import file_system, path_exists
 from ledgerline.sources import dated_table
 from ledgerline.sources.dated_table import DatedTable, KeyedTable
 from ledgerline.sources.hudi import HudiTable, connector_is_present
@@ -99,6 +99,58 @@ def test_replayed_batch_changes_nothing(spark, new_table):
         assert content(table.snapshot()) == before
 
 
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 29])
+@pytest.mark.parametrize("late", ["event", "arrival"])
+def test_rows_that_stay_keep_out_of_the_shuffle(spark, new_table, monkeypatch, bits, late):
+    """With a bitmap that tells keys apart, and with one so full that most stored rows seem to be hit."""
+    monkeypatch.setattr(dated_table, "SPLIT_BYTES", 0)
+    monkeypatch.setattr(dated_table, "MOST_BITS", bits)
+    table, want = new_table(grain="month", late_rows=late, keep_versions=True), {}
+    for batch in range(3):
+        rows = [(f"k{i}", f"2024-0{1 + i % 3}-0{1 + (batch * i) % 9}T00:00:00", batch) for i in range(batch, 20_000, 1 + 99 * batch)]
+        table.upsert(frame(spark, rows), batch + 1)
+        for k, ts, v in rows:
+            want[k] = max(want.get(k, ("", -1)), (ts, v)) if late == "event" else (ts, v)
+        assert content(table.snapshot()) == sorted((k, ts, v) for k, (ts, v) in want.items())
+        assert content(table.snapshot(batch + 1)) == content(table.snapshot())
+    table.delete(spark.createDataFrame([("k3", "2025-01-01"), (None, "2025-01-01")], "k string, ts string"))
+    assert content(table.snapshot()) == sorted((k, ts, v) for k, (ts, v) in want.items() if k != "k3")
+
+
+def test_a_write_is_shuffled_once_and_by_key(spark, new_table, monkeypatch):
+    table, plans = new_table(grain="month"), []
+    table.upsert(frame(spark, versions()))
+    write = dated_table._write_dates
+
+    def watched(rows, date, path, mode, even):
+        plans.append((rows._jdf.queryExecution().optimizedPlan().toString(), even))
+        write(rows, date, path, mode, even)
+
+    monkeypatch.setattr(dated_table, "_write_dates", watched)
+    table.upsert(frame(spark, versions(9)))
+    assert len(plans) == 1 and plans[0][0].count("row_number()") >= 1 and not plans[0][1]
+    monkeypatch.setattr(dated_table, "MOST_FILES", 0)  # a table in many small files
+    table.upsert(frame(spark, versions(11)))
+    assert plans[1][1]
+    assert content(table.snapshot()) == expected(versions() + versions(9) + versions(11))
+
+
+def test_folders_that_were_not_moved_yet_are_moved_by_the_next_write(spark, new_table, monkeypatch):
+    table = new_table()
+    table.upsert(frame(spark, [("a", "2024-01-01", 1), ("b", "2024-01-02", 1)]))
+    with monkeypatch.context() as patch:
+        patch.setattr(dated_table, "_overwrite_dates", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.upsert(frame(spark, [("a", "2024-01-01T01:00:00", 2), ("b", "2024-01-02T01:00:00", 2)]))
+    files, one = file_system(spark, f"{table.path}_staged/_from=2024-01-01")
+    there = file_system(spark, f"{table.path}/_from=2024-01-01")[1]
+    files.delete(there, True)
+    assert files.rename(one, there)  # cut off between the first folder and the second
+    table.upsert(frame(spark, [("c", "2024-01-01", 3)]))
+    assert [r[2] for r in content(table.snapshot())] == [2, 2, 3]
+    assert not path_exists(spark, f"{table.path}_staged")
+
+
 def test_only_touched_folders_are_written(spark, new_table):
     table = new_table()
     table.upsert(frame(spark, [(f"k{i}", f"2024-01-0{i}", i) for i in range(1, 6)]))
