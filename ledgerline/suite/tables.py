@@ -6,6 +6,7 @@ import datetime as dt
 from functools import partial
 
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ledgerline.operators import metrics, quality
 from ledgerline.plans.chain import run_chain
@@ -207,13 +208,14 @@ def s3(spark, sf):
 def s3_many(spark, sf):
     """All lines in five writes of arbitrary rows, so that every write touches nearly every date."""
     lake = _lake(spark)
-    rows = as_order_rows(order_log(spark, sf))
+    rows = as_order_rows(order_log(spark, sf)).persist(StorageLevel.DISK_ONLY)  # joined once for all writes
     for part in range(5):
         lake.orders.upsert(rows.filter(F.pmod(F.xxhash64("order_id", "product_id"), F.lit(5)) == part))
     return _visible(lake.orders.snapshot())
 
 
 @query(
+    rows.unpersist()
     "s3_order_snapshot_compacted",
     f"with {ORDER_LOG}, newest as ({newest('order_log')}) select {STORED} from newest",
 )
