@@ -49,9 +49,9 @@ def encode(orders: DataFrame) -> DataFrame:
     return orders.select(F.to_json(F.struct(*fields)).alias("value"))
 
 
-def publish_json_lines(orders: DataFrame, path: str) -> None:
-    """Append the encoded orders to a folder of JSON lines."""
-    encode(orders).write.mode("append").text(path)
+def publish_json_lines(orders: DataFrame, path: str, compression: str = "none", most_rows: int = 0) -> None:
+    """Append the encoded orders to a folder of JSON lines, a file for each task and ``most_rows`` (0: any number)."""
+    encode(orders).write.mode("append").option("maxRecordsPerFile", most_rows).text(path, compression=compression)
 
 
 def publish_kafka(orders: DataFrame, servers: str, topic: str = "orders") -> None:

@@ -32,6 +32,7 @@ from ledgerline.suite.adapters import (
     order_log,
     order_messages,
     order_snapshot,
+    table,
 )
 from ledgerline.suite.metrics import CHECKS, DAY, EMPTY_DAY, PRODUCT_TOTALS, TOTALS
 from ledgerline.suite.metrics import SUMMARY as SUMMARY_OF_ORDERS
@@ -109,8 +110,11 @@ def publish(spark, sf):
 def stream_upsert(spark, sf):
     lake = _lake(spark)
     topic = scratch_path(spark, "topic")
-    publish_json_lines(order_log(spark, sf).repartition(4), topic)
-    raw = json_lines_stream(spark, topic, max_files_per_trigger=1)
+    # at least four files, and four batches of them
+    lines = table(spark, sf, "lineitem").count()
+    publish_json_lines(order_log(spark, sf), topic, "gzip", lines // 4 + 1)
+    files = len(json_lines(spark, topic).inputFiles())
+    raw = json_lines_stream(spark, topic, max_files_per_trigger=-(-files // 4))
     run_to_end(ingest(lake, raw, scratch_path(spark, "checkpoint"), None))
     return _visible(lake.orders.snapshot())
 
