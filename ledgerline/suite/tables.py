@@ -75,13 +75,10 @@ def _filled(spark, sf, flags, **options):
     return lake
 
 
-def _topic(spark, sf, flags="RNA"):
-    """A folder of messages: one file for the lines of each return flag, and lines that are no orders in the last."""
-    folder = scratch_path(spark, "topic")
-    lines = order_log(spark, sf, "l_returnflag")
-    for flag in flags:
-        publish_json_lines(lines.filter(F.col("l_returnflag") == flag).coalesce(1), folder)
-    return folder
+def _publish(spark, sf, topic, flag):
+    """Append the lines of a return flag to a folder of messages, a file from each task."""
+    lines = order_log(spark, sf, "l_returnflag").filter(F.col("l_returnflag") == flag)
+    publish_json_lines(lines, topic, "gzip")
 
 
 # -- messages and streaming ----------------------------------------------------------------------
@@ -124,13 +121,17 @@ BAD = ["no json", '{"price": 3}', ""]
 
 def _monitored(spark, sf):
     """Counts that a stream pushes: a batch for each return flag, and one of lines without an order id."""
-    topic = _topic(spark, sf)
-    spark.createDataFrame([(line,) for line in BAD], "value string").coalesce(1).write.mode("append").text(topic)
-    raw = json_lines_stream(spark, topic, max_files_per_trigger=1)
+    lake, topic, checkpoint = _lake(spark), scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
     with StreamMonitor(spark) as monitor:
-        query = ingest(_lake(spark), raw, scratch_path(spark, "checkpoint"), None)
-        run_to_end(query)
-        monitor.wait_until_ended(query)
+        for flag in "RNA-":  # the stream goes on where it ended: all files of a flag are one batch
+            if flag == "-":
+                bad = spark.createDataFrame([(line,) for line in BAD], "value string").coalesce(1)
+                bad.write.mode("append").text(topic)
+            else:
+                _publish(spark, sf, topic, flag)
+            query = ingest(lake, json_lines_stream(spark, topic), checkpoint, None)
+            run_to_end(query)
+            monitor.wait_until_ended(query)
     return monitor
 
 
@@ -162,12 +163,12 @@ def q1_stream(spark, sf):
 def s2(spark, sf):
     """The first start skips the backlog (R); what comes later is read, also what came while the stream was down (A)."""
     lake, checkpoint = _lake(spark), scratch_path(spark, "checkpoint")
-    topic = _topic(spark, sf, "R")
-    lines = order_log(spark, sf, "l_returnflag")
+    topic = scratch_path(spark, "topic")
+    _publish(spark, sf, topic, "R")
     for flag in "NA":
         raw = json_lines_stream(spark, topic, starting="latest", checkpoint=checkpoint)
         run_to_end(ingest(lake, raw, checkpoint, None))
-        publish_json_lines(lines.filter(F.col("l_returnflag") == flag).coalesce(1), topic)
+        _publish(spark, sf, topic, flag)
     raw = json_lines_stream(spark, topic, starting="latest", checkpoint=checkpoint)
     run_to_end(ingest(lake, raw, checkpoint, None))
     return _visible(lake.orders.snapshot())
@@ -187,9 +188,8 @@ def x4(spark, sf):
     """Keys whose newest row a batch has changed, over three batches and a restart after each."""
     feed, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
     topic = scratch_path(spark, "topic")
-    lines = order_log(spark, sf, "l_returnflag")
     for flag in "RNA":
-        publish_json_lines(lines.filter(F.col("l_returnflag") == flag).coalesce(1), topic)
+        _publish(spark, sf, topic, flag)
         run_to_end(start_change_feed(json_lines_stream(spark, topic), feed, checkpoint, None))
     return read_changes(spark, feed)
 
@@ -215,11 +215,11 @@ def s3_many(spark, sf):
     rows = as_order_rows(order_log(spark, sf)).persist(StorageLevel.DISK_ONLY)  # joined once for all writes
     for part in range(5):
         lake.orders.upsert(rows.filter(F.pmod(F.xxhash64("order_id", "product_id"), F.lit(5)) == part))
+    rows.unpersist()
     return _visible(lake.orders.snapshot())
 
 
 @query(
-    rows.unpersist()
     "s3_order_snapshot_compacted",
     f"with {ORDER_LOG}, newest as ({newest('order_log')}) select {STORED} from newest",
 )

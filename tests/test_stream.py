@@ -10,6 +10,7 @@ from ledgerline.sources.messages import json_lines_stream, kafka_stream
 from ledgerline.streaming.changes import read_changes, start_change_feed
 from ledgerline.streaming.ingest import run_to_end
 from ledgerline.streaming.monitor import StreamMonitor
+from ledgerline.suite.registry import QUERIES
 
 
 def message(i, second, status="pending"):
@@ -186,6 +187,43 @@ def test_changes_are_given_out_once_and_survive_a_restart(spark, stage, tmp_path
     assert read_changes(spark, feed).count() == 4
 
 
+def test_messages_are_written_and_read_by_many_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    """Each task writes its file, and a batch holds all files of a return flag."""
+    from ledgerline.suite import tables
+
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    written = []
+    publish = tables._publish
+
+    def watched(spark, sf, topic, flag):
+        publish(spark, sf, topic, flag)
+        written.append(len(spark.read.text(topic).inputFiles()))
+
+    monkeypatch.setattr(tables, "_publish", watched)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    try:
+        counts = {r["batch_id"]: (r["messages"], r["rejected"]) for r in tables.x6(spark, sf_dir).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()
+    flags = {r[0]: r[1] for r in lines}
+    assert counts == {0: (flags["R"], 0), 1: (flags["N"], 0), 2: (flags["A"], 0), 3: (3, 3)}
+    assert written[0] > 1 and written[1] > written[0] + 1
+
+
+def test_four_batches_of_the_order_log(spark, sf_dir, monkeypatch):
+    from ledgerline.suite import tables
+
+    with StreamMonitor(spark) as monitor:
+        want = tables.stream_upsert(spark, sf_dir).count()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    counts = [r["messages"] for r in monitor.batches().collect()]
+    assert len(counts) == 4 and sum(counts) == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert want == QUERIES["g5_latest_per_key"].run(spark, sf_dir).count()
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(AnalysisException, match="kafka"):
         kafka_stream(spark, "broker:9092")
