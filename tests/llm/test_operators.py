@@ -253,6 +253,26 @@ def test_contamination(spark):
     assert decontaminate.contaminated(docs(spark, []), bench).count() == 0
 
 
+def test_texts_without_windows_are_not_shuffled_and_repeated_item_ids_stay(spark):
+    one, two = "one two three four five six seven eight nine ten", "alpha beta gamma delta epsilon zeta eta"
+    texts = [f"a {one} z", None, f"{two} {one}", ""] + [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(40)]
+    bench = spark.createDataFrame([(1, one), (1, two), (None, one)], "item_id long, text string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        found = decontaminate.contaminated(docs(spark, texts), bench)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted((r["doc_id"], r["item_id"] or 0, r["start"]) for r in rows) == [(0, 0, 1), (0, 1, 1), (2, 0, 7), (2, 1, 0)]
+    dealt = re.findall(r"Exchange hashpartitioning\(.*\n(?:(?!.*(?:Exchange|Join|Aggregate)).*\n)*", plan)
+    assert dealt and not any("split(" in x for x in dealt)  # words are cut behind the shuffle
+    assert "getbit(_bits" in plan  # of texts that may have a window
+    assert not any("shingles" in line for line in plan.split("\n") if "Generate" in line)  # 22 copies of each item
+
+
 def test_blocks_find_everything_within_the_radius(spark):
     rng = random.Random(2)
     rows = []
