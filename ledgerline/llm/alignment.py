@@ -7,8 +7,8 @@ either.
 Fragments form a monoid. The tokens that end in a range of bytes give an open prefix (up to the first common end,
 as its group may begin earlier), closed groups, and an open suffix; composing two fragments closes the group that
 the suffix of one and the prefix of the other make up, and a range without a common end stays open. Composition is
-associative, so the ranges of a long text are dealt over tasks and reduced as a tree, ``FAN`` neighbours at a time.
-Texts within one range are closed where they are read.
+associative, so the ranges of a long text become fragments where it is read, a row each, and these are dealt over
+tasks and reduced as a tree, ``FAN`` neighbours at a time. Texts within one range are closed where they are read.
 
 Pairs of ids are counted by document: each block of texts (a bounded number of bytes) gives its distinct pairs with the
 number of texts that link them; their sums by pair are joined back to the blocks, so that a pair found in every text
@@ -37,12 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm.common import chained, slices, small_batches, stored
+from ledgerline.llm.common import chained, few_groups, slices, small_batches, stored
 from ledgerline.llm.pieces import Pieces, spread
 
 RANGE_BYTES = 1 << 15  # texts above are cut into ranges of so many bytes
 BLOCK_BYTES = 8 << 20  # text of one block of the pair counts
+BATCH_BYTES = 4 << 20  # rows that go to Python at a time, or one
+GROUP_BYTES = 8 << 20  # rows of a scratch table that are decoded at a time, or some ten
 FAN = 4
+STEP = 1 << 18  # tokens spelled at a time
 WORDS = 100_000  # distinct words of B that a task remembers before it begins anew
 SPACE = "\u2581"
 
@@ -69,7 +72,9 @@ class Tokens:
     def tokens(self, texts: list[bytes], ids: np.ndarray, count: np.ndarray) -> tuple[Stream, np.ndarray]:
         """The stream of all texts from their ids, and flags of the texts that these spell; others get no tokens."""
         size = self.length[ids]
-        letters = self.letters[spread(self.start[ids], size)].tobytes()
+        letters = b"".join(
+            self.letters[spread(self.start[ids[i : i + STEP]], size[i : i + STEP])].tobytes() for i in range(0, len(ids), STEP)
+        )
         at = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])].tolist()
         spelled = np.array([letters[x:y] == t for x, y, t in zip(at[:-1], at[1:], texts, strict=True)], bool)
         ids = ids[np.repeat(spelled, count)]
@@ -214,8 +219,8 @@ class Spelling:
         ends = np.concatenate([a.ends, b.ends])
         order = np.argsort(ends, kind="stable")  # two sorted runs: a merge
         ends, of_a = ends[order], order < len(a.ends)
-        twin = np.append(ends[1:] == ends[:-1], False)  # A's end at a common end; B's follows
-        shut = np.concatenate([[False], twin[:-1]])
+        twin, shut = np.zeros((2, len(ends)), bool)  # A's end at a common end; B's follows
+        twin[:-1] = shut[1:] = ends[1:] == ends[:-1]
         group = np.cumsum(shut) - shut
         common = ends[shut]
 
@@ -272,12 +277,12 @@ class Spelling:
 RESULT = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"
 KEY = "text_no long, doc_id long, block long"
 _STREAM = "a array<int>, a_ends array<long>, b array<int>, b_ends array<long>"
-RANGE = f"{KEY}, node long, nodes long, {_STREAM}"
 FRAGMENT = (
     f"{KEY}, node long, n_a long, n_b long, head struct<{_STREAM}>, tail struct<{_STREAM}>, "
     "shut boolean, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"
 )
-READ = f"{KEY}, {RESULT}, ranges array<struct<node long, nodes long, {_STREAM}>>".replace("<node long", "<node: long")
+# a text, or the fragment of a range of a long one
+READ = f"{KEY}, {RESULT}, node long, nodes long, head struct<{_STREAM}>, tail struct<{_STREAM}>, shut boolean"
 
 
 class Models(NamedTuple):
@@ -301,21 +306,15 @@ def _lists(values: np.ndarray, count: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
 
 
-def _ranges(a: Stream, b: Stream, low: int, high: int, width: int) -> list[dict]:
+def _ranges(a: Stream, b: Stream, low: int, high: int, width: int) -> Iterator[tuple[Stream, Stream]]:
     """Tokens of the text at bytes low..high by the range in which they end; ends count from the text's start."""
-    nodes = -(-(high - low) // width)
-    out = []
-    for k in range(nodes):
-        part = [s.part(low + k * width, min(high, low + (k + 1) * width)) for s in (a, b)]
-        out.append(
-            {"node": k, "nodes": nodes} | {c: s.ids for c, s in zip("ab", part, strict=True)}
-            | {f"{c}_ends": s.ends - low for c, s in zip("ab", part, strict=True)}
-        )
-    return out
+    for at in range(low, high, width):
+        part = [s.part(at, min(high, at + width)) for s in (a, b)]
+        yield tuple(Stream(s.ids, s.ends - low) for s in part)
 
 
 def _reader(models, width: int, block_bytes: int, schema: pa.Schema):
-    """Texts within one range are aligned; of longer ones the ranges are returned."""
+    """Texts within one range are aligned; of longer ones the fragments of the ranges are returned."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, spelling = Models(*models.value).load()
@@ -333,7 +332,13 @@ def _reader(models, width: int, block_bytes: int, schema: pa.Schema):
             size = np.where(fine, [len(t) for t in spelled], 0)
             high = np.cumsum(size)
             long = np.flatnonzero(size > width)
-            ranges = {i: _ranges(one, two, int(high[i] - size[i]), int(high[i]), width) for i in long.tolist()}
+            first = batch.column("part")[0].as_py() << 32
+            for i in long.tolist():
+                key = {c: batch.column(c)[i].as_py() for c in ("text_no", "doc_id")}
+                key |= {"block": first + block, "nodes": int(-(-size[i] // width))}
+                for node, part in enumerate(_ranges(one, two, int(high[i] - size[i]), int(high[i]), width)):
+                    made = _as_row(key, node, *[len(s.ids) for s in part], spelling.fragment(*part))
+                    yield pa.RecordBatch.from_pylist([made], schema)
             if len(long):  # the other texts close up
                 keep = [~np.isin(np.searchsorted(high, s.ends), long) for s in (one, two)]
                 one, two = (Stream(s.ids[k], s.ends[k]) for s, k in zip((one, two), keep, strict=True))
@@ -348,16 +353,16 @@ def _reader(models, width: int, block_bytes: int, schema: pa.Schema):
             at = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
             groups = ["".join(strings[x:y])[:-1] for x, y in zip(at[:-1], at[1:], strict=True)]
             per = np.bincount(owner, minlength=len(size))
-            first = batch.column("part")[0].as_py() << 32
-            yield pa.RecordBatch.from_arrays(
+            whole = pa.RecordBatch.from_arrays(
                 [
                     batch.column("text_no"), batch.column("doc_id"), pa.array(np.full(len(size), first + block)),
                     pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_links), pa.array(groups, pa.string()),
                     _lists(pairs, per, pa.int64()), _lists(times, per, pa.int64()),
-                    pa.array([ranges.get(i) for i in range(len(size))], schema.field("ranges").type),
+                    *[pa.nulls(len(size), f.type) for f in list(schema)[-5:]],
                 ],
                 schema=schema,
             )
+            yield whole.filter(pa.array(size <= width)) if len(long) else whole
             held += int(size.sum())
             if held >= block_bytes:
                 block, held = block + 1, 0
@@ -366,7 +371,7 @@ def _reader(models, width: int, block_bytes: int, schema: pa.Schema):
 
 
 def _streams(row: dict) -> tuple[Stream, Stream]:
-    return tuple(Stream(np.array(row[c], np.int32), np.array(row[f"{c}_ends"], np.int64)) for c in "ab")
+    return tuple(Stream(row[c], row[f"{c}_ends"]) for c in "ab")
 
 
 def _row(streams: tuple[Stream, Stream]) -> dict:
@@ -382,32 +387,36 @@ def _as_row(key: dict, node: int, n_a: int, n_b: int, x: Fragment) -> dict:
 
 
 def _as_fragment(row: dict) -> Fragment:
-    closed = Closed(
-        row["n_groups"], row["groups"], row["n_links"], np.array(row["pairs"], np.int64), np.array(row["times"], np.int64)
-    )
+    closed = Closed(row["n_groups"], row["groups"], row["n_links"], row["pairs"], row["times"])
     return Fragment(_streams(row["head"]), closed if row["shut"] else None, _streams(row["tail"]))
 
 
 KEYS = ("text_no", "doc_id", "block")
 
 
-def _fragments(sizes: tuple[int, int], schema: pa.Schema):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling = Spelling(*sizes)
-        for batch in batches:
-            for row in batch.to_pylist():
-                a, b = _streams(row)
-                made = _as_row({k: row[k] for k in KEYS}, row["node"], len(a.ids), len(b.ids), spelling.fragment(a, b))
-                yield pa.RecordBatch.from_pylist([made], schema)
+def _rows(rows: pa.RecordBatch | pa.StructArray) -> Iterator[dict]:
+    """One row at a time, as each may hold the tokens of a whole text: lists of numbers as arrays, others of rows."""
+    for i in range(len(rows)):
+        own = rows.slice(i, 1)
+        columns = own.columns if isinstance(own, pa.RecordBatch) else own.flatten()
+        yield {f.name: _value(c) for f, c in zip(rows.schema if isinstance(own, pa.RecordBatch) else rows.type, columns, strict=True)}
 
-    return run
+
+def _value(column: pa.Array):
+    """Of one row."""
+    if pa.types.is_struct(column.type):
+        return next(_rows(column))
+    if not pa.types.is_list(column.type):
+        return column[0].as_py()
+    inner = column.flatten()
+    return list(_rows(inner)) if pa.types.is_struct(inner.type) else inner.to_numpy(zero_copy_only=False)
 
 
 def _composed(sizes: tuple[int, int], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling = Spelling(*sizes)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 parts = row["parts"]
                 x = _as_fragment(parts[0])
                 for part in parts[1:]:
@@ -423,7 +432,7 @@ def _finished(sizes: tuple[int, int], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling = Spelling(*sizes)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 c = spelling.whole(_as_fragment(row))
                 made = {k: row[k] for k in (*KEYS, "n_a", "n_b")} | {
                     "n_groups": c.groups, "n_links": c.links, "groups": c.text, "pairs": c.pairs, "times": c.times
@@ -453,17 +462,16 @@ def align(docs: DataFrame, models: Models, digest: bool = False, width: int = RA
     )
     text = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)) if digest else F.col("groups")
     read = texts.mapInArrow(_reader(shared, width, block_bytes, _arrow(spark, READ)), READ)
-    with small_batches(spark):
-        read = stored(read.withColumn("groups", text), "aligned")
-    short = read.where("ranges is null").drop("ranges")
-    parts = read.where("ranges is not null").select(*KEYS, F.explode("ranges").alias("r")).select(*KEYS, "r.*")
-    nodes = parts.agg(F.max("nodes")).first()[0]
+    with small_batches(spark, most_bytes=BATCH_BYTES):
+        whole = F.when(F.col("node").isNull(), text).otherwise(F.col("groups"))
+        read = stored(read.withColumn("groups", whole), "aligned", GROUP_BYTES)
+    short = read.where("node is null").drop("node", "nodes", "head", "tail", "shut")
+    fragments = read.where("node is not null")
+    nodes = fragments.agg(F.max("nodes")).first()[0]
     if nodes is None:
         return short
+    fragments = fragments.drop("nodes")
     sizes = models.sizes()
-    fragments = parts.drop("nodes").repartition("text_no", "node").mapInArrow(
-        _fragments(sizes, _arrow(spark, FRAGMENT)), FRAGMENT
-    )
     out = f"{KEY}, {RESULT}"
     compose, finish = _composed(sizes, _arrow(spark, FRAGMENT)), _finished(sizes, _arrow(spark, out))
     while nodes > 1:
@@ -474,7 +482,8 @@ def align(docs: DataFrame, models: Models, digest: bool = False, width: int = RA
         )
         # the last round closes the texts in the same pass: a task never needs two Python workers
         fragments = parents.mapInArrow(compose, FRAGMENT) if nodes > 1 else parents.mapInArrow(chained(compose, finish), out)
-    long = stored(fragments.withColumn("groups", text), "composed")
+    with small_batches(spark, most_bytes=BATCH_BYTES), few_groups(spark):
+        long = stored(fragments.withColumn("groups", text), "composed", GROUP_BYTES)
     return short.unionByName(long)
 
 

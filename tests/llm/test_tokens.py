@@ -173,6 +173,18 @@ def test_alignment_equals_a_plain_one(spark, models, width):
         assert dict(zip(r["pairs"], r["times"], strict=True)) == collections.Counter(i * size + j for i, j in links)
 
 
+@pytest.mark.parametrize("own", [[None, ""], ["the end of the day, \u65e5\u672c " * 4], ["so it ends " * 40_000]])
+def test_a_batch_of_long_or_empty_texts_alone_is_aligned(spark, models, own):
+    width = 32 if len(own[0] or "") < 1000 else 1 << 15
+    rows = sorted(alignment.align(docs(spark, own).coalesce(1), models, width=width).collect())
+    assert len(rows) == len(own)
+    for r, t in zip(rows, own, strict=True):
+        a, b = both(t or "")
+        groups, links = plain_groups(a, b) if len(a) < 1000 else None, plain_links(a, b)
+        assert (r["n_a"], r["n_b"], r["n_links"], sum(r["times"])) == (len(a), len(b), len(links), len(links))
+        assert groups is None or r["groups"] == ";".join(groups)
+
+
 def test_report_counts_pairs_by_document(spark, models):
     own = texts()[:-1] + ["the end of the day", "the end of a day", "the end"]
     links = [plain_links(*both(t or "")) for t in own]
